@@ -57,6 +57,12 @@ def valid_for_pairwise(df: DataFrame) -> DataFrame:
 # -- turns ------------------------------------------------------------------------
 
 
+def without_nulls(turns: str) -> Column:
+    """The turns, or an error if a text is null. Part of the value, so it cannot be pruned."""
+    missing = F.exists(turns, lambda t: t["q"].isNull() | t["r"].isNull())
+    return F.when(missing, F.raise_error(F.lit("a conversation holds a null text"))).otherwise(F.col(turns))
+
+
 def _encoded_turns(
     df: DataFrame,
     template: ChatTemplate,
@@ -70,15 +76,12 @@ def _encoded_turns(
     at = first_idx if isinstance(first_idx, int) else F.col("_first")
     base = df.select(
         *keep,
-        turns.alias("_turns"),
+        turns.alias("_given"),
         system_or_default(template, system).alias("_system"),
         *([] if isinstance(first_idx, int) else [first_idx.alias("_first")]),
     )
-    missing = F.exists("_turns", lambda t: t["q"].isNull() | t["r"].isNull())
-    base = base.filter(
-        F.when(missing, F.raise_error(F.lit("a conversation holds a null text")).cast("boolean")).otherwise(F.lit(True))
-    )
     first = [] if isinstance(first_idx, int) else ["_first"]
+    base = base.select(*keep, *first, "_system", without_nulls("_given").alias("_turns"))
     units = base.select(
         *keep,
         *first,

@@ -35,8 +35,7 @@ def shifted_token_accuracy(
     Counted inside each row, without exploding tokens. By default -100 positions count
     too; ``ignore_index`` leaves them out.
     """
-    rows = df.filter(F.size(labels) >= 1)
-    n = F.size(labels) - 1
+    n = F.greatest(F.size(labels) - 1, F.lit(0))
     pairs = F.zip_with(
         F.slice(labels, F.lit(2), n),
         F.slice(predictions, F.lit(1), n),
@@ -44,7 +43,7 @@ def shifted_token_accuracy(
     )
     if ignore_index is not None:
         pairs = F.filter(pairs, lambda x: x["y"] != ignore_index)
-    counted = rows.select(pairs.alias("pairs")).select(
+    counted = df.select(pairs.alias("pairs")).select(
         F.size(F.filter("pairs", lambda x: x["y"] == x["p"])).alias("hits"), F.size("pairs").alias("n")
     )
     return counted.agg((F.sum("hits").cast("double") / F.sum("n")).alias("accuracy"))

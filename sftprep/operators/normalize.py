@@ -34,28 +34,30 @@ def pairs_from_lists(history: Column) -> Column:
     return F.transform(history, lambda h: F.struct(F.get(h, F.lit(0)).alias("q"), F.get(h, F.lit(1)).alias("r")))
 
 
-def message_pairs(messages: Column, role: str = "role", content: str = "content") -> Column:
-    """Consecutive messages as ``array<struct<ur,ar,q,r>>``; an odd last message is left out."""
+def message_pairs(messages: Column, content: str = "content") -> Column:
+    """Consecutive messages as ``array<struct<q,r>>``; an odd last message is left out."""
     whole = F.floor(F.size(messages) / 2).cast("int")
 
     def pair(k: Column) -> Column:
-        user, reply = F.get(messages, k * 2), F.get(messages, k * 2 + 1)
         return F.struct(
-            user[role].alias("ur"), reply[role].alias("ar"), user[content].alias("q"), reply[content].alias("r")
+            F.get(messages, k * 2)[content].alias("q"), F.get(messages, k * 2 + 1)[content].alias("r")
         )
 
     numbers = F.when(whole > 0, F.sequence(F.lit(0), whole - 1)).otherwise(F.lit([]).cast("array<int>"))
     return F.transform(numbers, pair)
 
 
-def roles_alternate(pairs: Column) -> Column:
-    """The first pair fixes the two role names; every later pair must repeat them."""
-    first = F.get(pairs, F.lit(0))
-    return F.forall(pairs, lambda p: p["ur"].eqNullSafe(first["ur"]) & p["ar"].eqNullSafe(first["ar"]))
+def roles_alternate(messages: str, role: str = "role") -> Column:
+    """The first pair fixes the two role names; every later whole pair must repeat them.
 
-
-def texts_of(pairs: Column) -> Column:
-    return F.transform(pairs, lambda p: F.struct(p["q"].alias("q"), p["r"].alias("r")))
+    Looks at the roles alone: rows are filtered by it, and a filter is pushed below the
+    projection that builds the pairs.
+    """
+    in_pairs = F.size(messages) - F.size(messages) % 2
+    repeats = F.transform(
+        F.slice(messages, F.lit(1), in_pairs), lambda x, i: x[role].eqNullSafe(F.get(messages, i % 2)[role])
+    )
+    return F.forall(repeats, lambda same: same)
 
 
 def apply_order_policy(df: DataFrame, ok: str, policy: str) -> DataFrame:
@@ -87,10 +89,10 @@ def examples_from_messages(
 ) -> DataFrame:
     """Message arrays (one conversation per row) to examples. Conversations without a
     whole pair are dropped; so are all source columns but ``keep``."""
-    paired = df.select(*keep, message_pairs(F.col(messages), role, content).alias("_pairs"))
-    paired = paired.filter(F.size("_pairs") > 0).withColumn("order_ok", roles_alternate(F.col("_pairs")))
-    paired = apply_order_policy(paired, "order_ok", on_bad_order)
+    kept = df.filter(F.size(messages) >= 2).withColumn("order_ok", roles_alternate(messages, role))
+    kept = apply_order_policy(kept, "order_ok", on_bad_order)
     flag = ["order_ok"] if on_bad_order == "quarantine" else []
+    paired = kept.select(*keep, *flag, message_pairs(F.col(messages), content).alias("_pairs"))
     last = F.element_at("_pairs", -1)
     return paired.select(
         *keep,
@@ -98,7 +100,7 @@ def examples_from_messages(
         last["q"].alias("prompt"),
         F.lit("").alias("query"),
         last["r"].alias("response"),
-        texts_of(F.slice("_pairs", F.lit(1), F.size("_pairs") - 1)).alias("history"),
+        F.slice("_pairs", F.lit(1), F.size("_pairs") - 1).alias("history"),
     )
 
 

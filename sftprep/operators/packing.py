@@ -33,10 +33,8 @@ def pack_blocks(
     if block_size < 2:
         raise ValueError("block_size must be at least 2")
     order = list(order)
-    numbered = (
-        pieces.withColumn("pack_group", F.expr(f"{order[0]} div {pack_rows}"))
-        .withColumn("_n", F.size("ids").cast("bigint"))
-        .filter(F.col("_n") > 0)
+    numbered = pieces.withColumn("pack_group", F.expr(f"{order[0]} div {pack_rows}")).withColumn(
+        "_n", F.size("ids").cast("bigint")
     )
     before = Window.partitionBy("pack_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_off")
@@ -64,13 +62,22 @@ def pack_blocks(
         "pack_group",
         *order,
         F.explode(
-            F.transform(F.sequence(F.floor(first / block_size), F.floor(last / block_size)), part)
+            F.transform(
+                F.when(F.col("_n") > 0, F.sequence(F.floor(first / block_size), F.floor(last / block_size))).otherwise(
+                    F.lit([]).cast("array<bigint>")
+                ),
+                part,
+            )
         ).alias("part"),
     )
     blocks = parts.groupBy("pack_group", F.col("part.block").alias("block")).agg(
-        F.sort_array(F.collect_list(F.struct(*order, "part.ids", "part.labels"))).alias("parts")
+        F.sort_array(F.collect_list(F.struct(*order, "part.ids", "part.labels"))).alias("parts"),
+        F.sum(F.size("part.ids")).alias("tokens"),
     )
-    joined = blocks.select(
+    full = F.col("tokens") == block_size
+    if eos_id is not None:
+        full = F.col("tokens") >= block_size - 1
+    joined = blocks.filter(full).select(
         "pack_group", "block", F.flatten("parts.ids").alias("input_ids"), F.flatten("parts.labels").alias("labels")
     )
     if eos_id is not None:
@@ -83,6 +90,6 @@ def pack_blocks(
             F.when(short, F.concat("input_ids", eos)).otherwise(F.col("input_ids")).alias("input_ids"),
             F.when(short, F.concat("labels", eos)).otherwise(F.col("labels")).alias("labels"),
         )
-    return joined.filter(F.size("input_ids") == block_size).select(
+    return joined.select(
         "pack_group", "block", "input_ids", F.array_repeat(F.lit(1), block_size).alias("attention_mask"), "labels"
     )

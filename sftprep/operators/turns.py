@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .normalize import apply_order_policy, message_pairs, roles_alternate, texts_of
+from .normalize import apply_order_policy, message_pairs, roles_alternate
 from .ordering import row_index
 
 CHUNK_PAIRS = 4096
@@ -40,36 +40,34 @@ def conversation_chunks(
             F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("text")))
         ).alias("m")
     )
+    # What rows are kept by is computed from the gathered array, not from the pairs:
+    # a filter is pushed below the projection and would build the pairs a second time.
+    n = F.size("m")
+    in_pairs = n - n % 2
     dense = F.forall(
         F.transform("m", lambda x, i: x["turn"] == F.col("chunk") * messages + i), lambda in_place: in_place
     )
-    pairs = message_pairs(F.col("m"), "role", "text")
-    chunks = (
-        gathered.withColumn(
-            "m",
-            F.when(dense, F.col("m")).otherwise(F.raise_error(F.lit(f"{turn} has gaps or repeats in a conversation"))),
-        )
-        .select(conv, "chunk", F.size("m").alias("n"), pairs.alias("p"))
-        .select(
-            conv,
-            "chunk",
-            "n",
-            (F.col("chunk") * width).alias("first_idx"),
-            texts_of(F.col("p")).alias("pairs"),
-            F.size("p").alias("here"),
-            roles_alternate(F.col("p")).alias("ok"),
-            F.get("p", F.lit(0))["ur"].alias("ur"),
-            F.get("p", F.lit(0))["ar"].alias("ar"),
-            F.try_element_at(F.col("p"), F.lit(-1)).alias("tail"),
-        )
-        .withColumn("last", F.when(F.col("here") > 0, F.struct(F.col("tail.q").alias("q"), F.col("tail.r").alias("r"))))
+    broken = F.raise_error(F.lit(f"{turn} has gaps or repeats in a conversation"))
+    chunks = gathered.select(
+        conv,
+        "chunk",
+        n.alias("n"),
+        F.expr("size(m) div 2").cast("bigint").alias("here"),
+        (F.col("chunk") * width).alias("first_idx"),
+        F.when(dense, message_pairs(F.col("m"), "text")).otherwise(broken).alias("pairs"),
+        roles_alternate("m").alias("ok"),
+        F.when(n >= 2, F.get("m", F.lit(0))["role"]).alias("ur"),
+        F.get("m", F.lit(1))["role"].alias("ar"),
+        F.when(
+            n >= 2,
+            F.struct(F.get("m", in_pairs - 2)["text"].alias("q"), F.get("m", in_pairs - 1)["text"].alias("r")),
+        ).alias("last"),
     )
     # One test that needs the gathered size, so it stays above the aggregate and both
     # branches below read the same shuffle.
     whole = F.when(F.col("chunk") == 0, F.col("n")).otherwise(messages) < messages
     closed = chunks.filter(whole & (F.col("here") > 0)).select(
-        conv, "chunk", "first_idx", "pairs", F.col("here").cast("bigint").alias("n_pairs"), "last",
-        F.col("ok").alias("order_ok"),
+        conv, "chunk", "first_idx", "pairs", F.col("here").alias("n_pairs"), "last", F.col("ok").alias("order_ok")
     )
     parts = chunks.filter(~whole)
     totals = parts.groupBy(conv).agg(
@@ -122,7 +120,7 @@ def pair_rows(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:
 
 def _is_head() -> Column:
     """The first chunk of a conversation, tested above the aggregate (see above)."""
-    return F.when(F.size("pairs") > 0, F.col("chunk")) == 0
+    return F.when(F.col("n_pairs") > 0, F.col("chunk")) == 0
 
 
 def examples_from_turns(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:

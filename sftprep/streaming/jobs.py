@@ -89,17 +89,15 @@ def split_stream(
     train_path: str,
     eval_path: str,
     checkpoint: str,
-    shuffle_train: bool = False,
     buffer_size: int = BUFFER_SIZE,
     seed: int = 42,
 ) -> StreamingQuery:
-    """Take/skip split. The training part stays in order unless ``shuffle_train`` is set."""
+    """The first rows are for evaluation and the rest, in order, for training; without a
+    validation set the training rows are shuffled within the buffer."""
     if 1e-6 < val_size < 1:
         raise ValueError("Streaming mode should have an integer val size.")
-    if int(val_size) > 0 and not shuffle_train:
-        return take_and_skip(stream, int(val_size), key, eval_path, train_path, checkpoint)
     if int(val_size) > 0:
-        raise ValueError("shuffle the training part in a second pass over train_path")
+        return take_and_skip(stream, int(val_size), key, eval_path, train_path, checkpoint)
     return shuffle_stream(stream, key, train_path, checkpoint, buffer_size, seed)
 
 
