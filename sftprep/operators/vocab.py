@@ -38,15 +38,15 @@ def encode_with_vocabulary(
     hot, cold = _split_by_rank(vocabulary, first_id)
     marked = tokens.join(F.broadcast(hot.select("token", F.col("token_id").alias("_hot"))), "token", "left")
     near = F.col("_hot").isNotNull() | F.col("token").isNull()  # an empty text has one row without a token
-    found = marked.filter(near).select(key, "pos", F.col("_hot").alias("id"))
+    found = marked.filter(near).select(key, "pos", F.col("_hot").alias("_id"))
     rest = (
         marked.filter(~near)
         .join(cold.select("token", F.col("token_id").alias("_cold")), "token", "left")
-        .select(key, "pos", F.coalesce("_cold", F.lit(unknown_id)).alias("id"))
+        .select(key, "pos", F.coalesce("_cold", F.lit(unknown_id)).alias("_id"))
     )
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.col("id").cast("int").alias("id")))
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.col("_id").cast("int").alias("_id")))
     return found.unionByName(rest).groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list(item)), lambda x: x["id"]).alias("input_ids")
+        F.transform(F.sort_array(F.collect_list(item)), lambda x: x["_id"]).alias("input_ids")
     )
 
 
