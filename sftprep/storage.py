@@ -8,25 +8,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session without that setting falls back to a temporary folder;
     on a cluster such a folder would be seen by one machine only.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
-    made = tempfile.mkdtemp(prefix="sftprep-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor reaches")
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="sftprep-")
+    return _local_dirs[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path (not created) below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path (not created), in one folder per application so that it is easy to clear."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def write_through(df: DataFrame, label: str) -> DataFrame:
