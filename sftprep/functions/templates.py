@@ -288,7 +288,7 @@ def text_units(template: ChatTemplate, turns: Column, system: Column, first_idx:
     return F.concat(F.array(*prefix), body) if prefix else body
 
 
-def _id_array(ids: list[int]) -> Column:
+def id_array(ids: list[int]) -> Column:
     return F.array(*[F.lit(i) for i in ids]) if ids else F.lit([]).cast("array<int>")
 
 
@@ -297,8 +297,10 @@ def assemble_turns(
 ) -> Column:
     """``array<struct<src,tgt>>`` from the encoded units of :func:`text_units`.
 
-    ``units`` must be a stored column, not the expression that encodes: it is read
-    several times per turn.
+    Each side is a list of id arrays still to be joined (``array<array<int>>``): lists
+    of arrays are cheap to put together, while joining ids copies each of them, so that
+    is left to one ``flatten`` at the end. ``units`` must be a stored column, not the
+    expression that encodes: it is read several times per turn.
     """
     special = tokenizer.special
     bos_name, eos_name = _bos_name(special), _eos_name(template, special)
@@ -314,10 +316,7 @@ def assemble_turns(
     n_prefix = sum(isinstance(e, str) for e in prefix)
     n_prompt = sum(isinstance(e, str) for e in template.prompt)
 
-    def joined(parts: list[Column]) -> Column:
-        return F.concat(*parts) if parts else _id_array([])
-
-    def ids_of(elements: Iterable[Element], first_unit: Column | int) -> list[Column]:
+    def parts_of(elements: Iterable[Element], first_unit: Column | int) -> list[Column]:
         out, taken = [], 0
         for e in elements:
             if isinstance(e, Special):
@@ -328,22 +327,24 @@ def assemble_turns(
         return out
 
     if template.system_in_query:
-        opening = following = _id_array(bos)
+        opening = following = F.array(id_array(bos))
     else:
-        head = joined(ids_of(prefix, 0))
-        with_head = F.concat(_id_array(bos), head, _id_array(sep))
-        surely = any(isinstance(e, Special) for e in prefix)
-        opening = with_head if surely else F.when(F.size(head) > 0, with_head).otherwise(_id_array(bos))
-        following = _id_array(sep + bos)
+        head = parts_of(prefix, 0)
+        opening = F.array(id_array(bos), *head, id_array(sep))
+        if not any(isinstance(e, Special) for e in prefix):
+            # a prefix that encodes to nothing takes its separator with it
+            length = sum((F.size(h) for h in head), F.lit(0))
+            opening = F.when(length > 0, opening).otherwise(F.array(id_array(bos)))
+        following = F.array(id_array(sep + bos))
 
     def turn(_t: Column, i: Column) -> Column:
         first = i * (n_prompt + 1) + n_prefix
         response = F.get(units, first + n_prompt)
         return F.struct(
             F.concat(
-                F.when(i + first_idx == 0, opening).otherwise(following), *ids_of(template.prompt, first)
+                F.when(i + first_idx == 0, opening).otherwise(following), F.array(*parts_of(template.prompt, first))
             ).alias("src"),
-            (F.concat(response, _id_array(eos)) if eos else response).alias("tgt"),
+            F.array(response, *([id_array(eos)] if eos else [])).alias("tgt"),
         )
 
     return F.transform(turns, turn)

@@ -108,8 +108,9 @@ class CodepointTokenizer(Tokenizer):
         return (i for i in range(self.offset) if i not in used)
 
     def _ids(self, text: Column) -> Column:
-        # splitting '' gives one empty string, hence the filter
-        return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c) + self.offset)
+        # splitting '' gives one empty string, not none
+        codes = F.transform(F.split(text, ""), lambda c: F.ascii(c) + self.offset)
+        return F.when(text == "", F.lit([]).cast("array<int>")).otherwise(codes)
 
     def encode_units(self, units: Column) -> Column:
         return F.transform(units, self._ids)

@@ -10,6 +10,7 @@ from ..functions.templates import (
     ChatTemplate,
     assemble_turns,
     conversation_turns,
+    id_array,
     system_or_default,
     text_units,
 )
@@ -71,7 +72,7 @@ def _encoded_turns(
     keep: Sequence[str],
     first_idx: Column | int = 0,
 ) -> DataFrame:
-    """Add ``enc array<struct<src,tgt>>``: texts first, then one tokenizer call, then assembly."""
+    """Add ``enc array<struct<src,tgt>>`` (lists of id arrays): texts first, then one tokenizer call, then assembly."""
     system = F.col("system") if "system" in df.columns else None
     at = first_idx if isinstance(first_idx, int) else F.col("_first")
     base = df.select(
@@ -104,18 +105,34 @@ def _share(cutoff_len: int, part: Column, total: Column) -> Column:
     return (F.lit(cutoff_len) * (part / total)).cast("int")
 
 
+def _length(parts: Column) -> Column:
+    """Number of ids in a list of id arrays."""
+    return F.aggregate(parts, F.lit(0), lambda n, p: n + F.size(p))
+
+
+def _first(parts: Column, length: Column, limit: Column) -> Column:
+    """The list cut to ``limit`` ids; only lists that are too long are joined for it."""
+    return F.when(length > limit, F.array(F.slice(F.flatten(parts), F.lit(1), limit))).otherwise(parts)
+
+
 def _mask(
-    src: Column, idx: Column, template: ChatTemplate, eos_id: int, train_on_prompt: bool, strict_align: bool
+    src: Column, n: Column, idx: Column, template: ChatTemplate, eos_id: int, train_on_prompt: bool, strict_align: bool
 ) -> Column:
+    """Labels of a source of ``n`` ids, as a list of arrays."""
     if train_on_prompt:
         return src
-    ignored = F.array_repeat(F.lit(IGNORE_INDEX), F.size(src))
+    ignored = F.array(F.array_repeat(F.lit(IGNORE_INDEX), n))
     if not template.efficient_eos:
         return ignored
-    after_eos = F.concat(F.array(F.lit(eos_id)), F.array_repeat(F.lit(IGNORE_INDEX), F.size(src) - 1))
-    if strict_align:
-        after_eos = F.when(F.size(src) > 0, after_eos).otherwise(F.lit([]).cast("array<int>"))
-    return F.when(idx != 0, after_eos).otherwise(ignored)
+    after_eos = F.array(id_array([eos_id]), F.array_repeat(F.lit(IGNORE_INDEX), n - 1))
+    later = (idx != 0) & (n > 0) if strict_align else idx != 0
+    return F.when(later, after_eos).otherwise(ignored)
+
+
+def _joined(pieces: str, tail: list[int]) -> Column:
+    """All ids of the turns and a constant end, copied once."""
+    lists = F.flatten(pieces)
+    return F.flatten(F.concat(lists, F.array(id_array(tail))) if tail else lists)
 
 
 def supervised(
@@ -137,31 +154,28 @@ def supervised(
     rows = valid_for_sft(df)
     enc = _encoded_turns(rows, template, tokenizer, example_turns(rows, template, F.col("response")), keep)
 
-    def cut(t: Column) -> Column:
-        s, r = F.size(t["src"]), F.size(t["tgt"])
-        return F.struct(
-            F.slice(t["src"], F.lit(1), _share(cutoff_len, s, s + r)).alias("src"),
-            F.slice(t["tgt"], F.lit(1), _share(cutoff_len, r, s + r)).alias("tgt"),
-        )
+    def measured(t: Column) -> Column:
+        return F.struct(t["src"].alias("src"), t["tgt"].alias("tgt"), _length(t["src"]).alias("s"), _length(t["tgt"]).alias("r"))
 
     def piece(t: Column, i: Column) -> Column:
-        mask = _mask(t["src"], i, template, eos, train_on_prompt, strict_align)
-        return F.struct(F.concat(t["src"], t["tgt"]).alias("ids"), F.concat(mask, t["tgt"]).alias("labels"))
-
-    pieces = enc.select(*keep, F.transform("enc", cut).alias("_cut")).select(
-        *keep, F.transform("_cut", piece).alias("_pieces")
+        total = t["s"] + t["r"]
+        most_s, most_r = _share(cutoff_len, t["s"], total), _share(cutoff_len, t["r"], total)
+        src, tgt = _first(t["src"], t["s"], most_s), _first(t["tgt"], t["r"], most_r)
+        mask = _mask(src, F.least(t["s"], most_s), i, template, eos, train_on_prompt, strict_align)
+        return F.struct(F.concat(src, tgt).alias("ids"), F.concat(mask, tgt).alias("labels"))
+
+    pieces = enc.select(*keep, F.transform(F.transform("enc", measured), piece).alias("_pieces"))
+    tail = [eos] if template.efficient_eos else []
+    joined = pieces.select(
+        *keep, _joined("_pieces.ids", tail).alias("_ids"), _joined("_pieces.labels", tail).alias("_labels")
     )
-    ids, labels = F.flatten("_pieces.ids"), F.flatten("_pieces.labels")
-    if template.efficient_eos:
-        ids, labels = F.concat(ids, F.array(F.lit(eos))), F.concat(labels, F.array(F.lit(eos)))
-    # the reference cuts both sides only when the ids are too long
-    long = F.size(ids) > cutoff_len
-    joined = pieces.select(*keep, ids.alias("input_ids"), labels.alias("labels"), long.alias("_long"))
+    # both are cut if the ids are too long, and neither if not
+    long = F.size("_ids") > cutoff_len
     return joined.select(
         *keep,
-        F.slice("input_ids", 1, cutoff_len).alias("input_ids"),
-        F.array_repeat(F.lit(1), F.least(F.size("input_ids"), F.lit(cutoff_len))).alias("attention_mask"),
-        F.when(F.col("_long"), F.slice("labels", 1, cutoff_len)).otherwise(F.col("labels")).alias("labels"),
+        F.when(long, F.slice("_ids", 1, cutoff_len)).otherwise(F.col("_ids")).alias("input_ids"),
+        F.array_repeat(F.lit(1), F.least(F.size("_ids"), F.lit(cutoff_len))).alias("attention_mask"),
+        F.when(long, F.slice("_labels", 1, cutoff_len)).otherwise(F.col("_labels")).alias("labels"),
     )
 
 
@@ -185,7 +199,8 @@ def predict(
     enc = _encoded_turns(rows, template, tokenizer, example_turns(rows, template, response), keep)
     labels = F.element_at("enc", -1)["tgt"]
     if template.efficient_eos:
-        labels = F.concat(labels, F.array(F.lit(tokenizer.special.eos_id)))
+        labels = F.concat(labels, F.array(id_array([tokenizer.special.eos_id])))
+    labels = F.flatten(labels)
     return enc.select(
         *keep, F.slice(one_turn_prompt(F.col("enc")), 1, cutoff_len).alias("input_ids"),
         F.slice(labels, 1, cutoff_len).alias("labels"),
@@ -195,9 +210,8 @@ def predict(
 def one_turn_prompt(enc: Column) -> Column:
     """All ids before the last answer."""
     earlier = F.slice(enc, F.lit(1), F.size(enc) - 1)
-    return F.concat(
-        F.flatten(F.transform(earlier, lambda t: F.concat(t["src"], t["tgt"]))), F.element_at(enc, -1)["src"]
-    )
+    lists = F.flatten(F.transform(earlier, lambda t: F.concat(t["src"], t["tgt"])))
+    return F.flatten(F.concat(lists, F.element_at(enc, -1)["src"]))
 
 
 def pairwise(
@@ -227,7 +241,7 @@ def pairwise(
     )
     # every answer ends in eos: per turn, or once at the end
     eos = F.array(F.lit(tokenizer.special.eos_id))
-    chosen = F.element_at("enc", -1)["tgt"]
+    chosen = F.flatten(F.element_at("enc", -1)["tgt"])
     sides = enc.select(
         *keep,
         one_turn_prompt(F.col("enc")).alias("p"),
@@ -264,9 +278,9 @@ def training_pieces(
     at = first_idx if isinstance(first_idx, int) else F.col("_first")
 
     def piece(t: Column, i: Column) -> Column:
-        mask = _mask(t["src"], i + at, template, eos, train_on_prompt, False)
+        mask = _mask(t["src"], _length(t["src"]), i + at, template, eos, train_on_prompt, False)
         return F.struct(F.concat(t["src"], t["tgt"]).alias("ids"), F.concat(mask, t["tgt"]).alias("labels"))
 
-    return enc.withColumn("_pieces", F.transform("enc", piece)).select(
-        *keep, F.flatten("_pieces.ids").alias("ids"), F.flatten("_pieces.labels").alias("labels")
+    return enc.select(*keep, F.transform("enc", piece).alias("_pieces")).select(
+        *keep, _joined("_pieces.ids", []).alias("ids"), _joined("_pieces.labels", []).alias("labels")
     )

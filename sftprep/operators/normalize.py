@@ -34,17 +34,13 @@ def pairs_from_lists(history: Column) -> Column:
     return F.transform(history, lambda h: F.struct(F.get(h, F.lit(0)).alias("q"), F.get(h, F.lit(1)).alias("r")))
 
 
-def message_pairs(messages: Column, content: str = "content") -> Column:
+def message_pairs(messages: str, content: str = "content") -> Column:
     """Consecutive messages as ``array<struct<q,r>>``; an odd last message is left out."""
-    whole = F.floor(F.size(messages) / 2).cast("int")
-
-    def pair(k: Column) -> Column:
-        return F.struct(
-            F.get(messages, k * 2)[content].alias("q"), F.get(messages, k * 2 + 1)[content].alias("r")
-        )
-
-    numbers = F.when(whole > 0, F.sequence(F.lit(0), whole - 1)).otherwise(F.lit([]).cast("array<int>"))
-    return F.transform(numbers, pair)
+    return F.expr(
+        f"""transform(
+          if(size({messages}) >= 2, sequence(0, size({messages}) - 2 - size({messages}) % 2, 2), array()),
+          k -> struct(get({messages}, k).`{content}` as q, get({messages}, k + 1).`{content}` as r))"""
+    )
 
 
 def roles_alternate(messages: str, role: str = "role") -> Column:
@@ -53,11 +49,12 @@ def roles_alternate(messages: str, role: str = "role") -> Column:
     Looks at the roles alone: rows are filtered by it, and a filter is pushed below the
     projection that builds the pairs.
     """
-    in_pairs = F.size(messages) - F.size(messages) % 2
-    repeats = F.transform(
-        F.slice(messages, F.lit(1), in_pairs), lambda x, i: x[role].eqNullSafe(F.get(messages, i % 2)[role])
+    return F.expr(
+        f"""forall(
+          transform(slice({messages}, 1, size({messages}) - size({messages}) % 2),
+                    (x, i) -> x.`{role}` <=> get({messages}, i % 2).`{role}`),
+          same -> same)"""
     )
-    return F.forall(repeats, lambda same: same)
 
 
 def apply_order_policy(df: DataFrame, ok: str, policy: str) -> DataFrame:
@@ -89,10 +86,11 @@ def examples_from_messages(
 ) -> DataFrame:
     """Message arrays (one conversation per row) to examples. Conversations without a
     whole pair are dropped; so are all source columns but ``keep``."""
-    kept = df.filter(F.size(messages) >= 2).withColumn("order_ok", roles_alternate(messages, role))
+    messages = f"`{messages}`"
+    kept = df.filter(F.size(F.col(messages)) >= 2).withColumn("order_ok", roles_alternate(messages, role))
     kept = apply_order_policy(kept, "order_ok", on_bad_order)
     flag = ["order_ok"] if on_bad_order == "quarantine" else []
-    paired = kept.select(*keep, *flag, message_pairs(F.col(messages), content).alias("_pairs"))
+    paired = kept.select(*keep, *flag, message_pairs(messages, content).alias("_pairs"))
     last = F.element_at("_pairs", -1)
     return paired.select(
         *keep,

@@ -76,6 +76,16 @@ def range_index(df: DataFrame, *order: Column, out: str = "row_idx") -> DataFram
     )
 
 
+BROADCAST_ROWS = 200_000  # of a few dozen bytes and a path each
+
+
+def join_if_small(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Join a table of one row per file or block: by broadcast if a count shows that it
+    is small, so that the rows stay where they are, else by shuffle."""
+    few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(table) if few else table, keys)
+
+
 def file_index(df: DataFrame, out: str = "row_idx") -> DataFrame:
     """Dense 0-based index of a Parquet scan, by file path and position in the file.
 
@@ -86,7 +96,8 @@ def file_index(df: DataFrame, out: str = "row_idx") -> DataFrame:
     sizes = placed.groupBy("_file").agg((F.max("_pos") + 1).alias("_n"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return placed.join(offsets, "_file").withColumn(out, F.col("_offset") + F.col("_pos")).drop("_file", "_pos", "_offset")
+    joined = join_if_small(placed, offsets, ["_file"])
+    return joined.withColumn(out, F.col("_offset") + F.col("_pos")).drop("_file", "_pos", "_offset")
 
 
 def scan_index(df: DataFrame, out: str = "row_idx") -> DataFrame:
@@ -108,12 +119,36 @@ def scan_index(df: DataFrame, out: str = "row_idx") -> DataFrame:
         "_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        placed.join(offsets, ["_file", "_start"])
+        join_if_small(placed, offsets, ["_file", "_start"])
         .withColumn(out, F.col("_offset") + F.col("_place") - F.col("_first"))
         .drop("_file", "_start", "_place", "_first", "_offset")
     )
 
 
+def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest values of a unique integer key.
+
+    The n-th key is found by counting per block of keys and ordering one block; the
+    result is a plain filter on the key, which reaches the scan.
+    """
+    if n <= 0:
+        if n < 0:
+            raise ValueError("max_samples must not be negative")
+        return df.filter(F.lit(False))
+    block = F.shiftright(F.col(key).cast("bigint"), BLOCK_BITS).alias("_block")
+    counts = df.groupBy(block).agg(F.count("*").alias("_n"))
+    upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    crossing = (
+        counts.withColumn("_upto", F.sum("_n").over(upto)).filter(F.col("_upto") >= n).orderBy("_block").limit(1).first()
+    )
+    if crossing is None:  # fewer than n rows
+        return df
+    left = n - (crossing["_upto"] - crossing["_n"])
+    low = crossing["_block"] << BLOCK_BITS
+    inside = df.select(F.col(key).alias("k")).filter(F.col("k").between(low, low + 2**BLOCK_BITS - 1))
+    return df.filter(F.col(key) <= inside.orderBy("k").limit(left).agg(F.max("k")).first()[0])
+
+
 # -- seeded order -----------------------------------------------------------------
 
 

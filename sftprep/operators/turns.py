@@ -14,7 +14,7 @@ from .normalize import apply_order_policy, message_pairs, roles_alternate
 from .ordering import row_index
 
 CHUNK_PAIRS = 4096
-CHUNKS_PER_KEY = 256  # chunks of one conversation that share a join key
+CHUNKS_PER_KEY = 16  # chunks of one conversation that share a join key
 
 
 def conversation_chunks(
@@ -36,72 +36,54 @@ def conversation_chunks(
     """
     messages = width * 2
     gathered = df.groupBy(conv, F.expr(f"{turn} div {messages}").alias("chunk")).agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(content).alias("text")))
-        ).alias("m")
+        F.expr(f"sort_array(collect_list(struct({turn} as turn, {role} as role, {content} as text)))").alias("m")
     )
     # What rows are kept by is computed from the gathered array, not from the pairs:
     # a filter is pushed below the projection and would build the pairs a second time.
-    n = F.size("m")
-    in_pairs = n - n % 2
-    dense = F.forall(
-        F.transform("m", lambda x, i: x["turn"] == F.col("chunk") * messages + i), lambda in_place: in_place
-    )
-    broken = F.raise_error(F.lit(f"{turn} has gaps or repeats in a conversation"))
+    # The check of the numbering sits in n, which every row's filter reads.
+    broken = f"raise_error('{turn} has gaps or repeats in a conversation')"
+    dense = f"forall(transform(m, (x, i) -> x.turn = chunk * {messages} + i), in_place -> in_place)"
     chunks = gathered.select(
         conv,
         "chunk",
-        n.alias("n"),
-        F.expr("size(m) div 2").cast("bigint").alias("here"),
-        (F.col("chunk") * width).alias("first_idx"),
-        F.when(dense, message_pairs(F.col("m"), "text")).otherwise(broken).alias("pairs"),
+        F.expr(f"if({dense}, size(m), {broken})").alias("n"),
+        F.expr("size(m) div 2").alias("here"),
+        F.expr(f"chunk * {width}").alias("first_idx"),
+        message_pairs("m", "text").alias("pairs"),
         roles_alternate("m").alias("ok"),
-        F.when(n >= 2, F.get("m", F.lit(0))["role"]).alias("ur"),
-        F.get("m", F.lit(1))["role"].alias("ar"),
-        F.when(
-            n >= 2,
-            F.struct(F.get("m", in_pairs - 2)["text"].alias("q"), F.get("m", in_pairs - 1)["text"].alias("r")),
+        F.expr("if(size(m) >= 2, m[0].role, null)").alias("ur"),
+        F.expr("get(m, 1).role").alias("ar"),
+        F.expr(
+            """if(size(m) >= 2,
+                  struct(m[size(m) - 2 - size(m) % 2].text as q, m[size(m) - 1 - size(m) % 2].text as r), null)"""
         ).alias("last"),
     )
     # One test that needs the gathered size, so it stays above the aggregate and both
     # branches below read the same shuffle.
-    whole = F.when(F.col("chunk") == 0, F.col("n")).otherwise(messages) < messages
-    closed = chunks.filter(whole & (F.col("here") > 0)).select(
-        conv, "chunk", "first_idx", "pairs", F.col("here").alias("n_pairs"), "last", F.col("ok").alias("order_ok")
+    whole = f"if(chunk = 0, n, {messages}) < {messages}"
+    closed = chunks.filter(f"{whole} and here > 0").selectExpr(
+        conv, "chunk", "first_idx", "pairs", "here as n_pairs", "last", "ok as order_ok"
     )
-    parts = chunks.filter(~whole)
+    parts = chunks.filter(f"not ({whole})")
     totals = parts.groupBy(conv).agg(
-        F.min("chunk").alias("c0"),
-        F.max("chunk").alias("c1"),
-        F.count("*").alias("nc"),
-        F.sum("n").alias("nm"),
-        F.max_by("n", "chunk").alias("n_last"),
-        F.sum("here").alias("n_pairs"),
-        F.max_by("last", F.when(F.col("here") > 0, F.col("chunk"))).alias("last"),
-        (
-            F.bool_and("ok")
-            & F.min("ur").eqNullSafe(F.max("ur"))
-            & F.min("ar").eqNullSafe(F.max("ar"))
-        ).alias("order_ok"),
-    )
-    unbroken = (
-        (F.col("c0") == 0)
-        & (F.col("nc") == F.col("c1") + 1)
-        & (F.col("nm") == F.col("c1") * messages + F.col("n_last"))
+        F.expr("min(chunk) = 0 and count(*) = max(chunk) + 1").alias("unbroken"),
+        F.expr(f"sum(n) = max(chunk) * {messages} + max_by(n, chunk)").alias("filled"),
+        F.expr("max(chunk)").alias("last_chunk"),
+        F.expr("sum(here)").alias("n_pairs"),
+        F.expr("max_by(last, if(here > 0, chunk, null))").alias("last"),
+        F.expr("bool_and(ok) and min(ur) <=> max(ur) and min(ar) <=> max(ar)").alias("order_ok"),
     )
-    totals = totals.select(
+    totals = totals.selectExpr(
         conv,
-        F.when(unbroken, F.col("n_pairs"))
-        .otherwise(F.raise_error(F.lit(f"{turn} has gaps or repeats in a conversation")).cast("bigint"))
-        .alias("n_pairs"),
+        f"if(unbroken and filled, n_pairs, {broken}) as n_pairs",
         "last",
         "order_ok",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"c1 div {CHUNKS_PER_KEY}"))).alias("_share"),
+        f"explode(sequence(0L, last_chunk div {CHUNKS_PER_KEY})) as _share",
     )
     long_ones = (
-        parts.select(conv, "chunk", "first_idx", "pairs", "here", F.expr(f"chunk div {CHUNKS_PER_KEY}").alias("_share"))
+        parts.selectExpr(conv, "chunk", "first_idx", "pairs", "here", f"chunk div {CHUNKS_PER_KEY} as _share")
         .join(totals, [conv, "_share"])
-        .filter(F.col("here") > 0)
+        .filter("if(n_pairs >= 0, here, 0) > 0")  # after the join, so that every total is checked
         .select(conv, "chunk", "first_idx", "pairs", "n_pairs", "last", "order_ok")
     )
     return apply_order_policy(closed.unionByName(long_ones), "order_ok", on_bad_order)
@@ -120,7 +102,7 @@ def pair_rows(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:
 
 def _is_head() -> Column:
     """The first chunk of a conversation, tested above the aggregate (see above)."""
-    return F.when(F.col("n_pairs") > 0, F.col("chunk")) == 0
+    return F.expr("if(n_pairs > 0, chunk, null) = 0")
 
 
 def examples_from_turns(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:
@@ -132,14 +114,13 @@ def examples_from_turns(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:
     does not cut and works on :func:`conversation_chunks` instead.
     """
     flag = ["order_ok"] if "order_ok" in chunks.columns else []
-    whole = F.size("pairs") == F.col("n_pairs")
-    return chunks.filter(_is_head()).select(
+    return chunks.filter(_is_head()).selectExpr(
         conv,
         *flag,
-        F.col("last.q").alias("prompt"),
-        F.lit("").alias("query"),
-        F.col("last.r").alias("response"),
-        F.when(whole, F.slice("pairs", F.lit(1), F.size("pairs") - 1)).otherwise(F.col("pairs")).alias("history"),
+        "last.q as prompt",
+        "'' as query",
+        "last.r as response",
+        "if(size(pairs) = n_pairs, slice(pairs, 1, size(pairs) - 1), pairs) as history",
     )
 
 

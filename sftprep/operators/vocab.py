@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .ordering import range_index
 
 HOT_TOKENS = 10_000
+HOT_LENGTH = 1_000  # characters; with HOT_TOKENS it bounds the broadcast list
 
 
 def build_vocabulary(df: DataFrame, text: str = "text", first_id: int = 0) -> DataFrame:
@@ -18,35 +19,39 @@ def build_vocabulary(df: DataFrame, text: str = "text", first_id: int = 0) -> Da
     return ranked.withColumn("token_id", F.col("token_id") + first_id)
 
 
-def _split_by_rank(vocabulary: DataFrame, first_id: int) -> tuple[DataFrame, DataFrame]:
-    """The hottest tokens, at most ``HOT_TOKENS`` since ids are ranks, and all others."""
-    is_hot = F.col("token_id") < first_id + HOT_TOKENS
+def _hot_and_cold(vocabulary: DataFrame, first_id: int) -> tuple[DataFrame, DataFrame]:
+    """Tokens of high rank and moderate length, at most ``HOT_TOKENS`` since ids are ranks, and all others."""
+    is_hot = (F.col("token_id") < first_id + HOT_TOKENS) & (F.length("token") <= HOT_LENGTH)
     return vocabulary.filter(is_hot), vocabulary.filter(~is_hot)
 
 
+def _look_up(rows: DataFrame, vocabulary: DataFrame, first_id: int, by: str, wanted: str) -> DataFrame:
+    """Add ``_found``: the vocabulary's ``wanted`` column for ``by``, null where there is none.
+
+    Hot tokens are joined by broadcast, a list whose size is bounded by construction.
+    Every other token is rarer than 1 / ``HOT_TOKENS`` of the vocabulary's corpus, so the
+    shuffle join of the rest has no hot key. A null ``by`` stays out of that shuffle.
+    """
+    hot, cold = _hot_and_cold(vocabulary, first_id)
+    marked = rows.join(F.broadcast(hot.select(by, F.col(wanted).alias("_hot"))), by, "left")
+    settled = F.col("_hot").isNotNull() | F.col(by).isNull()
+    near = marked.filter(settled).withColumnRenamed("_hot", "_found")
+    far = marked.filter(~settled).drop("_hot").join(cold.select(by, F.col(wanted).alias("_found")), by, "left")
+    return near.unionByName(far)
+
+
 def encode_with_vocabulary(
     df: DataFrame, vocabulary: DataFrame, key: str, text: str = "text", first_id: int = 0, unknown_id: int = -1
 ) -> DataFrame:
-    """``key, input_ids``: each text as vocabulary ids, in order.
-
-    Tokens of high rank are joined by broadcast, a list bounded by construction; every
-    other token is rarer than 1 / ``HOT_TOKENS`` of the vocabulary's corpus, so the
-    shuffle join of the rest has no hot key.
-    """
+    """``key, input_ids``: each text as vocabulary ids, in order."""
     listed = F.filter(F.split(text, " "), lambda w: w != "")
+    # an empty text keeps one row, without a token
     tokens = df.select(key, F.posexplode_outer(listed).alias("pos", "token"))
-    hot, cold = _split_by_rank(vocabulary, first_id)
-    marked = tokens.join(F.broadcast(hot.select("token", F.col("token_id").alias("_hot"))), "token", "left")
-    near = F.col("_hot").isNotNull() | F.col("token").isNull()  # an empty text has one row without a token
-    found = marked.filter(near).select(key, "pos", F.col("_hot").alias("_id"))
-    rest = (
-        marked.filter(~near)
-        .join(cold.select("token", F.col("token_id").alias("_cold")), "token", "left")
-        .select(key, "pos", F.coalesce("_cold", F.lit(unknown_id)).alias("_id"))
-    )
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.col("_id").cast("int").alias("_id")))
-    return found.unionByName(rest).groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list(item)), lambda x: x["_id"]).alias("input_ids")
+    found = _look_up(tokens, vocabulary, first_id, "token", "token_id")
+    number = F.coalesce("_found", F.lit(unknown_id)).cast("int")
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", number.alias("i")))
+    return found.groupBy(key).agg(
+        F.transform(F.sort_array(F.collect_list(item)), lambda x: x["i"]).alias("input_ids")
     )
 
 
@@ -56,16 +61,9 @@ def decode_with_vocabulary(
     """``key, text``: ids back to words joined by single spaces. An id that is not in
     the vocabulary raises."""
     numbers = df.select(key, F.posexplode_outer(ids).alias("pos", "token_id"))
-    hot, cold = _split_by_rank(vocabulary, first_id)
-    is_hot = (F.col("token_id") < first_id + HOT_TOKENS) | F.col("token_id").isNull()
-    near = numbers.filter(is_hot).join(
-        F.broadcast(hot.select("token_id", F.col("token").alias("w"))), "token_id", "left"
-    )
-    far = numbers.filter(~is_hot).join(cold.select("token_id", F.col("token").alias("w")), "token_id", "left")
-    word = F.coalesce(
-        "w", F.raise_error(F.concat(F.lit("id not in the vocabulary: "), F.col("token_id").cast("string")))
-    )
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", word.alias("w")))
-    return near.unionByName(far).groupBy(key).agg(
+    found = _look_up(numbers, vocabulary, first_id, "token_id", "token")
+    unknown = F.raise_error(F.concat(F.lit("id not in the vocabulary: "), F.col("token_id").cast("string")))
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("_found", unknown).alias("w")))
+    return found.groupBy(key).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["w"]), " ").alias("text")
     )

@@ -131,7 +131,7 @@ def system_prompt(spark, sf):
 @query
 def max_samples(spark, sf):
     documents = _table(spark, sf, "documents").select("doc_id", "n_chars")
-    return ordering.first_rows(ordering.row_index(documents, "doc_id"), MAX_SAMPLES)
+    return ordering.row_index(ordering.first_by_key(documents, "doc_id", MAX_SAMPLES), "doc_id")
 
 
 def _marked_documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.normalize import CANONICAL, examples_from_messages, pairs_from_lists, rename_columns, with_system
 from ..operators.ordering import file_index, first_rows, row_index, scan_index
-from ..storage import list_files, path_exists, write_through
+from ..storage import head_of_file, list_files, path_exists, write_through
 from .manifest import DatasetSpec
 
 # File extension -> reader.
@@ -51,21 +51,20 @@ def raw_schema(spec: DatasetSpec, names: set[str] | None = None) -> str:
 
 
 def sniff_json(spark: SparkSession, path: str) -> tuple[bool, set[str]]:
-    """(is it one JSON array?, field names of the first records), from the first lines only."""
-    head = [r["value"] for r in spark.read.text(path).take(SNIFFED_LINES)]
-    text = "\n".join(head).lstrip("﻿ \t\r\n")
+    """(is it one JSON array?, field names of the first records), from the file's head only."""
+    text = head_of_file(spark, path).lstrip("\ufeff \t\r\n")
     names: set[str] = set()
     if not text.startswith("["):
-        for line in head:
+        for line in text.splitlines()[:SNIFFED_LINES]:
             try:
                 names |= set(json.loads(line))
-            except ValueError:
+            except ValueError:  # the last line may be cut
                 continue
         return False, names
     try:
         record, _ = json.JSONDecoder().raw_decode(text[1:].lstrip())
         names = set(record)
-    except ValueError:  # the first record is longer than the lines read: names stay unknown
+    except (ValueError, TypeError):  # no record ends within the head: names stay unknown
         pass
     return True, names
 

@@ -61,3 +61,13 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
         if status.isFile() and not status.getPath().getName().startswith((".", "_"))
     ]
     return [f"{path.rstrip('/')}/{name}" for name in sorted(names)]
+
+
+def head_of_file(spark: SparkSession, path: str, size: int = 1 << 20) -> str:
+    """The first ``size`` bytes of a file as text, however long its lines are."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return bytes(stream.readNBytes(size)).decode("utf-8", "ignore")
+    finally:
+        stream.close()

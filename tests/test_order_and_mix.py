@@ -22,6 +22,21 @@ def test_row_index(spark):
         assert [within[g, k] for k in members] == list(range(len(members)))
 
 
+def test_first_by_key(spark):
+    keys = random.Random(2).sample(range(-200_000, 200_000), 300)
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5)
+    for n in (0, 1, 150, 299, 300, 301):
+        assert sorted(r.k for r in ordering.first_by_key(df, "k", n).collect()) == sorted(keys)[:n]
+    with pytest.raises(ValueError):
+        ordering.first_by_key(df, "k", -1)
+
+
+def test_file_index_beyond_the_broadcast_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ordering, "BROADCAST_ROWS", 1)
+    spark.range(0, 100, 1, 4).write.parquet(str(tmp_path / "p"))
+    assert all(r.id == r.row_idx for r in ordering.file_index(spark.read.parquet(str(tmp_path / "p"))).collect())
+
+
 def test_row_index_needs_no_single_task(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     plan = ordering.row_index(df, "k")._jdf.queryExecution().executedPlan().toString()
