@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.templates import TEMPLATES, conversation_turns, render_turns, system_or_default, template_for
-from ..functions.tokenizers import CodepointTokenizer, SpecialTokens
-from ..operators import encode, metrics, mixing, normalize, ordering, split, turns, vocab
+from ..functions.templates import (
+    MODEL_FAMILY,
+    TEMPLATES,
+    conversation_turns,
+    render_turns,
+    system_or_default,
+    template_for,
+)
+from ..functions.tokenizers import CallableTokenizer, CodepointTokenizer, SpecialTokens
+from ..operators import encode, metrics, mixing, normalize, ordering, packing, split, turns, vocab
 from ..operators.batching import assign_batches, pad_batches
 from ..operators.lookup import with_template_name
-from ..operators.packing import pack_blocks
-from ..functions.templates import MODEL_FAMILY
 from ..sources import cache, files, integrity, manifest, sinks
 from ..storage import list_files, new_folder
 from ..streaming import jobs
@@ -37,6 +42,7 @@ LANGUAGES = ("en", "de", "fr", "es")  # the datasets of the mixing queries
 SHARES = (0.4, 0.3, 0.2, 0.1)
 SEED = 42
 MAX_SAMPLES = 300
+PREVIEWED = 3
 VAL_FRACTION, VAL_COUNT = 0.1, 50
 BLOCK, PACK_ROWS = 256, 20
 BATCH = 16
@@ -242,6 +248,18 @@ def tokenize_codepoint(spark, sf):
     return rows.select("conv_id", "turn", F.size("ids").cast("bigint").alias("n_tokens"), _ids("ids"))
 
 
+def utf8_encoder():
+    """An encoder of the kind users plug in: one id per byte."""
+    return lambda text: [b + TOKENIZER.offset for b in text.encode("utf-8")]
+
+
+@query
+def tokenize_callable(spark, sf):
+    tokenizer = CallableTokenizer(utf8_encoder, TOKENIZER.special)
+    rows = _table(spark, sf, "conversations").select("conv_id", "turn", tokenizer.encode(F.col("text")).alias("ids"))
+    return rows.select("conv_id", "turn", F.size("ids").cast("bigint").alias("n_tokens"), _ids("ids"))
+
+
 @query
 def vocab_build(spark, sf):
     return vocab.build_vocabulary(_table(spark, sf, "documents"))
@@ -311,7 +329,7 @@ def encode_pairwise(spark, sf):
 
 
 @query
-def pack(spark, sf):
+def pack_blocks(spark, sf):
     template, tokenizer = template_for("chatglm3", TOKENIZER)
     conversations = _table(spark, sf, "conversations")
     longest = conversations.agg(F.max("turn")).first()[0] or 0
@@ -320,7 +338,7 @@ def pack(spark, sf):
     pieces = encode.training_pieces(
         rows, template, tokenizer, F.col("pairs"), keep=("row_idx", "chunk"), first_idx=F.col("first_idx")
     )
-    blocks = pack_blocks(
+    blocks = packing.pack_blocks(
         pieces,
         BLOCK,
         tokenizer.special.eos_id,
@@ -331,9 +349,6 @@ def pack(spark, sf):
     return blocks.select("pack_group", "block", _ids("input_ids"), _ids("labels"))
 
 
-QUERIES["pack_blocks"] = QUERIES.pop("pack")
-
-
 # -- split, shuffle, batch --------------------------------------------------------
 
 
@@ -468,6 +483,12 @@ def prediction_sink(spark, sf):
     return spark.read.schema("label string, predict string").json(path)
 
 
+@query
+def preview_examples(spark, sf):
+    shown = sinks.preview_table(_encoded(spark, sf), TOKENIZER, PREVIEWED, "conv_id")
+    return shown.select("conv_id", "input_text", "labels_text")
+
+
 @query
 def metrics_sink(spark, sf):
     path = new_folder(spark, "metrics")

@@ -192,6 +192,12 @@ def minus_100(n: str) -> str:
 ORACLES["tokenize_codepoint"] = f"""
 select conv_id, turn, length(text) as n_tokens, {joined(codes('text'), 'ids')} from conversations"""
 
+_byte = f"('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::int + {C.TOKENIZER.offset}"
+ORACLES["tokenize_callable"] = f"""
+select conv_id, turn, octet_length(encode(text)) as n_tokens,
+       {joined(f'list_transform(range(octet_length(encode(text))), lambda i: {_byte})', 'ids')}
+from conversations"""
+
 ORACLES["decode_roundtrip"] = "select conv_id, turn, text from conversations"
 
 VOCABULARY = """
@@ -291,11 +297,21 @@ ORACLES["encode_llama2"] = counted(supervised("llama2", 1024))
 ORACLES["truncate_proportional"] = counted(supervised("chatglm3", 64))
 
 _names = " ".join(f"when i = {n} then {text(name)}" for name, n in S.items())
+
+def _decoded(ids_: str) -> str:
+    return (
+        f"array_to_string(list_transform({ids_}, lambda i: case {_names} else chr(i - {C.TOKENIZER.offset}) end), '')"
+    )
+
+
 ORACLES["decode_special"] = f"""
+with {supervised('chatglm3', 1024)} select conv_id, {_decoded('input_ids')} as text from encoded"""
+
+ORACLES["preview_examples"] = f"""
 with {supervised('chatglm3', 1024)}
-select conv_id,
-       array_to_string(list_transform(input_ids, lambda i: case {_names} else chr(i - {C.TOKENIZER.offset}) end), '') as text
-from encoded"""
+select conv_id, {_decoded('input_ids')} as input_text,
+       {_decoded('list_filter(labels, lambda x: x <> -100)')} as labels_text
+from encoded order by conv_id limit {C.PREVIEWED}"""
 
 
 def predicted(cutoff: int) -> str:

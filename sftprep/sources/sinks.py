@@ -26,8 +26,9 @@ def append_metrics(table: DataFrame, path: str) -> None:
     table.write.mode("append").parquet(path)
 
 
-def preview(encoded: DataFrame, tokenizer: Tokenizer, n: int = 1, order: str | None = None) -> list[Row]:
-    """The first ``n`` examples with their ids decoded; labels without the ignored places."""
+def preview_table(encoded: DataFrame, tokenizer: Tokenizer, n: int, order: str) -> DataFrame:
+    """The first ``n`` examples in ``order``, with their ids decoded; labels without the
+    ignored places."""
     shown = []
     for column in ("input_ids", "labels", "prompt_ids", "chosen_ids", "rejected_ids"):
         if column in encoded.columns:
@@ -35,7 +36,12 @@ def preview(encoded: DataFrame, tokenizer: Tokenizer, n: int = 1, order: str | N
             if column == "labels":
                 ids = F.filter(ids, lambda x: x != IGNORE_INDEX)
             shown += [F.col(column), tokenizer.decode(ids).alias(column.replace("_ids", "") + "_text")]
-    rows = (encoded.orderBy(order) if order else encoded).limit(n).select(*shown).collect()
+    return encoded.orderBy(order).limit(n).select(order, *shown)
+
+
+def preview(encoded: DataFrame, tokenizer: Tokenizer, n: int = 1, order: str = "row_idx") -> list[Row]:
+    """A few examples to look at; none at all is an error."""
+    rows = preview_table(encoded, tokenizer, n, order).collect()
     if not rows:
         raise RuntimeError("Empty dataset!")
     return rows
