@@ -9,6 +9,7 @@ block. No task ever holds more than one block of rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -100,19 +101,22 @@ def file_index(df: DataFrame, out: str = "row_idx") -> DataFrame:
     return joined.withColumn(out, F.col("_offset") + F.col("_pos")).drop("_file", "_pos", "_offset")
 
 
-def scan_index(df: DataFrame, out: str = "row_idx") -> DataFrame:
-    """Dense 0-based index of a text, CSV or JSON scan, by file, block and line.
+def scan_index(*scans: DataFrame, out: str = "row_idx") -> DataFrame:
+    """Dense 0-based index of text, CSV or JSON scans, by file, block and line.
 
     Such files carry no row numbers. Each row is stored once with its block and a
     number that rises inside the block, and is counted from the stored copy.
     """
-    tagged = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_place"),
-    )
-    placed = write_through(tagged, "scan-index")
+    tagged = [
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_place"),
+        )
+        for df in scans
+    ]
+    placed = write_through(reduce(DataFrame.unionByName, tagged), "scan-index")
     sizes = placed.groupBy("_file", "_start").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
     before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

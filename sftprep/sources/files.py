@@ -16,6 +16,8 @@ from .manifest import DatasetSpec
 EXTENSION_FORMAT = {"csv": "csv", "json": "json", "jsonl": "json", "txt": "text"}
 TABLE_FORMATS = ("parquet", "orc")
 SNIFFED_LINES = 1000
+LOOKED_AT_BY_DRIVER = 100  # files
+CSV_OPTIONS = dict(header=True, multiLine=True, escape='"')
 
 
 def format_of(files: list[str]) -> str:
@@ -69,21 +71,66 @@ def sniff_json(spark: SparkSession, path: str) -> tuple[bool, set[str]]:
     return True, names
 
 
-def scan_files(spark: SparkSession, files: list[str], kind: str, schema: str | None) -> tuple[DataFrame, set[str]]:
-    """One lazy scan over all files, and the field names they hold (empty if unknown).
+def json_layouts(spark: SparkSession, files: list[str]) -> dict[bool, list[str]]:
+    """Files by layout: True for one JSON array, False for JSON lines.
+
+    Each file is looked at, since a reader set for arrays would take just the first
+    record of a file of lines. Many files are looked at by tasks.
+    """
+    if len(files) <= LOOKED_AT_BY_DRIVER:
+        arrays = [head_of_file(spark, f, 64).lstrip("\ufeff \t\r\n").startswith("[") for f in files]
+    else:
+        def look(batches):
+            from pyarrow import fs
+
+            for batch in batches:
+                found = []
+                for path in batch["path"]:
+                    filesystem, inner = fs.FileSystem.from_uri(path)
+                    with filesystem.open_input_stream(inner) as stream:
+                        found.append(stream.read(64).decode("utf-8", "ignore").lstrip("\ufeff \t\r\n").startswith("["))
+                yield batch.assign(array=found)
+
+        listed = spark.createDataFrame(list(enumerate(files)), "n int, path string").repartition("n")
+        rows = listed.mapInPandas(look, "n int, path string, array boolean").select("n", "array").collect()
+        arrays = [r["array"] for r in sorted(rows)]
+    layouts: dict[bool, list[str]] = {}
+    for file, array in zip(files, arrays):
+        layouts.setdefault(array, []).append(file)
+    return layouts
+
+
+def scan_files(
+    spark: SparkSession, files: list[str], kind: str, schema: str | None
+) -> tuple[list[DataFrame], set[str]]:
+    """Lazy scans over all files (one per layout), and the field names they hold (empty if unknown).
 
     A JSON array and a CSV with quoted line breaks are read as whole files, one task
     each; JSON lines, text and Parquet are split.
     """
     if kind == "text":
-        return spark.read.text(files).withColumnRenamed("value", "text"), {"text"}
+        return [spark.read.text(files).withColumnRenamed("value", "text")], {"text"}
     if kind == "csv":
-        options = dict(header=True, multiLine=True, escape='"')
-        names = set(spark.read.csv(files[0], **options).columns)
-        return spark.read.csv(files, **options), names
-    array, names = sniff_json(spark, files[0])
-    reader = spark.read.option("multiLine", array).option("mode", "FAILFAST")
-    return reader.schema(schema).json(files), names
+        names = spark.read.csv(files[0], **CSV_OPTIONS).columns
+        # the header of every file is held against the first one's
+        schema = ", ".join(f"`{n}` string" for n in names)
+        return [spark.read.schema(schema).csv(files, enforceSchema=False, **CSV_OPTIONS)], set(names)
+    scans = [
+        spark.read.option("multiLine", array).option("mode", "FAILFAST").schema(schema).json(part)
+        for array, part in json_layouts(spark, files).items()
+    ]
+    return scans, sniff_json(spark, files[0])[1]
+
+
+def leading_files(spark: SparkSession, files: list[str], kind: str, schema: str | None, n: int) -> list[str]:
+    """The first files that together hold at least ``n`` rows, found by doubling."""
+    some = 1
+    while some < len(files):
+        scans, _ = scan_files(spark, files[:some], kind, schema)
+        if sum(scan.count() for scan in scans) >= n:
+            break
+        some *= 2
+    return files[:some]
 
 
 def check_columns(spec: DatasetSpec, names: set[str]) -> None:
@@ -175,9 +222,11 @@ def read_dataset(
         schema = None
         if kind == "json":
             schema = raw_schema(spec, sniff_json(spark, files[0])[1] or None)
-        raw, names = scan_files(spark, files, kind, schema)
+        if max_samples is not None:
+            files = leading_files(spark, files, kind, schema, max_samples)
+        scans, names = scan_files(spark, files, kind, schema)
         check_columns(spec, names)
-        indexed = scan_index(raw)
+        indexed = scan_index(*scans)
     else:
         indexed = read_table(spark, spec, bindings or {}, split)
         check_columns(spec, set(indexed.columns))
@@ -191,7 +240,7 @@ def read_dataset(
 
 def read_stream(spark: SparkSession, spec: DatasetSpec, dataset_dir: str, on_bad_order: str = "raise") -> DataFrame:
     """The same files as a stream, with the same conversion. ``address`` names a folder,
-    as a stream watches folders."""
+    as a stream watches folders; its JSON files must all have the layout of the first."""
     path = f"{dataset_dir.rstrip('/')}/{spec.address}"
     files = list_files(spark, path)
     kind = format_of(files)
@@ -200,9 +249,8 @@ def read_stream(spark: SparkSession, spec: DatasetSpec, dataset_dir: str, on_bad
     if kind == "text":
         raw = spark.readStream.text(path).withColumnRenamed("value", "text")
     elif kind == "csv":
-        options = dict(header=True, multiLine=True, escape='"')
-        schema = spark.read.csv(files[0], **options).schema
-        raw = spark.readStream.schema(schema).csv(path, **options)
+        schema = spark.read.csv(files[0], **CSV_OPTIONS).schema
+        raw = spark.readStream.schema(schema).csv(path, enforceSchema=False, **CSV_OPTIONS)
     else:
         array, names = sniff_json(spark, files[0])
         check_columns(spec, names)

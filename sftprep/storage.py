@@ -48,19 +48,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
-    """The file itself, or the visible files directly below a folder, in path order."""
+    """The file itself, or the visible files directly below a folder, in the order of their
+    paths as Spark spells them in ``_metadata.file_path``."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hadoop_path):
         raise ValueError(f"File not found: {path}")
     if fs.getFileStatus(hadoop_path).isFile():
         return [path]
-    names = [
-        status.getPath().getName()
-        for status in fs.listStatus(hadoop_path)
-        if status.isFile() and not status.getPath().getName().startswith((".", "_"))
-    ]
-    return [f"{path.rstrip('/')}/{name}" for name in sorted(names)]
+    found = [status.getPath() for status in fs.listStatus(hadoop_path) if status.isFile()]
+    names = sorted((p.toUri().toString(), p.getName()) for p in found)
+    return [f"{path.rstrip('/')}/{name}" for _, name in names if not name.startswith((".", "_"))]
 
 
 def head_of_file(spark: SparkSession, path: str, size: int = 1 << 20) -> str:

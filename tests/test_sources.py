@@ -20,6 +20,8 @@ MANIFEST = {
     },
     "folder": {"file_name": "folder"},
     "mixed": {"file_name": "mixed"},
+    "layouts": {"file_name": "layouts"},
+    "headers": {"file_name": "headers"},
     "hub": {"hf_hub_url": "a/b", "script_url": "c", "file_name": "d", "subset": "s1"},
     "script": {"script_url": "c", "columns": {"prompt": "instruction", "history": "history", "response": "output"}},
 }
@@ -47,6 +49,12 @@ def data(tmp_path):
     put("odd_chat.jsonl", json.dumps({"messages": [{"role": "u", "content": "a"}, {"role": "s", "content": "b"}]}))
     for n in range(3):
         put(f"folder/part{n}.jsonl", "\n".join(json.dumps({"instruction": f"{n}{k}", "input": "", "output": "o"}) for k in range(2)))
+    row = {"instruction": "x", "input": "", "output": "o"}
+    put("layouts/a b.json", "\n".join(json.dumps(row) for _ in range(3)))
+    put("layouts/a.json", json.dumps([row, row]))
+    put("layouts/c.jsonl", "\n".join(json.dumps(row) for _ in range(4)))
+    put("headers/a.csv", "instruction,input,output\ni,,o\n")
+    put("headers/b.csv", "output,input,instruction\no,,i\n")
     put("mixed/a.json", "[]")
     put("mixed/b.csv", "x\n")
     return str(tmp_path)
@@ -128,6 +136,19 @@ def test_folder(spark, data):
         storage.list_files(spark, data + "/nowhere")
 
 
+@pytest.mark.parametrize("by_driver", [100, 0])
+def test_json_layouts_side_by_side(spark, data, monkeypatch, by_driver):
+    monkeypatch.setattr(files, "LOOKED_AT_BY_DRIVER", by_driver)
+    assert [r.row_idx for r in read(spark, data, "layouts").collect()] == list(range(9))
+    for n in (1, 3, 4, 8, 9, 20):
+        assert read(spark, data, "layouts", max_samples=n).count() == min(n, 9)
+
+
+def test_csv_headers_must_agree(spark, data):
+    with pytest.raises(Exception, match="(?i)header"):
+        read(spark, data, "headers").collect()
+
+
 def test_missing_columns(spark, data):
     spec = manifest.parse_entry("p", {"file_name": "plain.json", "columns": {"prompt": "question", "response": "output"}})
     with pytest.raises(ValueError, match="question"):
