@@ -129,28 +129,34 @@ def scan_index(*scans: DataFrame, out: str = "row_idx") -> DataFrame:
     )
 
 
-def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest values of a unique integer key.
+def key_cut(df: DataFrame, key: str, n: int) -> int | None:
+    """The n-th smallest value (n ≥ 1) of a unique integer key, None if there are fewer rows.
 
-    The n-th key is found by counting per block of keys and ordering one block; the
-    result is a plain filter on the key, which reaches the scan.
+    Found by counting per block of keys and ordering the keys of one block.
     """
-    if n <= 0:
-        if n < 0:
-            raise ValueError("max_samples must not be negative")
-        return df.filter(F.lit(False))
     block = F.shiftright(F.col(key).cast("bigint"), BLOCK_BITS).alias("_block")
     counts = df.groupBy(block).agg(F.count("*").alias("_n"))
     upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
     crossing = (
         counts.withColumn("_upto", F.sum("_n").over(upto)).filter(F.col("_upto") >= n).orderBy("_block").limit(1).first()
     )
-    if crossing is None:  # fewer than n rows
-        return df
+    if crossing is None:
+        return None
     left = n - (crossing["_upto"] - crossing["_n"])
     low = crossing["_block"] << BLOCK_BITS
     inside = df.select(F.col(key).alias("k")).filter(F.col("k").between(low, low + 2**BLOCK_BITS - 1))
-    return df.filter(F.col(key) <= inside.orderBy("k").limit(left).agg(F.max("k")).first()[0])
+    return inside.orderBy("k").limit(left).agg(F.max("k")).first()[0]
+
+
+def first_by_key(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest values of a unique integer key: a plain filter on
+    the key, which reaches the scan."""
+    if n < 0:
+        raise ValueError("max_samples must not be negative")
+    if n == 0:
+        return df.filter(F.lit(False))
+    cut = key_cut(df, key, n)
+    return df if cut is None else df.filter(F.col(key) <= cut)
 
 
 # -- seeded order -----------------------------------------------------------------

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.templates import ChatTemplate, template_for, template_name_for_model
 from ..functions.tokenizers import Tokenizer
@@ -14,8 +15,9 @@ from ..operators.ordering import row_index
 from ..operators.packing import pack_blocks
 from ..operators.split import split_train_eval
 from ..sources.cache import encoded_cache
-from ..sources.files import read_dataset
+from ..sources.files import read_dataset, read_stream
 from ..sources.manifest import JobOptions, load_manifest, resolve_datasets
+from ..streaming import jobs
 
 
 def chosen_template(options: JobOptions, tokenizer: Tokenizer) -> tuple[ChatTemplate, Tokenizer]:
@@ -76,6 +78,58 @@ def prepare(
     return split_train_eval(encoded, options.val_size, options.seed, "row_idx", options.do_train)
 
 
+def prepare_stream(
+    spark: SparkSession, options: JobOptions, tokenizer: Tokenizer, train_path: str, eval_path: str, work_dir: str
+) -> None:
+    """The job over folders of files as streams, until the input is used up.
+
+    The first ``val_size`` rows go to ``eval_path``, the next ``max_steps`` batches of rows
+    to ``train_path``. Interleaved and packed rows are staged below ``work_dir``, which also
+    keeps the streams' checkpoints: run again with new files, the job goes on.
+    """
+    if not options.streaming:
+        raise ValueError("the options are not for streaming")
+    template, tokenizer = chosen_template(options, tokenizer)
+    specs = resolve_datasets(options.dataset, load_manifest(options.dataset_dir), options.system_prompt)
+    streams = [read_stream(spark, s, options.dataset_dir, options.on_bad_order) for s in specs]
+
+    def staged(name: str, run: Callable[[str, str], StreamingQuery]) -> DataFrame:
+        """Run one stage and go on with what it stored, batch by batch."""
+        path = f"{work_dir}/{name}"
+        run(path, f"{work_dir}/marks-{name}").awaitTermination()
+        schema = spark.read.parquet(path).schema
+        return spark.readStream.schema(schema).parquet(path).drop("batch")
+
+    if len(streams) > 1 and options.mix_strategy.startswith("interleave"):
+        rows = staged(
+            "mixture",
+            lambda path, marks: jobs.interleave_streams(
+                streams, None, path, marks, options.mix_strategy, options.probabilities(), options.seed
+            ),
+        ).drop("row_idx")
+    elif len(streams) == 1 or options.mix_strategy == "concat":
+        rows = jobs.concat_streams(streams)
+    else:
+        raise ValueError("Unknown mixing strategy.")
+
+    mode, cutoff, keep = options.mode(), options.cutoff_len, ("dataset",)
+    if mode == "predict":
+        encoded = encode.predict(rows, template, tokenizer, cutoff, keep=keep)
+    elif mode == "pairwise":
+        encoded = encode.pairwise(rows, template, tokenizer, cutoff, keep=keep)
+    elif mode == "sft":
+        encoded = encode.supervised(rows, template, tokenizer, cutoff, options.train_on_prompt, keep=keep)
+    else:
+        valid = encode.valid_for_sft(rows)
+        turns = encode.example_turns(valid, template, F.col("response"))
+        pieces = encode.training_pieces(valid, template, tokenizer, turns, options.train_on_prompt, keep=())
+        eos = tokenizer.special.eos_id if template.efficient_eos else None
+        encoded = staged("blocks", lambda path, marks: jobs.pack_stream(pieces, None, cutoff, path, marks, eos))
+    shares = [(int(options.val_size), eval_path)] if options.val_size > 0 else []
+    shares.append((options.max_steps * options.batch_size, train_path))
+    jobs.deal_rows(encoded, shares, None, None, f"{work_dir}/marks-out").awaitTermination()
+
+
 def batches(encoded: DataFrame, options: JobOptions, tokenizer: Tokenizer) -> DataFrame:
     """Rows dealt into batches in row order and padded: left for generation, else right."""
     dense = row_index(encoded.withColumnRenamed("row_idx", "_key"), "_key").drop("_key")

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import mixing
-from ..operators.ordering import row_index
+from ..operators.ordering import file_index, key_cut, row_index
 from ..operators.packing import PACK_ROWS, pack_blocks
 from ..operators.split import BUFFER_SIZE, buffer_shuffle
-from ..storage import path_exists
+from ..storage import path_exists, write_through
 
 
 def write_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -51,41 +51,75 @@ def concat_streams(streams: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def take_and_skip(
-    stream: DataFrame, n: int, key: str, head_path: str, rest_path: str | None, checkpoint: str
+def _ordered(batch: DataFrame, key: str | None) -> tuple[DataFrame, str]:
+    """A micro-batch with a unique integer key to order by. Without one of its own it is stored once and
+    numbered as stored."""
+    if key is not None:
+        return batch, key
+    return file_index(write_through(batch, "micro-batch"), "_row"), "_row"
+
+
+def _numbered(batch: DataFrame, key: str | None) -> DataFrame:
+    """A micro-batch with a dense ``row_idx``."""
+    if key is None:
+        return file_index(write_through(batch, "micro-batch"))
+    return row_index(batch, key)
+
+
+def _written_before(spark: SparkSession, path: str | None, batch_id: int) -> int:
+    if path is None or not path_exists(spark, path):
+        return 0
+    return spark.read.parquet(path).filter(F.col("batch") < batch_id).count()
+
+
+def deal_rows(
+    stream: DataFrame, shares: Sequence[tuple[int, str]], rest_path: str | None, key: str | None, checkpoint: str
 ) -> StreamingQuery:
-    """The first ``n`` rows to ``head_path``, all later ones to ``rest_path`` (or nowhere).
+    """Give the first rows to one folder, the next ones to another, and so on.
 
-    Rows of a micro-batch are ordered by ``key``. How many were taken before is counted
-    from the folders already written, so a restart goes on where it stopped.
+    ``shares`` lists (number of rows, folder); what comes later goes to ``rest_path`` or
+    nowhere. Rows of a micro-batch are ordered by ``key``, unique integers. How far earlier batches came is
+    counted from the folders they wrote, so a restart goes on where it stopped.
     """
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        taken = 0
-        if path_exists(spark, head_path):
-            earlier = spark.read.parquet(head_path).filter(F.col("batch") < batch_id)
-            taken = earlier.count()
-        left = n - taken
-        if left <= 0:
+        lefts = [n - _written_before(spark, path, batch_id) for n, path in shares]
+        if not any(lefts):
             if rest_path:
                 _store(batch, rest_path, batch_id)
             return
-        # only keys are ordered; the rows follow by a filter
-        cut = batch.select(key).orderBy(key).limit(left).agg(F.max(key), F.count("*")).first()
-        if cut[1] == 0:
-            return
-        _store(batch.filter(F.col(key) <= cut[0]), head_path, batch_id)
+        rows, order = _ordered(batch, key)
+
+        def clean(part: DataFrame) -> DataFrame:
+            return part if key else part.drop(order)
+
+        for left, (_, path) in zip(lefts, shares):
+            if left == 0:
+                continue
+            cut = key_cut(rows, order, left)
+            if cut is None:  # fewer rows than wanted: all of them
+                _store(clean(rows), path, batch_id)
+                return
+            _store(clean(rows.filter(F.col(order) <= cut)), path, batch_id)
+            rows = rows.filter(F.col(order) > cut)
         if rest_path:
-            _store(batch.filter(F.col(key) > cut[0]), rest_path, batch_id)
+            _store(clean(rows), rest_path, batch_id)
 
     return _each_batch(stream, work, checkpoint)
 
 
+def take_and_skip(
+    stream: DataFrame, n: int, key: str | None, head_path: str, rest_path: str | None, checkpoint: str
+) -> StreamingQuery:
+    """The first ``n`` rows to ``head_path``, all later ones to ``rest_path`` (or nowhere)."""
+    return deal_rows(stream, [(n, head_path)], rest_path, key, checkpoint)
+
+
 def split_stream(
     stream: DataFrame,
     val_size: float,
-    key: str,
+    key: str | None,
     train_path: str,
     eval_path: str,
     checkpoint: str,
@@ -102,26 +136,29 @@ def split_stream(
 
 
 def shuffle_stream(
-    stream: DataFrame, key: str, path: str, checkpoint: str, buffer_size: int = BUFFER_SIZE, seed: int = 42
+    stream: DataFrame, key: str | None, path: str, checkpoint: str, buffer_size: int = BUFFER_SIZE, seed: int = 42
 ) -> StreamingQuery:
     """Rows of each micro-batch numbered anew, shuffled within runs of ``buffer_size``."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        _store(buffer_shuffle(row_index(batch, key), buffer_size, seed).drop("row_idx"), path, batch_id)
+        _store(buffer_shuffle(_numbered(batch, key), buffer_size, seed).drop("row_idx"), path, batch_id)
 
     return _each_batch(stream, work, checkpoint)
 
 
 def interleave_streams(
     streams: Sequence[DataFrame],
-    key: str,
+    key: str | None,
     path: str,
     checkpoint: str,
     strategy: str = "interleave_under",
     probabilities: Sequence[float] | None = None,
     seed: int = 42,
 ) -> StreamingQuery:
-    """Interleaving inside each micro-batch; a source without rows in it sits it out."""
+    """Interleaving inside each micro-batch; a source without rows in it sits it out.
+
+    ``row_idx`` of the result is the order within its ``batch``.
+    """
     union = concat_streams([s.withColumn("source_no", F.lit(i)) for i, s in enumerate(streams)])
 
     def work(batch: DataFrame, batch_id: int) -> None:
@@ -131,7 +168,9 @@ def interleave_streams(
             return
         renumber = F.get(F.array(*[F.lit(present.index(i) if i in present else -1) for i in range(len(streams))]),
                          F.col("source_no"))
-        indexed = row_index(batch.withColumn("source_no", renumber), key, within=["source_no"])
+        rows, order = _ordered(batch.withColumn("source_no", renumber), key)
+        indexed = row_index(rows, order, within=["source_no"])
+        indexed = indexed if key else indexed.drop(order)
         shares = None
         if probabilities is not None:
             whole = sum(probabilities[i] for i in present)
@@ -142,12 +181,12 @@ def interleave_streams(
 
 
 def pack_stream(
-    pieces: DataFrame, key: str, block_size: int, path: str, checkpoint: str, eos_id: int | None = None,
+    pieces: DataFrame, key: str | None, block_size: int, path: str, checkpoint: str, eos_id: int | None = None,
     pack_rows: int = PACK_ROWS,
 ) -> StreamingQuery:
     """Packing with groups of ``pack_rows`` rows inside each micro-batch."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        _store(pack_blocks(row_index(batch, key), block_size, eos_id, pack_rows), path, batch_id)
+        _store(pack_blocks(_numbered(batch, key), block_size, eos_id, pack_rows), path, batch_id)
 
     return _each_batch(pieces, work, checkpoint)

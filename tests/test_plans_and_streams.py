@@ -169,6 +169,46 @@ def test_mixing_streams(spark, stream, tmp_path):
     assert spark.read.parquet(str(tmp_path / "u")).count() == 100
 
 
+def test_rows_dealt_without_a_key(spark, stream, tmp_path):
+    shares = [(13, str(tmp_path / "a")), (20, str(tmp_path / "b"))]
+    run(jobs.deal_rows(stream(), shares, str(tmp_path / "r"), None, str(tmp_path / "c")))
+    parts = [{r.row_idx for r in spark.read.parquet(str(tmp_path / p)).collect()} for p in "abr"]
+    assert [len(p) for p in parts] == [13, 20, 17] and set.union(*parts) == set(range(50))
+
+
+@pytest.fixture
+def folders(tmp_path):
+    info = {"a": {"file_name": "a"}, "b": {"file_name": "b"}}
+    (tmp_path / "dataset_info.json").write_text(json.dumps(info))
+    for name, n in (("a", 12), ("b", 7)):
+        (tmp_path / name).mkdir()
+        rows = [{"instruction": f"{name}{k}", "input": "", "output": "o" * k} for k in range(n)]
+        (tmp_path / name / "x.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("more,n_train,n_eval", [
+    (dict(max_steps=100), 17, 0),  # two empty answers are dropped
+    (dict(max_steps=2, batch_size=3, val_size=4), 6, 4),
+    (dict(max_steps=100, mix_strategy="interleave_under", val_size=2), 10, 2),  # seven pairs, two rows empty
+    (dict(max_steps=100, sft_packing=True, cutoff_len=8), None, 0),
+])
+def test_streaming_job(spark, folders, tokenizer, tmp_path, more, n_train, n_eval):
+    opts = manifest.JobOptions(
+        dataset="a,b", dataset_dir=folders, model_name="ChatGLM3-6B-Chat", streaming=True, **more
+    )
+    train, ev = str(tmp_path / "train"), str(tmp_path / "eval")
+    prepare.prepare_stream(spark, opts, tokenizer, train, ev, str(tmp_path / "work"))
+    rows = spark.read.parquet(train).collect()
+    assert rows and n_train in (None, len(rows))
+    if n_eval:
+        assert spark.read.parquet(ev).count() == n_eval
+    if opts.sft_packing:
+        assert all(len(r.input_ids) == 8 for r in rows)
+    with pytest.raises(ValueError, match="not for streaming"):
+        prepare.prepare_stream(spark, manifest.JobOptions(), tokenizer, train, ev, "w")
+
+
 def test_reading_a_folder_as_a_stream(spark, data, tmp_path):
     spec = manifest.resolve_datasets("a", manifest.load_manifest(data))[0]
     run(jobs.write_rows(files.read_stream(spark, spec, data), str(tmp_path / "o"), str(tmp_path / "c")))
