@@ -32,8 +32,7 @@ def conversation_chunks(
     ``pairs array<struct<q,r>>``, ``n_pairs`` and ``last struct<q,r>`` of the whole
     conversation, and ``order_ok`` under ``quarantine``.
 
-    ``turn`` must number the messages 0, 1, 2 … without gaps. Anything else raises, but
-    for chunks in which the stray messages make no pair at all, which give no rows. The
+    ``turn`` must number the messages 0, 1, 2 … without gaps; anything else raises. The
     last chunk of a long conversation may hold a lone message and then no pair.
     """
     messages = width * 2
@@ -75,6 +74,12 @@ def conversation_chunks(
         F.expr("max_by(last, if(here > 0, chunk, null))").alias("last"),
         F.expr("bool_and(ok) and min(ur) <=> max(ur) and min(ar) <=> max(ar)").alias("order_ok"),
     )
+    # Rows without a pair are pruned before their totals are looked at, so broken numbering
+    # has a branch of its own: it gives no rows, it only raises.
+    guard = totals.filter(f"if(unbroken and filled, false, {broken})").selectExpr(
+        conv, "last_chunk as chunk", "last_chunk as first_idx", "array_repeat(last, int(n_pairs)) as pairs", "n_pairs",
+        "last", "order_ok",
+    )
     totals = totals.selectExpr(
         conv,
         f"if(unbroken and filled, n_pairs, {broken}) as n_pairs",
@@ -87,7 +92,7 @@ def conversation_chunks(
         .join(totals, [conv, "_share"])
         .select(conv, "chunk", "first_idx", "pairs", "n_pairs", "last", "order_ok")
     )
-    return apply_order_policy(closed.unionByName(long_ones), "order_ok", on_bad_order)
+    return apply_order_policy(closed.unionByName(long_ones).unionByName(guard), "order_ok", on_bad_order)
 
 
 def pair_rows(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:
