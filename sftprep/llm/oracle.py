@@ -3,3 +3,31 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op7_exact_dedup"] = r"""
+SELECT doc_id,
+       min(doc_id) OVER (PARTITION BY norm) AS keep_id,
+       count(*) OVER (PARTITION BY norm) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept,
+       sha256(norm) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+"""
+
+ORACLES["op8_line_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+k AS (
+  SELECT row, doc_id, line, pos,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+),
+shared AS (
+  SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT any_value(k.doc_id) AS doc_id,
+       count(*) AS n_lines,
+       count(*) FILTER (WHERE k.doc_id <> s.last) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE s.last IS NULL OR k.doc_id = s.last), '')) AS kept_sha256
+FROM k LEFT JOIN shared s USING (key) GROUP BY row
+"""

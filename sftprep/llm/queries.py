@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing
+from . import exact_dedup, line_dedup, packing, sharding
 from .token_ids import Vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,9 @@ VOCABULARY = Vocabulary(
 )
 
 
+SHARDS = 40
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -34,3 +37,26 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces of all documents in sequences of 1,024 tokens."""
     pieces = packing.pack(_table(spark, sf, "documents"), VOCABULARY)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in 40 shards of equal weight by rendezvous hashing."""
+    placed = sharding.assign_shards(_table(spark, sf, "documents"), [1.0] * SHARDS, grown=1.0)
+    return placed.withColumnRenamed("id", "doc_id").withColumn("law", F.lit("key"))
+
+
+@query
+def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of documents with equal normalised texts."""
+    groups = exact_dedup.exact_groups(_table(spark, sf, "documents"), digest=True)
+    return groups.withColumnsRenamed({"id": "doc_id", "sha256": "text_sha256"})
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without the lines that at least five of them share."""
+    kept = line_dedup.dedup_lines(_table(spark, sf, "documents"))
+    return kept.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
+    )
