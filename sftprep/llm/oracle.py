@@ -31,3 +31,36 @@ SELECT any_value(k.doc_id) AS doc_id,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE s.last IS NULL OR k.doc_id = s.last), '')) AS kept_sha256
 FROM k LEFT JOIN shared s USING (key) GROUP BY row
 """
+
+ORACLES["op10_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+b AS (
+  SELECT item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+),
+w AS (
+  SELECT DISTINCT item_id, k, array_to_string(words[i : i + k - 1], ' ') AS win
+  FROM (SELECT item_id, words, least(10, len(words)) AS k, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+        FROM b WHERE len(words) > 0)
+),
+dw AS (
+  SELECT row, k, i, array_to_string(words[i : i + k - 1], ' ') AS win
+  FROM (SELECT row, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM w) WHERE len(words) >= k)
+),
+m AS (SELECT dw.row, dw.i, dw.k, w.item_id FROM dw JOIN w USING (k, win)),
+h AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + k)) AS p FROM m) GROUP BY row),
+n AS (
+  SELECT row, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+  FROM m GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (row) LEFT JOIN n USING (row)
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, line_dedup, packing, sharding
+from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, sharding
 from .token_ids import Vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,15 @@ def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return placed.withColumnRenamed("id", "doc_id").withColumn("law", F.lit("key"))
 
 
+@query
+def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of documents that share at least 85 % of their three-word shingles."""
+    groups = near_dedup.near_groups(_table(spark, sf, "documents"), words=3, percent=85)
+    return groups.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents with equal normalised texts."""
@@ -60,3 +69,17 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select(
         F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with the benchmark items of which they hold a window of ten words."""
+    found = decontamination.find_contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
