@@ -139,14 +139,15 @@ def find_contamination(
     schema = f"id {id_type}, text string, n_words bigint, items array<string>, hit array<bigint>, {_SPANS}{doc_type}"
     for block in range(blocks):
         part = [(r["name"], r["text"]) for r in dealt.filter(F.col("block") == block).select("name", "text").collect()]
-        rows = rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(part), window), schema)
+        rows = rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(part), window, block == blocks - 1), schema)
     return rows.select(
         "id", "n_words", F.size("hit").cast("bigint").alias("n_hit"), "items", "spans", *(["doc"] if whole else [])
     )
 
 
-def _scan(items, window: int):
-    """One pass: adds the hit words and the items of one block to those found before."""
+def _scan(items, window: int, last: bool):
+    """One pass: adds the hit words and the items of one block to those found before; the last
+    pass needs the text no more."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,7 +163,7 @@ def _scan(items, window: int):
                 names.append(sorted(found.union(before.as_py())))
             columns = [
                 batch.column(0),
-                batch.column(1),
+                pa.nulls(len(counts), batch.column(1).type) if last else batch.column(1),
                 pa.array(counts, pa.int64()),
                 pa.array(names, pa.list_(pa.string())),
                 pa.array(marks, pa.list_(pa.int64())),

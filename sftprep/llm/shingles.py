@@ -38,7 +38,8 @@ class _Powers:
 _powers = _Powers()
 
 
-def _stretch_hashes(data: bytes) -> np.ndarray:
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of every run of bytes between spaces."""
     chars = np.frombuffer(data, dtype=np.uint8)
     inside = np.empty(len(chars) + 2, dtype=bool)
     inside[0] = inside[-1] = False
@@ -48,14 +49,14 @@ def _stretch_hashes(data: bytes) -> np.ndarray:
     up, down = _powers.of(len(chars) + 1)
     sums = np.zeros(len(chars) + 1, dtype=np.uint64)
     np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts, ends
 
 
 def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash per word of the text (A-Z in lower case, words between ASCII blanks)."""
     data = text.encode("utf-8", "surrogatepass").translate(_LOWER)
     if len(data) <= _STRETCH:
-        return _stretch_hashes(data)
+        return hashed_words(data)[0]
     parts, start = [], 0
     while start < len(data):
         end = start + _STRETCH
@@ -63,7 +64,7 @@ def word_hashes(text: str) -> np.ndarray:
             blank = data.rfind(b" ", start, end)
             end = blank if blank > start else data.find(b" ", end)
             end = len(data) if end < 0 else end
-        parts.append(_stretch_hashes(data[start:end]))
+        parts.append(hashed_words(data[start:end])[0])
         start = end
     return np.concatenate(parts)
 
