@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, sharding
+from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, sharding, toxicity
 from .token_ids import Vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,19 @@ def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity scores of all documents, by a network fitted on labelled rows that are not held out."""
+    docs = _table(spark, sf, "documents")
+    scored = toxicity.score(toxicity.fit_on(docs, _table(spark, sf, "labels")), docs)
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        toxicity.held_out(F.col("id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents with equal normalised texts."""

@@ -24,7 +24,8 @@ from .common import whole_row
 from .decontamination import word_bytes
 from .shingles import hashed_words
 
-STEPS, STRIDE = 32, 16  # words in a window, words between the starts of two
+STEPS, STRIDE = 32, 24  # words in a window, words between the starts of two
+OVERLAP = STEPS - STRIDE
 SAMPLE_PER_CLASS = 1500  # labelled documents of each class at most
 SAMPLE_BYTES = 32_768  # longer documents are scored like all others, but not learned from
 THRESHOLD = 0.3
@@ -32,9 +33,11 @@ NGRAMS = (3, 4, 5)  # bytes, with the spaces around the word
 WORD_ROWS = CHAR_ROWS = 1 << 15
 LEARNED = 3  # learned dimensions of words and of n-grams
 HIDDEN, ATTENTION = 8, 8
-ROUNDS, EPOCHS, BATCH, RATE = 3, 3, 256, 0.01
+ROUNDS, BATCH, RATE = 4, 256, 0.01
+UPDATES = 60  # per round
+CALIBRATION = 5  # every fifth labelled text sets the threshold instead of being learned from
 SHRINK = 4.0  # documents that a log-odds value needs before half of it counts
-GROUP_BYTES = 1 << 20  # of text read together
+GROUP_BYTES = 1 << 21  # of text read together
 WINDOWS_AT_ONCE = 4096
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -104,7 +107,7 @@ class Model:
 
 def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first word, length) of all windows of texts with so many words, longest first."""
-    per_text = np.where(counts > 0, np.maximum(-(-(counts - STRIDE) // STRIDE), 1), 0)
+    per_text = np.where(counts > 0, np.maximum(-(-(counts - OVERLAP) // STRIDE), 1), 0)
     text = np.repeat(np.arange(len(counts)), per_text)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
     base = np.cumsum(counts) - counts
@@ -139,9 +142,9 @@ def score_texts(model: Model, texts: list[str]) -> np.ndarray:
 
 def _log_odds(rows: int, text_of: np.ndarray, row_of: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Per row: log-odds of occurring in a positive text, pulled to zero where it is rare."""
-    seen = np.unique(np.stack([row_of, text_of]), axis=1)
-    positive = np.bincount(seen[0][labels[seen[1]] == 1], minlength=rows)
-    negative = np.bincount(seen[0][labels[seen[1]] == 0], minlength=rows)
+    seen, text = np.divmod(np.unique(row_of * len(labels) + text_of), max(1, len(labels)))
+    positive = np.bincount(seen[labels[text] == 1], minlength=rows)
+    negative = np.bincount(seen[labels[text] == 0], minlength=rows)
     n_pos, n_neg = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
     odds = np.log((positive + 0.5) / (n_pos + 1)) - np.log((negative + 0.5) / (n_neg + 1))
     n = positive + negative
@@ -150,59 +153,75 @@ def _log_odds(rows: int, text_of: np.ndarray, row_of: np.ndarray, labels: np.nda
 
 def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     """Train on labelled texts; with one class only, every score is that of the class."""
-    rng = np.random.default_rng(seed)
     y = np.array(labels, dtype=np.int64)
+    apart = np.arange(len(texts)) % CALIBRATION == CALIBRATION - 1
+    if len(set(y[~apart].tolist())) < 2 or len(set(y[apart].tolist())) < 2:
+        apart[:] = False
+    model = _train([t for t, a in zip(texts, apart, strict=True) if not a], y[~apart], seed)
+    if apart.any():
+        scores = score_texts(model, [t for t, a in zip(texts, apart, strict=True) if a])
+        logit = np.log(np.clip(scores, 1e-9, 1 - 1e-7) / (1 - np.clip(scores, 1e-9, 1 - 1e-7)))
+        high, low = np.quantile(logit[y[apart] == 0], 0.995), np.quantile(logit[y[apart] == 1], 0.02)
+        # the threshold lies where the classes part
+        model.parameters["oc"] -= np.float32((high + low) / 2 - np.log(THRESHOLD / (1 - THRESHOLD)))
+    return model
+
+
+def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
+    rng = np.random.default_rng(seed)
     words = read_words(texts)
     text_of = np.repeat(np.arange(len(texts)), words.counts)
-    gram_sizes = np.diff(np.append(words.bounds, len(words.grams)))
-    pairs = np.unique(np.stack([words.order, text_of]), axis=1)  # (distinct word, text)
-    own = np.concatenate([words.grams[b : b + s] for b, s in zip(words.bounds[pairs[0]], gram_sizes[pairs[0]], strict=True)] or [np.empty(0, np.int64)])
-    word_odds = _log_odds(WORD_ROWS, pairs[1], words.rows[pairs[0]], y)
-    gram_odds = _log_odds(CHAR_ROWS, np.repeat(pairs[1], gram_sizes[pairs[0]]), own, y)
+    sizes = np.diff(np.append(words.bounds, len(words.grams)))
+
+    def grams_of(distinct: np.ndarray) -> np.ndarray:
+        """The n-grams of these words, word after word."""
+        n = sizes[distinct]
+        within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        return words.grams[np.repeat(words.bounds[distinct], n) + within]
+
+    distinct, text = np.divmod(np.unique(words.order * max(1, len(texts)) + text_of), max(1, len(texts)))
+    word_odds = _log_odds(WORD_ROWS, text, words.rows[distinct], y)
+    gram_odds = _log_odds(CHAR_ROWS, np.repeat(text, sizes[distinct]), grams_of(distinct), y)
     p = bigru.new_parameters(3 + 2 * LEARNED, HIDDEN, ATTENTION, rng)
     p["words"] = (0.01 * rng.standard_normal((WORD_ROWS, LEARNED))).astype(np.float32)
     p["chars"] = (0.01 * rng.standard_normal((CHAR_ROWS, LEARNED))).astype(np.float32)
     model = Model(word_odds, gram_odds, p)
-    if len(set(labels)) < 2:
+    text, first, length = windows(words.counts)
+    if len(set(y.tolist())) < 2 or not len(text):
         p["ow"][:] = 0
-        p["oc"][0] = 6.0 if labels and labels[0] else -6.0
+        p["oc"][0] = 6.0 if y.any() else -6.0
         return model
 
-    text, first, length = windows(words.counts)
-    if not len(text):
-        return model
-    sizes = gram_sizes[:, None].astype(np.float32)
-    gram_word = np.repeat(np.arange(len(gram_sizes)), gram_sizes)
     adam = bigru.Adam(p, RATE)
     for turn in range(ROUNDS):
         if turn:
             score = window_logits(model, words, first, length)
         else:  # no model yet: the most suspicious word
             odds = model.vectors(words)[:, :2].max(axis=1)
-            score = np.concatenate([odds[_index(words, first[i : i + 8192], length[i : i + 8192])].max(axis=1) for i in range(0, len(first), 8192)])
+            parts = range(0, len(first), 8192)
+            score = np.concatenate([odds[_index(words, first[i : i + 8192], length[i : i + 8192])].max(axis=1) for i in parts])
+        # of each text the window that scores highest, and others of negative texts
         best = np.lexsort((-score, text))
-        top = best[np.concatenate(([True], text[best][1:] != text[best][:-1]))]  # best window of each text
-        second = rng.choice(len(text), size=len(top), replace=False) if len(text) > len(top) else np.empty(0, np.int64)
-        chosen = np.unique(np.concatenate([top, second[y[text[second]] == 0]]))
-        for _ in range(EPOCHS):
-            shuffled = rng.permutation(chosen)
-            for at in range(0, len(shuffled), BATCH):
-                part = np.sort(shuffled[at : at + BATCH])  # windows are in order of length
-                index = _index(words, first[part], length[part])
-                used, local = np.unique(index, return_inverse=True)
-                local = local.reshape(index.shape)
-                take = np.concatenate([np.arange(words.bounds[w], words.bounds[w] + gram_sizes[w]) for w in used])
-                few = Words(local, words.counts, words.rows[used], words.grams[take], np.cumsum(gram_sizes[used]) - gram_sizes[used])
-                table, tape = model.vectors(few), {}
-                logit = bigru.forward(p, table, local, length[part], tape)
-                target = y[text[part]]
-                d_logit = ((1 / (1 + np.exp(-logit)) - target) / len(part)).astype(np.float32)
-                g, d_table = bigru.backward(p, table, local, tape, d_logit)
-                g["words"], g["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
-                np.add.at(g["words"], few.rows, d_table[:, 3 : 3 + LEARNED])
-                per_gram = (d_table[:, 3 + LEARNED :] / sizes[used])[np.repeat(np.arange(len(used)), gram_sizes[used])]
-                np.add.at(g["chars"], few.grams, per_gram)
-                adam.update(g)
+        top = best[np.concatenate(([True], text[best][1:] != text[best][:-1]))]
+        clean = np.flatnonzero(y[text] == 0)
+        chosen = np.unique(np.concatenate([top, rng.choice(clean, size=min(len(top), len(clean)), replace=False)]))
+        rate = (y[text[chosen]] == 1).mean()
+        balance = np.where(y == 1, 0.5 / rate, 0.5 / (1 - rate)).astype(np.float32)
+        batches = (rng.permutation(chosen)[:BATCH] for _ in range(UPDATES))
+        for part in map(np.sort, batches):  # windows are in order of length
+            index = _index(words, first[part], length[part])
+            used, local = np.unique(index, return_inverse=True)
+            local, n = local.reshape(index.shape), sizes[used]
+            few = Words(local, words.counts, words.rows[used], grams_of(used), np.cumsum(n) - n)
+            table, tape = model.vectors(few), {}
+            logit = bigru.forward(p, table, local, length[part], tape)
+            target = y[text[part]]
+            d_logit = ((1 / (1 + np.exp(-logit)) - target) * balance[text[part]] / len(part)).astype(np.float32)
+            g, d_table = bigru.backward(p, table, local, tape, d_logit)
+            g["words"], g["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
+            np.add.at(g["words"], few.rows, d_table[:, 3 : 3 + LEARNED])
+            np.add.at(g["chars"], few.grams, np.repeat(d_table[:, 3 + LEARNED :] / n[:, None], n, axis=0))
+            adam.update(g)
     return model
 
 
