@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, sharding, toxicity
+from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, pii, sharding, toxicity
 from .token_ids import Vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,27 @@ def op8_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in all documents; counts and checksum of what the fixed patterns find."""
+    docs = _table(spark, sf, "documents")
+    found = pii.find_personal_data(docs, pii.train(pii.sample_texts(docs)))
+
+    def listed(spans: str):
+        one = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(one, ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with the benchmark items of which they hold a window of ten words."""
