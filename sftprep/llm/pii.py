@@ -26,7 +26,7 @@ STRETCHES = 1_500  # stretches used in training, at most
 REACH = 48  # characters to each side of a digit or at sign that a stretch may take in
 LONGEST_CHARS = 64
 ROWS = 1 << 14  # hashed features
-SURE = 4.0  # log-odds against leaving the span outside
+SURE = 1.0  # log-odds against leaving the span outside
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
