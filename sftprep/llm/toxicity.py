@@ -26,8 +26,8 @@ from .shingles import hashed_words
 
 STEPS, STRIDE = 32, 24  # words in a window, words between the starts of two
 OVERLAP = STEPS - STRIDE
-SAMPLE_PER_CLASS = 1500  # labelled documents of each class at most
-SAMPLE_BYTES = 32_768  # longer documents are scored like all others, but not learned from
+SAMPLE_PER_CLASS = 1200  # labelled documents of each class at most
+SAMPLE_BYTES = 8_192  # longer documents are scored like all others, but not learned from
 THRESHOLD = 0.3
 NGRAMS = (3, 4, 5)  # bytes, with the spaces around the word
 WORD_ROWS = CHAR_ROWS = 1 << 15
@@ -140,12 +140,9 @@ def score_texts(model: Model, texts: list[str]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(best, -700, 700))) * (words.counts > 0)
 
 
-def _log_odds(rows: int, text_of: np.ndarray, row_of: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Per row: log-odds of occurring in a positive text, pulled to zero where it is rare."""
-    seen, text = np.divmod(np.unique(row_of * len(labels) + text_of), max(1, len(labels)))
-    positive = np.bincount(seen[labels[text] == 1], minlength=rows)
-    negative = np.bincount(seen[labels[text] == 0], minlength=rows)
-    n_pos, n_neg = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
+def _log_odds(positive: np.ndarray, negative: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Log-odds of occurring in a positive text, pulled to zero for what is rare."""
+    n_pos, n_neg = int(labels.sum()), int((1 - labels).sum())
     odds = np.log((positive + 0.5) / (n_pos + 1)) - np.log((negative + 0.5) / (n_neg + 1))
     n = positive + negative
     return (odds * n / (n + SHRINK)).astype(np.float32)
@@ -161,16 +158,17 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     if apart.any():
         scores = score_texts(model, [t for t, a in zip(texts, apart, strict=True) if a])
         logit = np.log(np.clip(scores, 1e-9, 1 - 1e-7) / (1 - np.clip(scores, 1e-9, 1 - 1e-7)))
-        high, low = np.quantile(logit[y[apart] == 0], 0.995), np.quantile(logit[y[apart] == 1], 0.02)
-        # the threshold lies where the classes part
-        model.parameters["oc"] -= np.float32((high + low) / 2 - np.log(THRESHOLD / (1 - THRESHOLD)))
+        high, low = logit[y[apart] == 0].max(), np.quantile(logit[y[apart] == 1], 0.02)
+        # the threshold lies where the classes part, nearer to the positive texts, for most texts are
+        # clean; if they overlap, above the clean ones
+        apart_at = 0.4 * high + 0.6 * low if low > high else high
+        model.parameters["oc"] -= np.float32(apart_at - np.log(THRESHOLD / (1 - THRESHOLD)))
     return model
 
 
 def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
     rng = np.random.default_rng(seed)
     words = read_words(texts)
-    text_of = np.repeat(np.arange(len(texts)), words.counts)
     sizes = np.diff(np.append(words.bounds, len(words.grams)))
 
     def grams_of(distinct: np.ndarray) -> np.ndarray:
@@ -179,9 +177,14 @@ def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
         within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         return words.grams[np.repeat(words.bounds[distinct], n) + within]
 
-    distinct, text = np.divmod(np.unique(words.order * max(1, len(texts)) + text_of), max(1, len(texts)))
-    word_odds = _log_odds(WORD_ROWS, text, words.rows[distinct], y)
-    gram_odds = _log_odds(CHAR_ROWS, np.repeat(text, sizes[distinct]), grams_of(distinct), y)
+    # in how many texts of either class each row of the two tables occurs
+    word_texts, gram_texts = np.zeros((2, WORD_ROWS)), np.zeros((2, CHAR_ROWS))
+    ends = np.cumsum(words.counts)
+    for label, begin, end in zip(y, ends - words.counts, ends, strict=True):
+        distinct = np.unique(words.order[begin:end])
+        word_texts[label, np.unique(words.rows[distinct])] += 1
+        gram_texts[label, np.unique(grams_of(distinct))] += 1
+    word_odds, gram_odds = _log_odds(word_texts[1], word_texts[0], y), _log_odds(gram_texts[1], gram_texts[0], y)
     p = bigru.new_parameters(3 + 2 * LEARNED, HIDDEN, ATTENTION, rng)
     p["words"] = (0.01 * rng.standard_normal((WORD_ROWS, LEARNED))).astype(np.float32)
     p["chars"] = (0.01 * rng.standard_normal((CHAR_ROWS, LEARNED))).astype(np.float32)
