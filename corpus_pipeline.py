@@ -4,21 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sftprep.llm import packing
+from sftprep.llm import decontamination, exact_dedup, near_dedup, packing, toxicity
+from sftprep.llm.common import write_through
 from sftprep.llm.queries import VOCABULARY
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, fitted on the labelled ones among them, does not reject."""
+    return toxicity.remove_toxic(docs, toxicity.fit_on(docs, _table(spark, sf_dir, "labels")))
+
+
+def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(docs)
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 0.8 of its five-word shingles."""
+    return near_dedup.deduplicate(docs)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, VOCABULARY)
 
 
-STAGES = [("packing", pack_tokens)]
-ORACLE_SQL = None
+STAGES = [
+    ("toxicity", remove_toxic),
+    ("exact dedup", remove_exact_copies),
+    ("near dedup", remove_near_copies),
+    ("benchmark decontamination", remove_benchmark),
+    ("packing", pack_tokens),
+]
+ORACLE_SQL = None  # a trained model decides; tests compare the stages with plain computations
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the table ``documents``; what a stage returns is stored before the next one reads it."""
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = write_through(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, exact_dedup, line_dedup, near_dedup, packing, pii, sharding, toxicity
+from . import decontamination, exact_dedup, licenses, line_dedup, near_dedup, packing, pii, sharding, toxicity, warc
+from .license_texts import LICENSES
 from .token_ids import Vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,13 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages as WARC records, read back from the archives."""
+    records = warc.read_archives(warc.write_archives(_table(spark, sf, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in 40 shards of equal weight by rendezvous hashing."""
@@ -46,6 +54,12 @@ def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return placed.withColumnRenamed("id", "doc_id").withColumn("law", F.lit("key"))
 
 
+@query
+def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.scan_licenses(_table(spark, sf, "documents"), LICENSES).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Groups of documents that share at least 85 % of their three-word shingles."""
