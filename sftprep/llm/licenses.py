@@ -15,6 +15,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -89,24 +90,33 @@ class Template:
 
 
 def _notices(words: list[bytes], template: Template, coverage: float) -> Iterator[tuple[int, int, int]]:
-    """(first word, word after the last, matched words) of every notice of one template."""
+    """(first word, word after the last, matched words) around every word that may be matched.
+
+    A stretch is tried as long as the template would make it, so that a second notice nearby
+    leaves its words unique, and with room for added words.
+    """
     n, done = len(template.words), 0
     known = set(template.words)
     for at, word in enumerate(words):
         if word not in template.places or at < done:
             continue
         best = None
-        for place in template.places[word]:
-            begin = max(done, at - place - place // 2 - ROOM)
-            end = min(len(words), at + (n - place) + (n - place) // 2 + ROOM)
-            stretch = words[begin:end]
-            if len(known.intersection(stretch)) < coverage * len(known) - (1 - coverage) * n:
+        for place, wide in product(template.places[word], (False, True)):
+            left, right = place, n - place - 1
+            begin = max(done, at - left - wide * (left // 2 + ROOM))
+            end = min(len(words), at + 1 + right + wide * (right // 2 + ROOM))
+            if len(known.intersection(words[begin:end])) < coverage * len(known) - (1 - coverage) * n:
                 continue
-            pairs = align(stretch, template.words)
-            if len(pairs) >= coverage * n and (best is None or len(pairs) > best[2]):
-                best = (begin + pairs[0][0], begin + pairs[-1][0] + 1, len(pairs))
+            # this word is one of the matched ones; what stands before and after is aligned
+            before = align(words[begin:at], template.words[:place])
+            after = align(words[at + 1 : end], template.words[place + 1 :])
+            matched = len(before) + 1 + len(after)
+            if matched >= coverage * n and (best is None or matched > best[2]):
+                first = begin + before[0][0] if before else at
+                best = (first, at + 2 + after[-1][0] if after else at + 1, matched)
         if best:
-            done = best[1]
+            if best[2] == n == best[1] - best[0]:
+                done = best[1]  # word for word: nothing better can begin inside
             yield best
 
 

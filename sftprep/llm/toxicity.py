@@ -28,6 +28,7 @@ STEPS, STRIDE = 32, 24  # words in a window, words between the starts of two
 OVERLAP = STEPS - STRIDE
 SAMPLE_PER_CLASS = 1200  # labelled documents of each class at most
 SAMPLE_BYTES = 8_192  # longer documents are scored like all others, but not learned from
+CANDIDATES = 2  # labelled ids looked up for each text that is learned from
 THRESHOLD = 0.3
 NGRAMS = (3, 4, 5)  # bytes, with the spaces around the word
 WORD_ROWS = CHAR_ROWS = 1 << 15
@@ -229,16 +230,23 @@ def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[str], list[int]]:
-    """At most ``per_class`` labelled texts of each class, of at most SAMPLE_BYTES, by the hash of their id."""
-    rows = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).join(
-        labels.filter(F.col("label").isin(0, 1)).select("id", "label"), "id"
-    )
+    """At most ``per_class`` labelled texts of each class, of at most SAMPLE_BYTES, by the hash of their id.
+
+    Ids are chosen from the narrow label table, CANDIDATES times as many as are wanted
+    because some texts are missing, empty or too long; only their texts are fetched.
+    """
+    place = F.xxhash64("id")
+    chosen = [
+        labels.filter(F.col("label") == label).select("id", "label").distinct().orderBy(place, "id").limit(CANDIDATES * per_class)
+        for label in (0, 1)
+    ]
+    wanted = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * CANDIDATES * per_class rows
+    found = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).join(wanted, "id")
     texts, classes = [], []
-    for label in (0, 1):
-        part = rows.filter(F.col("label") == label).select("text", F.xxhash64("id", "text").alias("place"))
-        got = part.orderBy("place").limit(per_class).collect()
-        texts += [r["text"] for r in got]
-        classes += [label] * len(got)
+    for row in found.orderBy(place, "id", "text").select("text", "label").collect():
+        if classes.count(row["label"]) < per_class:
+            texts.append(row["text"])
+            classes.append(row["label"])
     return texts, classes
 
 
