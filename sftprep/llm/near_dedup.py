@@ -225,7 +225,8 @@ def near_groups(
     """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id``.
 
     Texts are linked if 100 * shared shingles >= percent * shingles of either; the component is
-    the smallest id that links reach. Rows with one id are one document. A text without
+    the smallest id that links reach. A row counts by its text, so rows that repeat an id
+    have the components of their texts. A text without
     words is linked with nothing; a row without id takes part through its text, and has a null
     component if only such rows are in it. An empty table gives no rows; other columns are
     not read.

@@ -81,12 +81,12 @@ def members(source: BinaryIO) -> Iterator[Iterator[bytes]]:
             nonlocal held
             while not inflate.eof:
                 data = inflate.decompress(inflate.unconsumed_tail or held, PIECE)
-                if not inflate.unconsumed_tail:
-                    held = inflate.unused_data if inflate.eof else source.read(PIECE)
-                    if not held and not inflate.eof:
-                        data += inflate.flush()
-                        if not inflate.eof:
-                            raise ValueError("the archive ends inside a record")
+                if inflate.eof:
+                    held = inflate.unused_data  # the next member begins here
+                elif not inflate.unconsumed_tail:
+                    held = source.read(PIECE)
+                    if not held:
+                        raise ValueError("the archive ends inside a record")
                 if data:
                     yield data
             held = held or source.read(PIECE)

@@ -194,6 +194,9 @@ def test_archives_roll_over(spark, monkeypatch):
 def test_reader_finds_damage():
     good = warc.record("1", "http://a", b"payload", None)
     parse = lambda data: [warc.read_record(m) for m in warc.members(io.BytesIO(data))]
+    # members of all lengths, so that they end everywhere in the pieces read and inflated
+    bodies = [bytes([65 + i % 26]) * (i * 997 % 200_000) + str(i).encode() for i in range(400)]
+    assert [r["payload"] for r in parse(b"".join(warc.record("1", None, b, None) for b in bodies))] == bodies
     assert [r["payload"] for r in parse(good + good)] == [b"payload"] * 2
     import gzip
 
