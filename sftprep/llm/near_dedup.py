@@ -92,10 +92,17 @@ def estimate_cut(percent: int) -> float:
     return j - DEVIATIONS * (p * (1 - p) / PERMUTATIONS) ** 0.5 / (1 - chance)
 
 
+def _mark(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """``id``, ``n`` (shingles) and, unless there are none, ``set_id``, ``sig`` and ``bands``."""
+    """``id``, ``mark`` (hash of the text), ``n`` (shingles) and, unless there are none, ``set_id``,
+    ``sig`` and ``bands``."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), _mark(text_col).alias("mark")
+    )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,15 +116,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
             missing = np.array(counts) == 0
             lists = []
             for values in (packed(best), band_keys(best)):
-                width = values.shape[1]
-                offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * width, mask=np.append(missing, False))
-                lists.append(pa.ListArray.from_arrays(offsets, pa.array(values.ravel())))
+                ends = np.cumsum(np.append(0, ~missing), dtype=np.int32) * np.int32(values.shape[1])
+                flat = pa.array(values[~missing].ravel())
+                lists.append(pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(missing)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(names, pa.binary()), *lists],
-                names=["id", "n", "set_id", "sig", "bands"],
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(names, pa.binary()), *lists],
+                names=["id", "mark", "n", "set_id", "sig", "bands"],
             )
 
-    return rows.mapInArrow(sign, f"id {id_type}, n bigint, set_id binary, sig array<bigint>, bands array<bigint>")
+    return rows.mapInArrow(sign, f"id {id_type}, mark bigint, n bigint, set_id binary, sig array<bigint>, bands array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -229,7 +236,7 @@ def near_groups(
     have the components of their texts. A text without
     words is linked with nothing; a row without id takes part through its text, and has a null
     component if only such rows are in it. An empty table gives no rows; other columns are
-    not read.
+    not read. ``mark`` is a hash of the text.
     """
     signed = write_through(signatures(docs, id_col, text_col, words), "near-signatures")
     classes = write_through(
@@ -295,9 +302,10 @@ def near_groups(
     final = last.join(merged.withColumnRenamed("component", "wider"), "node", "left").select(
         "set_id", F.coalesce("wider", "node").alias("component_id")
     )
-    lone = signed.filter(F.col("set_id").isNull()).select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
-    grouped = signed.filter(F.col("set_id").isNotNull()).select("set_id", "id", F.col("n").alias("n_shingles"))
-    return lone.unionByName(grouped.join(final, "set_id").select("id", "n_shingles", "component_id"))
+    rows = signed.select("id", "mark", F.col("n").alias("n_shingles"), "set_id")
+    lone = rows.filter(F.col("set_id").isNull()).withColumn("component_id", F.col("id")).drop("set_id")
+    grouped = rows.filter(F.col("set_id").isNotNull()).join(final, "set_id").drop("set_id")
+    return lone.unionByName(grouped)
 
 
 def _open_links(docs, members, id_col, text_col, words, percent) -> DataFrame:
@@ -310,9 +318,12 @@ def deduplicate(
 ) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: that with the smallest id.
 
-    Rows without an id cannot be told apart and all stay.
+    Rows that repeat an id and a text share their fate. A row without an id goes if its group
+    has one with an id.
     """
     groups = near_groups(docs, id_col, text_col, words, percent)
-    goes = write_through(groups.filter(F.col("id") != F.col("component_id")).select("id").distinct(), "near-goes")
-    rows = docs.select(F.col(id_col).alias("id"), whole_row(docs).alias("doc"))
-    return rows.join(if_small(goes), "id", "left_anti").select("doc.*")
+    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("gone"), "mark").distinct()
+    rows = docs.select(F.col(id_col).alias("id"), _mark(text_col).alias("mark"), whole_row(docs).alias("doc"))
+    gone = if_small(write_through(gone, "near-gone").withColumnRenamed("mark", "gone_mark"))
+    same = (F.col("mark") == F.col("gone_mark")) & F.col("id").eqNullSafe(F.col("gone"))
+    return rows.join(gone, same, "left_anti").select("doc.*")
