@@ -10,7 +10,7 @@ from ..functions.templates import TURNS_TYPE
 
 CANONICAL = ("prompt", "query", "response", "responses", "history", "system")
 ON_BAD_ORDER = ("raise", "drop", "quarantine")
-BAD_ORDER = "Only accepts conversation in u/a/u/a/u/a order."
+BAD_ORDER = "the messages of a conversation must alternate (u/a/u/a), beginning with the user"
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str | None], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -117,12 +117,11 @@ def with_system(df: DataFrame, system_prompt: str | None) -> DataFrame:
 
 
 def spread_system_prompts(system_prompt: str | None, n_datasets: int) -> list[str | None]:
-    """``|``-separated texts cycled over the datasets; the count must divide evenly."""
-    texts: list[str | None] = list(system_prompt.split("|")) if system_prompt else [None]
-    texts = texts * (n_datasets // len(texts))
-    if len(texts) != n_datasets:
-        raise AssertionError("Number of system prompts should be equal to datasets or 1.")
-    return texts
+    """``|``-separated texts dealt to the datasets in turn, each equally often."""
+    given = system_prompt.split("|") if system_prompt else [None]
+    if n_datasets % len(given):
+        raise AssertionError(f"{len(given)} system texts cannot be dealt evenly to {n_datasets} datasets")
+    return [given[i % len(given)] for i in range(n_datasets)]
 
 
 def empty_history() -> Column:

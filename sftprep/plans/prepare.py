@@ -30,7 +30,7 @@ def chosen_template(options: JobOptions, tokenizer: Tokenizer) -> tuple[ChatTemp
 
 def read_mixture(spark: SparkSession, options: JobOptions, bindings: Mapping[str, str] | None = None) -> DataFrame:
     """All datasets of the job as one table of examples with a dense ``row_idx``."""
-    specs = resolve_datasets(options.dataset, load_manifest(options.dataset_dir), options.system_prompt)
+    specs = resolve_datasets(options.dataset, load_manifest(spark, options.dataset_dir), options.system_prompt)
     parts = [
         read_dataset(
             spark, s, options.dataset_dir, options.split, options.max_samples, bindings, options.on_bad_order
@@ -90,7 +90,7 @@ def prepare_stream(
     if not options.streaming:
         raise ValueError("the options are not for streaming")
     template, tokenizer = chosen_template(options, tokenizer)
-    specs = resolve_datasets(options.dataset, load_manifest(options.dataset_dir), options.system_prompt)
+    specs = resolve_datasets(options.dataset, load_manifest(spark, options.dataset_dir), options.system_prompt)
     streams = [read_stream(spark, s, options.dataset_dir, options.on_bad_order) for s in specs]
 
     def staged(name: str, run: Callable[[str, str], StreamingQuery]) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,16 +24,17 @@ def format_of(files: list[str]) -> str:
     """One reader for all files; their extensions must agree."""
     kinds = {EXTENSION_FORMAT.get(f.rsplit("/", 1)[-1].split(".")[-1]) for f in files}
     if len(kinds) > 1:
-        raise AssertionError("file types are not identical.")
+        raise AssertionError("the files of a dataset must share one type")
     kind = kinds.pop() if kinds else None
     if kind is None:
-        raise AssertionError("File extension must be txt, csv, json or jsonl.")
+        raise AssertionError(f"no reader for this file extension; known: {', '.join(EXTENSION_FORMAT)}")
     return kind
 
 
-def raw_schema(spec: DatasetSpec, names: set[str] | None = None) -> str:
-    """Explicit schema of a JSON or CSV file: mapped columns plus canonical ones under their own name.
+def raw_schema(spec: DatasetSpec) -> str:
+    """Explicit schema of a JSON file: mapped columns plus canonical ones under their own name.
 
+    All of them are declared, wherever in the data they first occur; what a record lacks is null.
     Inference would call ``output`` a string where a file mixes strings and lists; the
     manifest's ranking flag decides instead.
     """
@@ -49,7 +50,7 @@ def raw_schema(spec: DatasetSpec, names: set[str] | None = None) -> str:
             fields[source] = types.get(target, "string")
         elif target != "responses" and target not in mapping.values():
             fields.setdefault(target, types.get(target, "string"))
-    return ", ".join(f"`{n}` {t}" for n, t in fields.items() if names is None or n in names or n in mapping.values())
+    return ", ".join(f"`{n}` {t}" for n, t in fields.items())
 
 
 def sniff_json(spark: SparkSession, path: str) -> tuple[bool, set[str]]:
@@ -133,16 +134,20 @@ def leading_files(spark: SparkSession, files: list[str], kind: str, schema: str
     return files[:some]
 
 
-def check_columns(spec: DatasetSpec, names: set[str]) -> None:
-    if not names:
-        return
+def check_columns(spec: DatasetSpec, names: set[str], scans: Sequence[DataFrame] = ()) -> None:
+    """Mapped columns must be in the data. Those that ``names``, the fields seen so far, lack are
+    looked for in all rows of ``scans``: a column without any value counts as absent."""
     wanted = (
         [spec.message_columns()[0]]
         if spec.formatting == "sharegpt"
         else [s for s in spec.example_columns().values() if s]
     )
-    absent = [w for w in wanted if w not in names]
-    if absent:
+    absent, empty = [w for w in wanted if w not in names], True
+    for scan in scans if absent else []:
+        counts = scan.agg(F.count("*").alias("_rows"), *[F.count(F.col(f"`{a}`")).alias(a) for a in absent]).first()
+        absent = [a for a in absent if not counts[a]] if counts["_rows"] else absent
+        empty = empty and not counts["_rows"]
+    if absent and not (scans and empty):
         raise ValueError(f"dataset {spec.name}: columns {absent} are not in the data ({sorted(names)})")
 
 
@@ -152,7 +157,9 @@ def select_split(df: DataFrame, split: str, subset: str | None) -> DataFrame:
         df = df.filter(F.col("split") == split).drop("split")
     elif split != "train":
         raise ValueError(f"there is no split {split!r}")
-    if subset is not None and "subset" in df.columns:
+    if subset is not None:
+        if "subset" not in df.columns or df.filter(F.col("subset") == subset).isEmpty():
+            raise ValueError(f"there is no subset {subset!r}")
         df = df.filter(F.col("subset") == subset).drop("subset")
     return df
 
@@ -172,13 +179,17 @@ def read_table(
     head, _, path = bound.partition(":")
     if head not in (*TABLE_FORMATS, "json", "csv", "text"):
         return file_index(write_through(select_split(spark.table(bound), split, spec.subset), "table"))
-    under, left = path.rstrip("/"), split
-    for part in (spec.subset, split):
-        if part and path_exists(spark, f"{under}/{part}"):
-            under = f"{under}/{part}"
-            left = "train" if part == split else left
+    under, left, subset = path.rstrip("/"), split, spec.subset
+    if subset and path_exists(spark, f"{under}/{subset}"):
+        under, subset = f"{under}/{subset}", None
+    if path_exists(spark, f"{under}/{split}"):
+        under, left = f"{under}/{split}", "train"
+    if head in ("json", "csv"):  # read like the files of a manifest
+        scans, names = scan_files(spark, list_files(spark, under), head, raw_schema(spec))
+        check_columns(spec, names, scans if head == "json" else [])
+        return scan_index(*[select_split(scan, left, subset) for scan in scans])
     raw = spark.read.format(head).load(under)
-    chosen = select_split(raw, left, spec.subset)
+    chosen = select_split(raw, left, subset)
     if head == "parquet" and chosen.columns == raw.columns:  # whole files: positions are dense
         return file_index(chosen)
     if head in TABLE_FORMATS:
@@ -221,11 +232,11 @@ def read_dataset(
             raise ValueError(f"files have no split {split!r}")
         schema = None
         if kind == "json":
-            schema = raw_schema(spec, sniff_json(spark, files[0])[1] or None)
+            schema = raw_schema(spec)
         if max_samples is not None:
             files = leading_files(spark, files, kind, schema, max_samples)
         scans, names = scan_files(spark, files, kind, schema)
-        check_columns(spec, names)
+        check_columns(spec, names, scans if kind == "json" else [])
         indexed = scan_index(*scans)
     else:
         indexed = read_table(spark, spec, bindings or {}, split)
@@ -240,7 +251,7 @@ def read_dataset(
 
 def read_stream(spark: SparkSession, spec: DatasetSpec, dataset_dir: str, on_bad_order: str = "raise") -> DataFrame:
     """The same files as a stream, with the same conversion. ``address`` names a folder,
-    as a stream watches folders; its JSON files must all have the layout of the first."""
+    as a stream watches folders; its JSON files must all have one layout."""
     path = f"{dataset_dir.rstrip('/')}/{spec.address}"
     files = list_files(spark, path)
     kind = format_of(files)
@@ -252,7 +263,11 @@ def read_stream(spark: SparkSession, spec: DatasetSpec, dataset_dir: str, on_bad
         schema = spark.read.csv(files[0], **CSV_OPTIONS).schema
         raw = spark.readStream.schema(schema).csv(path, enforceSchema=False, **CSV_OPTIONS)
     else:
-        array, names = sniff_json(spark, files[0])
-        check_columns(spec, names)
-        raw = spark.readStream.schema(raw_schema(spec, names or None)).option("multiLine", array).json(path)
+        layouts, schema = json_layouts(spark, files), raw_schema(spec)
+        if len(layouts) > 1:
+            raise ValueError(f"{path} holds JSON arrays and JSON lines: put them in folders of their own")
+        scans, names = scan_files(spark, files, kind, schema)
+        check_columns(spec, names, scans)
+        reader = spark.readStream.schema(schema).option("mode", "FAILFAST").option("multiLine", *layouts)
+        raw = reader.json(path)
     return to_examples(raw, spec, on_bad_order).withColumn("dataset", F.lit(spec.name))

@@ -2,31 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder;
-    on a cluster such a folder would be seen by one machine only.
-    """
+    """Folder the cluster names in ``spark.checkpoint.dir``; without that setting, one below the
+    session's warehouse folder, which every executor reaches as well."""
     named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor reaches")
-    application = spark.sparkContext.applicationId
-    if application not in _local_dirs:
-        _local_dirs[application] = tempfile.mkdtemp(prefix="sftprep-")
-    return _local_dirs[application]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -69,3 +57,13 @@ def head_of_file(spark: SparkSession, path: str, size: int = 1 << 20) -> str:
         return bytes(stream.readNBytes(size)).decode("utf-8", "ignore")
     finally:
         stream.close()
+
+
+def whole_file(spark: SparkSession, path: str) -> str:
+    """A small file, such as a manifest, as text."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

@@ -210,13 +210,13 @@ def test_streaming_job(spark, folders, tokenizer, tmp_path, more, n_train, n_eva
 
 
 def test_reading_a_folder_as_a_stream(spark, data, tmp_path):
-    spec = manifest.resolve_datasets("a", manifest.load_manifest(data))[0]
+    spec = manifest.resolve_datasets("a", manifest.load_manifest(spark, data))[0]
     run(jobs.write_rows(files.read_stream(spark, spec, data), str(tmp_path / "o"), str(tmp_path / "c")))
     want = files.read_dataset(spark, spec, data).drop("row_idx").collect()
     got = spark.read.parquet(str(tmp_path / "o")).select(*files.read_stream(spark, spec, data).columns).collect()
     assert sorted(map(str, got)) == sorted(map(str, want))
     with pytest.raises(ValueError, match="folder"):
-        files.read_stream(spark, manifest.resolve_datasets("b", manifest.load_manifest(data))[0], data)
+        files.read_stream(spark, manifest.resolve_datasets("b", manifest.load_manifest(spark, data))[0], data)
 
 
 # -- registered queries -----------------------------------------------------------

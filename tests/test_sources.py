@@ -1,8 +1,9 @@
 import hashlib
 import json
+from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from sftprep import storage
 from sftprep.sources import cache, files, integrity, manifest, sinks
@@ -61,7 +62,8 @@ def data(tmp_path):
 
 
 def specs(data, names, **options):
-    return manifest.resolve_datasets(names, manifest.load_manifest(data), **options)
+    spark = SparkSession.getActiveSession()
+    return manifest.resolve_datasets(names, manifest.load_manifest(spark, data), **options)
 
 
 def read(spark, data, name, **options):
@@ -75,10 +77,10 @@ def test_manifest(spark, data):
     hub = specs(data, "hub")[0]
     assert (hub.location, hub.address, hub.subset, hub.sha1) == ("hf_hub", "a/b", "s1", None)
     assert specs(data, "script")[0].location == "script"
-    with pytest.raises(ValueError, match="Undefined dataset"):
+    with pytest.raises(ValueError, match="no dataset"):
         specs(data, "nobody")
-    with pytest.raises(ValueError, match="Cannot find"):
-        manifest.load_manifest(data + "/nowhere")
+    with pytest.raises(ValueError, match="no manifest"):
+        manifest.load_manifest(spark, data + "/nowhere")
     assert [s.system_prompt for s in specs(data, "plain,short,lines,chat", system_prompt="a|")] == ["a", "", "a", ""]
     table = manifest.manifest_table(spark, MANIFEST)
     assert table.count() == len(MANIFEST) and table.filter("ranking").count() == 1
@@ -128,7 +130,7 @@ def test_conversations(spark, data):
 
 def test_folder(spark, data):
     assert [r.prompt for r in read(spark, data, "folder").collect()] == ["00", "01", "10", "11", "20", "21"]
-    with pytest.raises(AssertionError, match="not identical"):
+    with pytest.raises(AssertionError, match="share one type"):
         read(spark, data, "mixed")
     with pytest.raises(AssertionError, match="extension"):
         files.format_of(["x.bin"])
@@ -171,7 +173,8 @@ def test_tables(spark, tmp_path):
         (f"orc:{tmp_path}/o", "test", 5),
         ("bound_table", "train", 15),
     ):
-        got = files.read_dataset(spark, spec, ".", split, bindings={"hub": bound})
+        chosen = spec if "by_folder" in bound else replace(spec, subset=None)
+        got = files.read_dataset(spark, chosen, ".", split, bindings={"hub": bound})
         assert sorted(r.row_idx for r in got.collect()) == list(range(n))
     with pytest.raises(ValueError, match="bind"):
         files.read_dataset(spark, spec, ".")
@@ -241,17 +244,41 @@ def test_shared_folder(spark, monkeypatch):
     assert storage.write_through(spark.range(5), "t").count() == 5
 
 
-def test_shared_folder_is_needed_on_a_cluster(monkeypatch):
-    class Context:
-        master, applicationId = "spark://host:7077", "app"
-
-    class Session:
-        sparkContext = Context()
-
-        class conf:
-            @staticmethod
-            def get(name, default):
-                return default
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        storage.shared_dir(Session())
+def test_shared_folder():
+    def session(**settings):
+        class Session:
+            class conf:
+                @staticmethod
+                def get(name, default=None):
+                    return settings.get(name.replace(".", "_"), default)
+
+        return Session()
+
+    assert storage.shared_dir(session(spark_checkpoint_dir="hdfs://n/c/")) == "hdfs://n/c"
+    assert storage.shared_dir(session(spark_sql_warehouse_dir="hdfs://n/w")) == "hdfs://n/w/intermediate"
+
+
+def test_columns_that_come_late(spark, tmp_path):
+    line = {"instruction": "a", "input": "", "output": "b"}
+    late = {**line, "system": "s", "history": [["q", "r"]]}
+    (tmp_path / "lines.jsonl").write_text("\n".join(map(json.dumps, [line] * 1001 + [late])))
+    (tmp_path / "array.json").write_text(json.dumps([{"instruction": "a", "output": "b"}, late]))
+    (tmp_path / "parts").mkdir()
+    (tmp_path / "parts/1.json").write_text(json.dumps([line]))
+    (tmp_path / "parts/2.jsonl").write_text(json.dumps(late))
+    names = ("lines.jsonl", "array.json", "parts")
+    (tmp_path / "dataset_info.json").write_text(json.dumps({n: {"file_name": n} for n in names}))
+    for name, n in zip(names, (1002, 2, 2), strict=True):
+        rows = read(spark, str(tmp_path), name).collect()
+        assert len(rows) == n and rows[0].system is None
+        assert rows[-1].system == "s" and [tuple(h) for h in rows[-1].history] == [("q", "r")]
+    spec = specs(f"file:{tmp_path}", "parts")[0]
+    with pytest.raises(ValueError, match="arrays and JSON lines"):
+        files.read_stream(spark, spec, str(tmp_path))
+    hub = manifest.parse_entry("hub", MANIFEST["hub"])
+    (tmp_path / "s1").mkdir()
+    (tmp_path / "s1/1.json").write_text(json.dumps([line, late]))
+    got = files.read_dataset(spark, hub, ".", bindings={"hub": f"json:{tmp_path}"}).orderBy("row_idx").collect()
+    assert [r.system for r in got] == [None, "s"]
+    with pytest.raises(ValueError, match="no subset"):
+        files.select_split(spark.range(3).withColumn("subset", F.lit("x")), "train", "y")
