@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from . import bigru
@@ -38,7 +39,7 @@ ROUNDS, BATCH, RATE = 4, 256, 0.01
 UPDATES = 60  # per round
 CALIBRATION = 5  # every fifth labelled text sets the threshold instead of being learned from
 SHRINK = 4.0  # documents that a log-odds value needs before half of it counts
-GROUP_BYTES = 1 << 21  # of text read together
+GROUP_BYTES = 1 << 19  # of text read together
 WINDOWS_AT_ONCE = 4096
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -258,23 +259,25 @@ def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the ones added; an empty table gives no rows.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    doc = [whole_row(docs).alias("doc")] if whole else []
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *doc)
+    # a whole row holds its text, which goes to Python once
+    sent = whole_row(docs).alias("doc") if whole else F.col(text_col).alias("text")
+    rows = docs.select(F.col(id_col).alias("id"), sent)
     doc_type = f", doc {rows.schema['doc'].dataType.simpleString()}" if whole else ""
+    at = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, group, held = [], [], 0
-            for text in batch.column(1):
-                group.append(text.as_py())
+            for text in pc.struct_field(batch.column(1), at) if whole else batch.column(1):
+                group.append(text.as_py() or "")
                 held += len(group[-1])
                 if held >= GROUP_BYTES:
                     scores.append(score_texts(shared.value, group))
                     group, held = [], 0
             if group:
                 scores.append(score_texts(shared.value, group))
-            columns = [batch.column(0), pa.array(np.concatenate([*scores, np.empty(0)])), *batch.columns[2:]]
+            columns = [batch.column(0), pa.array(np.concatenate([*scores, np.empty(0)])), *(batch.columns[1:] if whole else [])]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "score", *(["doc"] if whole else [])])
 
     return rows.mapInArrow(run, f"id {id_type}, score double{doc_type}")
