@@ -32,12 +32,14 @@ SAMPLE_BYTES = 8_192  # longer documents are scored like all others, but not lea
 CANDIDATES = 2  # labelled ids looked up for each text that is learned from
 THRESHOLD = 0.3
 NGRAMS = (3, 4, 5)  # bytes, with the spaces around the word
-WORD_ROWS = CHAR_ROWS = 1 << 15
+PREFIXES = tuple(range(6, 15))  # longer n-grams only where they begin a word: stems that take endings
+WORD_ROWS = CHAR_ROWS = 1 << 17
 LEARNED = 3  # learned dimensions of words and of n-grams
 HIDDEN, ATTENTION = 8, 8
 ROUNDS, BATCH, RATE = 4, 256, 0.01
 UPDATES = 60  # per round
 CALIBRATION = 5  # every fifth labelled text sets the threshold instead of being learned from
+MIN_TEXTS = 5  # sampled texts that a learned vector needs; rarer words and n-grams have none
 SHRINK = 4.0  # documents that a log-odds value needs before half of it counts
 GROUP_BYTES = 1 << 19  # of text read together
 WINDOWS_AT_ONCE = 4096
@@ -66,18 +68,18 @@ def read_words(texts: list[str]) -> Words:
     starts, ends = starts[first], ends[first]
     chars = np.frombuffer(data + bytes(8), dtype=np.uint8).astype(np.uint64)
     lengths = ends - starts
-    per_size = [np.maximum(lengths + 3 - n, 0) for n in NGRAMS]
+    per_size = [np.maximum(lengths + 3 - n, 0) for n in NGRAMS] + [(lengths + 1 >= n).astype(np.int64) for n in PREFIXES]
     totals = np.sum(per_size, axis=0)
     bounds = np.concatenate(([0], np.cumsum(totals)))[:-1]
     grams = np.empty(int(totals.sum()), dtype=np.int64)
     into = bounds.copy()
-    for n, number in zip(NGRAMS, per_size, strict=True):
+    for n, number in zip(NGRAMS + PREFIXES, per_size, strict=True):
         step = np.arange(int(number.sum())) - np.repeat(np.cumsum(number) - number, number)
         at = np.repeat(starts - 1, number) + step
         code = np.full(len(at), np.uint64(n), dtype=np.uint64)
         for i in range(n):
             code = code * np.uint64(257) + chars[at + i]
-        grams[np.repeat(into, number) + step] = ((code * _SPREAD) >> np.uint64(49)).astype(np.int64)
+        grams[np.repeat(into, number) + step] = ((code * _SPREAD) >> np.uint64(32)).astype(np.int64) % CHAR_ROWS
         into += number
     return Words(order, counts, (distinct % np.uint64(WORD_ROWS)).astype(np.int64), grams, bounds)
 
@@ -90,14 +92,17 @@ class Model:
 
     def vectors(self, words: Words) -> np.ndarray:
         """One row per distinct word."""
+        return self.vectors_with(words, self.word_odds[words.rows], self.gram_odds[words.grams])
+
+    def vectors_with(self, words: Words, word_odds: np.ndarray, odds: np.ndarray) -> np.ndarray:
+        """The same with other log-odds, one per distinct word and one per n-gram of each."""
         if not len(words.rows):
             return np.zeros((0, 3 + 2 * LEARNED), dtype=np.float32)
-        odds = self.gram_odds[words.grams]
         sizes = np.diff(np.append(words.bounds, len(words.grams)))[:, None]
         learned = np.add.reduceat(self.parameters["chars"][words.grams], words.bounds, axis=0) / sizes
         return np.concatenate(
             [
-                self.word_odds[words.rows][:, None],
+                word_odds[:, None],
                 np.maximum.reduceat(odds, words.bounds)[:, None],
                 (np.add.reduceat(odds, words.bounds)[:, None] / sizes),
                 self.parameters["words"][words.rows],
@@ -118,17 +123,17 @@ def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text[order], (base[text] + nth * STRIDE)[order], length[order]
 
 
-def _index(words: Words, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+def _index(order: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     at = first[:, None] + np.minimum(np.arange(STEPS), length[:, None] - 1)
-    return words.order[at]
+    return order[at]
 
 
-def window_logits(model: Model, words: Words, first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    table = model.vectors(words)
+def window_logits(model: Model, table: np.ndarray, order: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Logits of windows over word occurrences ``order``, which point into ``table``."""
     out = np.empty(len(first), dtype=np.float32)
     for at in range(0, len(first), WINDOWS_AT_ONCE):
         part = slice(at, at + WINDOWS_AT_ONCE)
-        out[part] = bigru.forward(model.parameters, table, _index(words, first[part], length[part]), length[part])
+        out[part] = bigru.forward(model.parameters, table, _index(order, first[part], length[part]), length[part])
     return out
 
 
@@ -138,12 +143,13 @@ def score_texts(model: Model, texts: list[str]) -> np.ndarray:
     text, first, length = windows(words.counts)
     best = np.full(len(texts), -np.inf)
     if len(text):
-        np.maximum.at(best, text, window_logits(model, words, first, length).astype(np.float64))
+        np.maximum.at(best, text, window_logits(model, model.vectors(words), words.order, first, length).astype(np.float64))
     return 1 / (1 + np.exp(-np.clip(best, -700, 700))) * (words.counts > 0)
 
 
 def _log_odds(positive: np.ndarray, negative: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Log-odds of occurring in a positive text, pulled to zero for what is rare."""
+    positive, negative = np.maximum(positive, 0), np.maximum(negative, 0)
     n_pos, n_neg = int(labels.sum()), int((1 - labels).sum())
     odds = np.log((positive + 0.5) / (n_pos + 1)) - np.log((negative + 0.5) / (n_neg + 1))
     n = positive + negative
@@ -187,10 +193,19 @@ def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
         word_texts[label, np.unique(words.rows[distinct])] += 1
         gram_texts[label, np.unique(grams_of(distinct))] += 1
     word_odds, gram_odds = _log_odds(word_texts[1], word_texts[0], y), _log_odds(gram_texts[1], gram_texts[0], y)
+    # a training text sees the log-odds as they are without it, else the network would learn to
+    # trust rare words, which betray the very texts that they were counted in
+    without = [
+        tuple(_log_odds(n[1] - label, n[0] - (1 - label), y) for n in (word_texts, gram_texts)) for label in (0, 1)
+    ]
     p = bigru.new_parameters(3 + 2 * LEARNED, HIDDEN, ATTENTION, rng)
     p["words"] = (0.01 * rng.standard_normal((WORD_ROWS, LEARNED))).astype(np.float32)
     p["chars"] = (0.01 * rng.standard_normal((CHAR_ROWS, LEARNED))).astype(np.float32)
+    known = {"words": word_texts.sum(axis=0) >= MIN_TEXTS, "chars": gram_texts.sum(axis=0) >= MIN_TEXTS}
+    for name, rows in known.items():
+        p[name] *= rows[:, None]
     model = Model(word_odds, gram_odds, p)
+    seen = words.order + np.repeat(y, words.counts) * len(words.rows)  # in a text of which class
     text, first, length = windows(words.counts)
     if len(set(y.tolist())) < 2 or not len(text):
         p["ow"][:] = 0
@@ -199,12 +214,13 @@ def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
 
     adam = bigru.Adam(p, RATE)
     for turn in range(ROUNDS):
+        table = np.concatenate([model.vectors_with(words, w[words.rows], g[words.grams]) for w, g in without])
         if turn:
-            score = window_logits(model, words, first, length)
+            score = window_logits(model, table, seen, first, length)
         else:  # no model yet: the most suspicious word
-            odds = model.vectors(words)[:, :2].max(axis=1)
+            odds = table[:, :2].max(axis=1)
             parts = range(0, len(first), 8192)
-            score = np.concatenate([odds[_index(words, first[i : i + 8192], length[i : i + 8192])].max(axis=1) for i in parts])
+            score = np.concatenate([odds[_index(seen, first[i : i + 8192], length[i : i + 8192])].max(axis=1) for i in parts])
         # of each text the window that scores highest, and others of negative texts
         best = np.lexsort((-score, text))
         top = best[np.concatenate(([True], text[best][1:] != text[best][:-1]))]
@@ -214,11 +230,15 @@ def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
         balance = np.where(y == 1, 0.5 / rate, 0.5 / (1 - rate)).astype(np.float32)
         batches = (rng.permutation(chosen)[:BATCH] for _ in range(UPDATES))
         for part in map(np.sort, batches):  # windows are in order of length
-            index = _index(words, first[part], length[part])
+            index = _index(seen, first[part], length[part])
             used, local = np.unique(index, return_inverse=True)
+            label, used = np.divmod(used, len(words.rows))
             local, n = local.reshape(index.shape), sizes[used]
             few = Words(local, words.counts, words.rows[used], grams_of(used), np.cumsum(n) - n)
-            table, tape = model.vectors(few), {}
+            of_gram = np.repeat(label, n)
+            word_values = np.where(label, without[1][0][few.rows], without[0][0][few.rows])
+            gram_values = np.where(of_gram, without[1][1][few.grams], without[0][1][few.grams])
+            table, tape = model.vectors_with(few, word_values, gram_values), {}
             logit = bigru.forward(p, table, local, length[part], tape)
             target = y[text[part]]
             d_logit = ((1 / (1 + np.exp(-logit)) - target) * balance[text[part]] / len(part)).astype(np.float32)
@@ -226,6 +246,8 @@ def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
             g["words"], g["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
             np.add.at(g["words"], few.rows, d_table[:, 3 : 3 + LEARNED])
             np.add.at(g["chars"], few.grams, np.repeat(d_table[:, 3 + LEARNED :] / n[:, None], n, axis=0))
+            for name, rows in known.items():
+                g[name] *= rows[:, None]
             adam.update(g)
     return model
 
