@@ -64,3 +64,76 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (row) LEFT JOIN n USING (row)
 """
+
+ORACLES["op12_resampling"] = r"""
+WITH steps AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda c: list_reduce(list_concat([c], range(8)),
+         lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS step
+),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+),
+dw AS (SELECT row, word, count(*) AS n FROM (SELECT row, unnest(words) AS word FROM d) GROUP BY ALL),
+bw AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM b) GROUP BY ALL),
+v AS (SELECT word, encode(word) AS bytes FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+h AS (
+  SELECT word, xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(bytes)),
+                               lambda i: ('0x' || substr(hex(bytes), 2 * i + 1, 2))::BIGINT)),
+                               lambda a, x: xor(step[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) % 10000 AS bucket
+  FROM v, steps
+),
+s AS (SELECT bucket, sum(n) AS n FROM dw JOIN h USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS n FROM bw JOIN h USING (word) GROUP BY bucket),
+g AS (
+  SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (total_s + 10000)::DOUBLE
+                                   / ((s.n + 1)::DOUBLE * (total_t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket),
+       (SELECT sum(n) AS total_s FROM s), (SELECT coalesce(sum(n), 0) AS total_t FROM t)
+),
+w AS (SELECT row, sum(n * gain)::BIGINT AS weight FROM dw JOIN h USING (word) JOIN g USING (bucket) GROUP BY row),
+x AS (
+  SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5)::DOUBLE
+                                                   / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (row)
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= able * 10 // 100 THEN place END AS rank
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) FILTER (WHERE n_features >= 20) OVER () AS able
+  FROM x
+)
+"""
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vec
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, v.row, v.vec_id, a.label = v.label AS same,
+         list_sum(list_transform(list_zip(a.vec, v.vec), lambda x: x[1] * x[2]))::BIGINT AS score
+  FROM (SELECT * FROM v WHERE vec_id % 100 = 0) a JOIN v ON a.row <> v.row AND len(a.vec) = len(v.vec)
+),
+p AS (
+  SELECT anchor, anchor_id, vec_id AS positive_id, row AS positive, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, vec_id, row)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, vec_id, row) <= 5
+"""

@@ -8,7 +8,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, exact_dedup, licenses, line_dedup, near_dedup, packing, pii, sharding, toxicity, warc
+from . import (
+    decontamination,
+    exact_dedup,
+    hard_negatives,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    pii,
+    resampling,
+    sharding,
+    toxicity,
+    warc,
+)
 from .license_texts import LICENSES
 from .token_ids import Vocabulary
 
@@ -131,3 +144,21 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op12_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents weighed by their words against the benchmark, and the rank of those drawn."""
+    drawn = resampling.importance(
+        _table(spark, sf, "documents"), _table(spark, sf, "benchmark"), low=1, high=1, buckets=10_000, min_words=20,
+        percent=10, seed=2024,
+    )
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Up to five hard negatives for each of the five positives of every hundredth vector."""
+    vectors = _table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
