@@ -15,6 +15,7 @@ from . import (
     licenses,
     line_dedup,
     near_dedup,
+    ngram_join,
     packing,
     pii,
     resampling,
@@ -146,6 +147,13 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op11_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of documents that share at least 85 % of their four-word shingles."""
+    groups = ngram_join.ngram_join(_table(spark, sf, "documents"), words=4, percent=85)
+    return groups.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op12_resampling(spark: SparkSession, sf: str) -> DataFrame:
     """All documents weighed by their words against the benchmark, and the rank of those drawn."""

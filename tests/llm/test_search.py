@@ -5,16 +5,18 @@ import math
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sftprep.llm import hard_negatives, resampling
+from sftprep.llm import hard_negatives, ngram_join, resampling, shingles
+from sftprep.llm.divide_skip import InvertedLists, divide_skip
 from sftprep.llm.queries import QUERIES
 
 from .cases import odd_texts, prose, table
+from .test_groups import edited, plain_components
 
 SMALL = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -26,6 +28,96 @@ def checkpoint_folder(spark, tmp_path_factory):
         spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
 
 
+# -- n-gram join --------------------------------------------------------------------
+
+
+def joined(rows):
+    """Per id the sorted (size, component) pairs."""
+    key = lambda v: sorted(v, key=str)
+    got = defaultdict(list)
+    for x in rows:
+        got[str(x["id"])].append((x["n_shingles"], x["component_id"]))
+    return {k: key(v) for k, v in got.items()}
+
+
+def plain_join(texts, size, percent):
+    want = defaultdict(list)
+    for (i, _), found in zip(texts, plain_components(texts, size, percent), strict=True):
+        want[str(i)].append(found)
+    return {k: sorted(v, key=str) for k, v in want.items()}
+
+
+@pytest.mark.parametrize(("block", "frequent", "percent"), [(1 << 17, 1 << 17, 85), (3000, 0, 85), (6000, 40, 60), (4000, 1 << 17, 30)])
+def test_ngram_join(spark, monkeypatch, block, frequent, percent):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "FREQUENT", frequent)
+    monkeypatch.setattr(ngram_join, "CHUNK", 3000)
+    r = random.Random(9)
+    texts = odd_texts()
+    shared = prose(77, 60)
+    for g in range(3):
+        words = prose(100 + g, 120).split(" ")
+        texts += [(1000 * (g + 1) + i, edited(words, r, r.choice([0, 1, 2, 3, 5, 7]))) for i in range(25)]
+        texts += [(5000 + 100 * g + i, f"{shared} {prose(300 + 30 * g + i, r.choice([4, 8, 12, 40]))}") for i in range(12)]
+    r.shuffle(texts)
+    rows = ngram_join.ngram_join(table(spark, texts), words=4, percent=percent).collect()
+    assert joined(rows) == plain_join(texts, 4, percent)
+
+
+def test_ngram_join_of_repeated_and_missing_ids(spark):
+    a, b = prose(1, 150).split(" "), prose(2, 150).split(" ")
+    near = lambda words: " ".join([*words[:70], "altered", *words[71:]])
+    texts = [(3, near(b)), (5, " ".join(a)), (5, " ".join(b)), (6, near(a)), (None, prose(3, 150)), (None, near(prose(3, 150).split(" ")))]
+    far = prose(4, 150).split(" ")
+    middle = " ".join([*far[:70], "altered", *far[71:]])
+    texts += [(8, " ".join(far)), (None, middle), (9, " ".join([*middle.split(" ")[:30], "again", *middle.split(" ")[31:]]))]
+    rows = ngram_join.ngram_join(table(spark, texts), words=4, percent=90).collect()
+    assert joined(rows) == plain_join(texts, 4, 90)
+    assert ngram_join.ngram_join(table(spark, [])).collect() == []
+    with pytest.raises(ValueError):
+        ngram_join.ngram_join(table(spark, []), percent=0)
+
+
+def test_divide_skip():
+    r = random.Random(5)
+    for _ in range(300):
+        universe = r.choice([5, 40, 400])
+        sets = [np.array(sorted(r.sample(range(universe), r.randint(0, min(universe, 30)))), np.uint64) for _ in range(r.randint(1, 12))]
+        query = np.array(sorted(r.sample(range(universe), r.randint(1, min(universe, 30)))), np.uint64)
+        shared = [len(np.intersect1d(query, s)) for s in sets]
+        least = r.randint(1, 8)
+        needed = [least + r.randint(0, 3) for _ in sets]
+        lists = InvertedLists(sets).of(query)
+        assert sorted(divide_skip(lists, least, needed)) == [i for i, n in enumerate(shared) if n >= needed[i]]
+
+
+def test_bitmaps_never_rule_out_a_link():
+    r = np.random.default_rng(4)
+    for n in (1, 20, 31, 33, 64, 100, 117, 300, 700):
+        a = np.unique(r.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[: len(a) - len(a) // 20], r.integers(0, 1 << 62, max(1, n // 12)).astype(np.uint64))))
+        size, labels, sides = np.array([len(a), len(b)]), np.array([0, 1]), np.ones(2, dtype=bool)
+        common = len(np.intersect1d(a, b))
+        linked = 100 * common >= 80 * (len(a) + len(b) - common)
+        hit = ngram_join.plausible(size, labels, [ngram_join.parity(a), ngram_join.parity(b)], sides, sides, 80)
+        assert hit.all() or not linked
+
+
+def test_prefixes_of_linked_sets_meet():
+    one = shingles.shingle_set(prose(1, 300), 4)
+    two = np.sort(np.concatenate((one[:-20], one[:20] + np.uint64(1))))
+    for values, counts in ((np.empty(0, np.uint64), np.empty(0, np.int64)), (one[::2], np.arange(len(one[::2])) % 7)):
+        parts = [ngram_join.prefix(s, 85, values, counts) for s in (one, two)]
+        assert len(np.intersect1d(*parts)) and all(len(p) == len(s) - -(-85 * len(s) // 100) + 1 for p, s in zip(parts, (one, two)))
+        assert not len(values) or not np.isin(parts[0], values).any()
+
+
+def test_ngram_query(spark):
+    docs = [(x["doc_id"], x["text"]) for x in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    rows = QUERIES["op11_ngram_join"](spark, SMALL).withColumnRenamed("doc_id", "id").collect()
+    assert joined(rows) == plain_join(docs, 4, 85)
+
+
 # -- importance resampling ----------------------------------------------------------
 
 
