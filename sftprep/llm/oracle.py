@@ -150,11 +150,11 @@ s AS MATERIALIZED (
   FROM (SELECT row, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i FROM d WHERE len(words) > 0)
 ),
 n AS (SELECT row, count(*) AS n FROM s GROUP BY row),
-both AS (
+shared AS (
   SELECT a.row AS a, b.row AS b, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.row <> b.row GROUP BY ALL
 ),
 link AS MATERIALIZED (
-  SELECT a, b FROM both JOIN n x ON x.row = a JOIN n y ON y.row = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+  SELECT a, b FROM shared JOIN n x ON x.row = a JOIN n y ON y.row = b WHERE 100 * common >= 85 * (x.n + y.n - common)
 ),
 reach AS (SELECT row AS a, row AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
 c AS (SELECT a AS row, min(doc_id) AS component_id FROM reach JOIN d ON d.row = reach.b GROUP BY a)
