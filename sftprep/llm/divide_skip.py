@@ -23,12 +23,20 @@ class InvertedLists:
         self.values, self.starts = np.unique(values[order], return_index=True)
         self.ends = np.append(self.starts[1:], len(values))
 
-    def of(self, query: np.ndarray) -> list[list[int]]:
-        """The lists of the values of ``query`` (sorted) that any set holds."""
+    def of(self, query: np.ndarray, wanted: np.ndarray | None = None) -> list[list[int]]:
+        """The lists of the values of ``query`` (sorted), as far as they name ``wanted`` sets; no empty ones."""
         at = np.searchsorted(self.values, query)
-        at = at[at < len(self.values)] if len(self.values) else at[:0]
+        at = at[: np.searchsorted(at, len(self.values))]
         at = at[self.values[at] == query[: len(at)]]
-        return [self.owners[a:b].tolist() for a, b in zip(self.starts[at], self.ends[at], strict=True)]
+        sizes = self.ends[at] - self.starts[at]
+        upto = np.cumsum(sizes)
+        members = self.owners[np.arange(upto[-1] if len(at) else 0) + np.repeat(self.starts[at] - (upto - sizes), sizes)]
+        if wanted is not None:
+            kept = wanted[members]
+            members, sizes = members[kept], np.bincount(np.repeat(np.arange(len(at)), sizes)[kept], minlength=len(at))
+            sizes = sizes[sizes > 0]
+        flat, ends = members.tolist(), np.cumsum(sizes).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def divide_skip(lists: list[list[int]], least: int, needed: Sequence[int]) -> Iterator[int]:

@@ -205,13 +205,26 @@ def _as_set(data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint64)
 
 
-def linked_pairs(index: list[np.ndarray], queries: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
-    """(query, set) for all sets of ``index`` that a query is linked with."""
-    lists = InvertedLists(index)
-    for i, query in enumerate(queries):
-        needed = overlap(lists.sizes, len(query), percent).tolist()
-        for j in divide_skip(lists.of(query), least_overlap(len(query), percent), needed):
-            yield i, j
+def linked(lists: InvertedLists, query: np.ndarray, percent: int, wanted: np.ndarray | None = None) -> Iterator[int]:
+    """The (wanted) sets that ``query`` is linked with."""
+    needed = overlap(lists.sizes, len(query), percent).tolist()
+    return divide_skip(lists.of(query, wanted), least_overlap(len(query), percent), needed)
+
+
+def joining_links(sets: list[np.ndarray], labels: np.ndarray, one: np.ndarray, two: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Links across sides ``one`` and ``two`` (places of sets) that join components.
+
+    A query searches only for sets that are not in its component yet.
+    """
+    lists, labels = InvertedLists([sets[k] for k in one]), labels.copy()
+    for a in two:
+        wanted = labels[one] != labels[a]
+        if wanted.any():
+            for j in linked(lists, sets[a], percent, wanted):
+                b = one[j]
+                if labels[a] != labels[b]:
+                    labels[labels == labels[b]] = labels[a]
+                    yield a, b
 
 
 def _from_pivots(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -231,7 +244,7 @@ def _from_pivots(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pivot, nodes = unit["pivot"][0], unit["node"]
         candidates = [k for k, node in enumerate(nodes) if node != pivot]
         query = _as_set(unit["shingles"][nodes.index(pivot)])
-        for _, j in linked_pairs([_as_set(unit["shingles"][k]) for k in candidates], [query], percent):
+        for j in linked(InvertedLists([_as_set(unit["shingles"][k]) for k in candidates]), query, percent):
             yield pivot, nodes[candidates[j]]
 
     # a pivot comes with one candidate or more of about its size
@@ -302,13 +315,10 @@ def _across_blocks(members: DataFrame, classes: DataFrame, fetch: Callable[[Data
     both = left.join(fetch(left.select("node").distinct()), "node")
 
     def search(unit: dict[str, list]) -> Iterator[tuple[int, int]]:
-        sets, labels, nodes = list(map(_as_set, unit["shingles"])), np.array(unit["component"]), unit["node"]
         one, two = (np.flatnonzero(side) for side in sides(unit))
-        for i, j in linked_pairs([sets[k] for k in one], [sets[k] for k in two], percent):
-            a, b = two[i], one[j]
-            if labels[a] != labels[b]:
-                labels[labels == labels[b]] = labels[a]
-                yield nodes[a], nodes[b]
+        sets, nodes = list(map(_as_set, unit["shingles"])), unit["node"]
+        for a, b in joining_links(sets, np.array(unit["component"]), one, two, percent):
+            yield nodes[a], nodes[b]
 
     return _by_units(both, ["x", "y"], _total(left, weight), search, "a bigint, b bigint")
 

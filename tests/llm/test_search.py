@@ -89,6 +89,9 @@ def test_divide_skip():
         needed = [least + r.randint(0, 3) for _ in sets]
         lists = InvertedLists(sets).of(query)
         assert sorted(divide_skip(lists, least, needed)) == [i for i, n in enumerate(shared) if n >= needed[i]]
+        wanted = np.array([r.random() < 0.6 for _ in sets])
+        some = InvertedLists(sets).of(query, wanted)
+        assert all(some) and sorted(divide_skip(some, least, needed)) == [i for i, n in enumerate(shared) if n >= needed[i] and wanted[i]]
 
 
 def test_bitmaps_never_rule_out_a_link():
