@@ -34,13 +34,13 @@ def source_sizes(stacked: DataFrame, n_sources: int) -> list[int]:
     return [counted.get(i, 0) for i in range(n_sources)]
 
 
-def _per_source(values: Sequence[int]) -> Column:
+def per_source(values: Sequence[int]) -> Column:
     return F.get(F.array(*[F.lit(int(v)).cast("bigint") for v in values]), F.col("source_no"))
 
 
 def concat(stacked: DataFrame, sizes: Sequence[int]) -> DataFrame:
     starts = [sum(sizes[:i]) for i in range(len(sizes))]
-    return stacked.withColumn("mix_idx", _per_source(starts) + F.col("row_idx"))
+    return stacked.withColumn("mix_idx", per_source(starts) + F.col("row_idx"))
 
 
 def _round_robin_key(slot: Column, k: int) -> Column:
@@ -66,7 +66,7 @@ def interleave_over(stacked: DataFrame, sizes: Sequence[int], inline_cycles: int
     short = [i for i, n in enumerate(sizes) if -(-longest // n) > inline_cycles]
     near = stacked.filter(~F.col("source_no").isin(short)) if short else stacked
     out = near.withColumn(
-        "_slot", F.explode(F.sequence(F.col("row_idx"), F.lit(longest - 1).cast("bigint"), _per_source(sizes)))
+        "_slot", F.explode(F.sequence(F.col("row_idx"), F.lit(longest - 1).cast("bigint"), per_source(sizes)))
     )
     if short:
         spark = stacked.sparkSession
@@ -94,13 +94,13 @@ def _meet(
     A row drawn more than ``per_key`` times gets several copies, and the draws are dealt
     out among them, so no join key holds an unbounded number of slots.
     """
-    size = _per_source(sizes)
+    size = per_source(sizes)
     slots = slots.withColumn("row_idx", F.col(draw) % size).withColumn(
         "_copy", F.floor(F.floor(F.col(draw) / size) / per_key)
     )
     copies = [max(0, (r - 1) // per_key) for r in repeats]
     if any(copies):
-        rows = stacked.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), _per_source(copies))))
+        rows = stacked.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), per_source(copies))))
         return slots.join(rows, ["source_no", "row_idx", "_copy"]).drop("_copy")
     return slots.drop("_copy").join(stacked, ["source_no", "row_idx"])
 
@@ -108,6 +108,11 @@ def _meet(
 # -- weighted ---------------------------------------------------------------------
 
 
+def check_strategy(strategy: str) -> None:
+    if not strategy.startswith("interleave"):
+        raise ValueError(f"no way of mixing is called {strategy!r}; there are {', '.join(STRATEGIES)}")
+
+
 def check_probabilities(probabilities: Sequence[float], sizes: Sequence[int], over: bool) -> None:
     if len(probabilities) != len(sizes):
         raise ValueError("there must be one probability per dataset")
@@ -123,13 +128,13 @@ def _cumulative(probabilities: Sequence[float]) -> list[float]:
     return [float(x) for x in cdf / cdf[-1]]
 
 
-def uniform_draws(spark: SparkSession, n_slots: int, seed: int, draws: str = "pcg64") -> DataFrame:
-    """``slot bigint, u double``: one uniform draw per slot, each a function of (seed, slot).
+def uniform_draws(spark: SparkSession, n_slots: int, seed: int, draws: str = "pcg64", start: int = 0) -> DataFrame:
+    """``slot bigint, u double``: one uniform draw per slot from ``start`` on, each a function of (seed, slot).
 
     ``pcg64`` gives the numbers of NumPy's default generator: every batch jumps ahead to
     its first slot, so tasks need not run in sequence. ``md5`` stays in SQL expressions.
     """
-    slots = spark.range(n_slots).withColumnRenamed("id", "slot")
+    slots = spark.range(start, start + n_slots).withColumnRenamed("id", "slot")
     if draws == "md5":
         head = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("slot").cast("string"))), 1, 8)
         return slots.withColumn("u", F.conv(head, 16, 10).cast("double") / F.lit(4294967296.0))
@@ -141,23 +146,33 @@ def uniform_draws(spark: SparkSession, n_slots: int, seed: int, draws: str = "pc
             if len(batch) == 0:
                 continue
             slot = batch["slot"].to_numpy()
-            start, stop = int(slot.min()), int(slot.max()) + 1
-            u = np.random.Generator(np.random.PCG64(seed).advance(start)).random(stop - start)
-            yield batch.assign(u=u[slot - start])
+            low, high = int(slot.min()), int(slot.max()) + 1
+            u = np.random.Generator(np.random.PCG64(seed).advance(low)).random(high - low)
+            yield batch.assign(u=u[slot - low])
 
     return slots.mapInPandas(generate, "slot bigint, u double")
 
 
 def weighted_slots(
-    spark: SparkSession, n_slots: int, probabilities: Sequence[float], seed: int, draws: str = "pcg64"
+    spark: SparkSession,
+    n_slots: int,
+    probabilities: Sequence[float],
+    seed: int,
+    draws: str = "pcg64",
+    start: int = 0,
+    drawn: Sequence[int] | None = None,
 ) -> DataFrame:
-    """``slot, source_no, draw``: which source each slot takes, and the how-manieth time."""
+    """``slot, source_no, draw``: which source each slot takes, and the how-manieth time.
+
+    From slot ``start`` on, if ``drawn`` says how often the slots before took each source.
+    """
     cdf = _cumulative(probabilities)
     source = F.lit(len(cdf) - 1)
     for i in reversed(range(len(cdf) - 1)):
         source = F.when(F.col("u") < cdf[i], F.lit(i)).otherwise(source)
-    chosen = uniform_draws(spark, n_slots, seed, draws).select("slot", source.alias("source_no"))
-    return running_total(chosen, 1, F.shiftright("slot", 16), ["slot"], "draw", within=["source_no"])
+    chosen = uniform_draws(spark, n_slots, seed, draws, start).select("slot", source.alias("source_no"))
+    counted = running_total(chosen, 1, F.shiftright("slot", 16), ["slot"], "draw", within=["source_no"])
+    return counted.withColumn("draw", F.col("draw") + per_source(drawn)) if drawn else counted
 
 
 def interleave_weighted(
@@ -180,7 +195,7 @@ def interleave_weighted(
     n_slots = int(max(expected) if over else min(expected))
     while True:
         slots = weighted_slots(spark, n_slots, probabilities, seed, draws)
-        ends = slots.filter(F.col("draw") == _per_source(sizes) - 1)
+        ends = slots.filter(F.col("draw") == per_source(sizes) - 1)
         found = [r["slot"] for r in ends.select("slot").collect()]  # at most one per source
         if len(found) == len(live) or (not over and found):
             break
@@ -191,6 +206,26 @@ def interleave_weighted(
     return _meet(used, "draw", stacked, sizes, repeats).withColumnRenamed("slot", "mix_idx").drop("draw")
 
 
+def slots_before_any_ends(
+    spark: SparkSession, seen: Sequence[int], emitted: Sequence[int], probabilities: Sequence[float], seed: int,
+    draws: str = "pcg64",
+) -> DataFrame:
+    """The slots after those handed out, up to the one that hands out the last row seen of any source.
+
+    ``seen`` and ``emitted`` count rows per source; there are no slots while a source has no row left.
+    """
+    left = [(n - m, p) for n, m, p in zip(seen, emitted, probabilities) if p > 0]
+    start, n_slots = sum(emitted), int(min((n + 6 * n**0.5 + 50) / p for n, p in left))
+    if min(n for n, _ in left) <= 0:
+        return weighted_slots(spark, 0, probabilities, seed, draws, start, emitted)
+    while True:
+        slots = weighted_slots(spark, n_slots, probabilities, seed, draws, start, emitted)
+        stop = slots.filter(F.col("draw") == per_source(seen) - 1).agg(F.min("slot")).first()[0]
+        if stop is not None:
+            return slots.filter(F.col("slot") <= stop)
+        n_slots *= 2
+
+
 def mix(
     stacked: DataFrame,
     n_sources: int,
@@ -205,8 +240,8 @@ def mix(
     """
     if n_sources == 1:
         return stacked.drop("source_no")
-    if strategy != "concat" and not strategy.startswith("interleave"):
-        raise ValueError("Unknown mixing strategy.")
+    if strategy != "concat":
+        check_strategy(strategy)
     sizes = source_sizes(stacked, n_sources)
     over = not strategy.endswith("under")
     if strategy == "concat":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .ordering import at_or_below, seeded_hash, smallest_cut
 
@@ -52,6 +52,40 @@ def buffer_shuffle(
     )
 
 
+def buffer_slot(place: Column, buffer_size: int, seed: int) -> Column:
+    """Where in the buffer the row of this place (from ``buffer_size`` on) goes: a seeded draw. The first rows
+    fill the buffer in their order."""
+    draw = F.concat_ws(":", F.lit(str(seed)), (place - buffer_size).cast("string"))
+    drawn = F.conv(F.substring(F.md5(draw), 1, 8), 16, 10).cast("bigint") % buffer_size
+    return F.when(place < buffer_size, place).otherwise(drawn)
+
+
+def left_in_buffer(df: DataFrame, seed: int, index: str, start: int, out: str) -> DataFrame:
+    """Rows that no later row drives out of the buffer, ``buffer_size`` at most, in seeded order from ``start`` on."""
+    order = Window.orderBy(seeded_hash(seed, index), index)
+    return df.withColumn(out, F.row_number().over(order).cast("bigint") + (start - 1))
+
+
+def moving_shuffle(
+    df: DataFrame, buffer_size: int = BUFFER_SIZE, seed: int = 42, index: str = "row_idx"
+) -> DataFrame:
+    """Shuffle through a buffer that moves along the rows: ``shuffled_idx`` is the new order.
+
+    ``index`` is dense from 0. The first ``buffer_size`` rows fill the buffer. Every later one draws a slot,
+    drives out the row in it and takes its place; at the end the buffer comes out in seeded
+    order. A row thus leaves with the next row that draws its slot: one window per slot, so ``buffer_size``
+    groups side by side instead of a walk along the rows.
+    """
+    if buffer_size < 1:
+        raise ValueError("buffer_size must be at least 1")
+    following = F.lead(index).over(Window.partitionBy("_slot").orderBy(index))
+    placed = df.withColumn("_slot", buffer_slot(F.col(index), buffer_size, seed)).withColumn("_next", following)
+    gone = placed.filter(F.col("_next").isNotNull()).withColumn("shuffled_idx", F.col("_next") - buffer_size)
+    rows = df.count()
+    kept = left_in_buffer(placed.filter(F.col("_next").isNull()), seed, index, max(0, rows - buffer_size), "shuffled_idx")
+    return gone.unionByName(kept).drop("_slot", "_next")
+
+
 def full_shuffle(df: DataFrame, seed: int = 42, id_col: str = "row_idx") -> DataFrame:
     """All rows in seeded random order."""
     return df.withColumn("_draw", seeded_hash(seed, id_col)).orderBy("_draw", id_col).drop("_draw")

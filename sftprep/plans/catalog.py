@@ -19,7 +19,7 @@ from ..operators import encode, metrics, mixing, normalize, ordering, packing, s
 from ..operators.batching import assign_batches, pad_batches
 from ..operators.lookup import with_template_name
 from ..sources import cache, files, integrity, manifest, sinks
-from ..storage import list_files, new_folder
+from ..storage import date_files, list_files, new_folder
 from ..streaming import jobs
 
 # Ids of the demonstration vocabulary; texts are code points + 100.
@@ -46,6 +46,9 @@ PREVIEWED = 3
 VAL_FRACTION, VAL_COUNT = 0.1, 50
 BLOCK, PACK_ROWS = 256, 20
 BATCH = 16
+BUFFER = 128
+STREAM_BATCHES = 6  # micro-batches, at least, of queries that carry state from one to the next
+STREAM_SHARES = (0.5, 0.3, 0.2)
 MODELS = tuple(MODEL_FAMILY)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,6 +379,12 @@ def buffer_shuffle(spark, sf):
     return split.buffer_shuffle(documents, 128, SEED)
 
 
+@query
+def buffer_shuffle_moving(spark, sf):
+    documents = ordering.row_index(_table(spark, sf, "documents").select("doc_id"), "doc_id")
+    return split.moving_shuffle(documents, BUFFER, SEED)
+
+
 def _padded(encoded: DataFrame, side: str) -> DataFrame:
     indexed = ordering.row_index(encoded, "conv_id")
     rows = pad_batches(assign_batches(indexed, BATCH), TOKENIZER.special.pad_id, side)
@@ -603,12 +612,19 @@ def file_integrity(spark, sf):
 # -- streams ----------------------------------------------------------------------
 
 
-def _chat_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The conversations as a stream of JSON lines."""
-    base = new_folder(spark, "chat-stream")
-    _messages(spark, sf).write.json(base)
+def _chat_stream(spark: SparkSession, sf: str, in_turn: bool = False) -> DataFrame:
+    """The conversations as a stream of JSON lines; ``in_turn``: in some micro-batches, in order of ``chat_id``."""
+    base, reader = new_folder(spark, "chat-stream"), spark.readStream
+    messages = _messages(spark, sf)
+    if in_turn:
+        n_files = max(STREAM_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        messages.repartitionByRange(n_files, "chat_id").sortWithinPartitions("chat_id").write.json(base)
+        date_files(spark, base, 1_000_000_000_000)
+        reader = reader.option("maxFilesPerTrigger", n_files // STREAM_BATCHES)
+    else:
+        messages.write.json(base)
     schema = "chat_id bigint, conversations array<struct<`from`:string,value:string>>"
-    raw = spark.readStream.schema(schema).json(base)
+    raw = reader.schema(schema).json(base)
     return normalize.examples_from_messages(raw, on_bad_order="drop", keep=("chat_id",))
 
 
@@ -640,7 +656,7 @@ def stream_take_skip(spark, sf):
 @query
 def stream_pack(spark, sf):
     template, tokenizer = template_for("chatglm3", TOKENIZER)
-    rows = encode.valid_for_sft(_chat_stream(spark, sf))
+    rows = encode.valid_for_sft(_chat_stream(spark, sf, in_turn=True))
     pieces = encode.training_pieces(
         rows, template, tokenizer, encode.example_turns(rows, template, F.col("response")), keep=("chat_id",)
     )
@@ -659,13 +675,41 @@ def stream_shuffle(spark, sf):
 
 
 @query
-def stream_interleave(spark, sf):
-    streams = [_chat_stream(spark, sf).filter(F.col("chat_id") % 3 == i).select("chat_id") for i in range(3)]
+def stream_shuffle_moving(spark, sf):
+    stream = _chat_stream(spark, sf, in_turn=True).select("chat_id")
+    out = new_folder(spark, "stream-shuffled")
+    _finished(jobs.moving_shuffle_stream(stream, "chat_id", out, new_folder(spark, "stream-marks"), BATCH, SEED))
+    return spark.read.parquet(out).select("chat_id", "shuffled_idx")
+
+
+def _mixed_streams(spark: SparkSession, sf: str, *how, **options) -> DataFrame:
+    """Three streams of chats, each in several micro-batches, interleaved."""
+    streams = [_chat_stream(spark, sf, in_turn=True).filter(F.col("chat_id") % 3 == i).select("chat_id") for i in range(3)]
     out = new_folder(spark, "stream-mixed")
-    _finished(jobs.interleave_streams(streams, "chat_id", out, new_folder(spark, "stream-marks")))
+    _finished(jobs.interleave_streams(streams, "chat_id", out, new_folder(spark, "stream-marks"), *how, **options))
     return spark.read.parquet(out).select("row_idx", "chat_id")
 
 
+@query
+def stream_interleave(spark, sf):
+    return _mixed_streams(spark, sf)
+
+
+@query
+def stream_interleave_over(spark, sf):
+    return _mixed_streams(spark, sf, "interleave_over")
+
+
+@query
+def stream_interleave_weighted(spark, sf):
+    return _mixed_streams(spark, sf, "interleave_under", STREAM_SHARES, SEED, draws="md5")
+
+
+@query
+def stream_interleave_weighted_over(spark, sf):
+    return _mixed_streams(spark, sf, "interleave_over", STREAM_SHARES, SEED, draws="md5")
+
+
 @query
 def stream_concat(spark, sf):
     streams = [_chat_stream(spark, sf).select("chat_id", "prompt").withColumn("dataset", F.lit(n)) for n in ("a", "b")]

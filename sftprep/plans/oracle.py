@@ -381,6 +381,32 @@ select doc_id, row_idx, (row_idx // 128) * 128
        + row_number() over (partition by row_idx // 128 order by md5('{C.SEED}:' || row_idx), row_idx) - 1 as shuffled_idx
 from numbered"""
 
+def _moving(numbered: str, size: int) -> str:
+    """Places of rows in the order in which they leave a buffer of ``size``, from ``numbered(key, row_idx)``."""
+    return f"""{numbered},
+put as (
+  select *, case when row_idx < {size} then row_idx
+            else ('0x' || substr(md5('{C.SEED}:' || (row_idx - {size})), 1, 8))::bigint % {size} end as slot
+  from numbered),
+left_by as (select *, lead(row_idx) over (partition by slot order by row_idx) as driver from put),
+stays as (
+  select key, row_idx, row_number() over (order by md5('{C.SEED}:' || row_idx), row_idx) - 1 as place
+  from left_by where driver is null),
+shuffled as (
+  select key, row_idx, driver - {size} as shuffled_idx from left_by where driver is not null
+  union all
+  select key, row_idx, place + greatest((select count(*) from numbered) - {size}, 0) from stays)"""
+
+
+_numbered_docs = "numbered as (select doc_id as key, row_number() over (order by doc_id) - 1 as row_idx from documents)"
+_numbered_chats = "numbered as (select conv_id as key, row_number() over (order by conv_id) - 1 as row_idx from good)"
+
+ORACLES["buffer_shuffle_moving"] = f"""
+with {_moving(_numbered_docs, C.BUFFER)} select key as doc_id, row_idx, shuffled_idx from shuffled"""
+
+ORACLES["stream_shuffle_moving"] = f"""
+with {PAIRS}, {_moving(_numbered_chats, C.BATCH)} select key as chat_id, shuffled_idx from shuffled"""
+
 ORACLES["stream_shuffle"] = f"""
 with {PAIRS},
 numbered as (select conv_id, row_number() over (order by conv_id) - 1 as row_idx from good)
@@ -399,13 +425,43 @@ with {PAIRS}
 select conv_id as chat_id, q as prompt, d.dataset
 from pairs, (values ('a'), ('b')) as d(dataset) where idx = n_pairs - 1"""
 
-ORACLES["stream_interleave"] = f"""
-with {PAIRS},
+_CHAT_SOURCES = f"""{PAIRS},
 src as (
   select conv_id, conv_id % 3 as source_no, row_number() over (partition by conv_id % 3 order by conv_id) - 1 as n
-  from good)
-select n * 3 + source_no as row_idx, conv_id as chat_id from src
-where n < (select min(c) from (select count(*) as c from src group by source_no))"""
+  from good),
+size as (select source_no, count(*) as c from src group by source_no)"""
+
+ORACLES["stream_interleave"] = f"""
+with {_CHAT_SOURCES}
+select n * 3 + source_no as row_idx, conv_id as chat_id from src where n < (select min(c) from size)"""
+
+ORACLES["stream_interleave_over"] = f"""
+with {_CHAT_SOURCES},
+slots as (select source_no, c, unnest(range((select max(c) from size))) as slot from size)
+select slot * 3 + slots.source_no as row_idx, conv_id as chat_id
+from slots join src on src.source_no = slots.source_no and src.n = slots.slot % slots.c"""
+
+
+def _weighted_chats(over: bool) -> str:
+    first, second = C.STREAM_SHARES[0], C.STREAM_SHARES[0] + C.STREAM_SHARES[1]
+    end, pick = ("max", "draw % c") if over else ("min", "draw")
+    return f"""
+with {_CHAT_SOURCES},
+draws as (
+  select slot, ('0x' || substr(md5('{C.SEED}:' || slot), 1, 8))::bigint / 4294967296 as u
+  from (select unnest(range((select count(*) * 20 from good))) as slot)),
+chosen as (select slot, case when u < {first!r} then 0 when u < {second!r} then 1 else 2 end as source_no from draws),
+numbered as (
+  select slot, chosen.source_no, row_number() over (partition by chosen.source_no order by slot) - 1 as draw, c
+  from chosen join size using (source_no)),
+halt as (select {end}(slot) as last_slot from numbered where draw = c - 1)
+select slot as row_idx, conv_id as chat_id
+from numbered join src on src.source_no = numbered.source_no and src.n = {pick}
+where slot <= (select last_slot from halt)"""
+
+
+ORACLES["stream_interleave_weighted"] = _weighted_chats(False)
+ORACLES["stream_interleave_weighted_over"] = _weighted_chats(True)
 
 
 def _padded(ctes: str, left: bool) -> str:

@@ -84,7 +84,8 @@ def prepare_stream(
     """The job over folders of files as streams, until the input is used up.
 
     The first ``val_size`` rows go to ``eval_path``, the next ``max_steps`` batches of rows
-    to ``train_path``. Interleaved and packed rows are staged below ``work_dir``, which also
+    to ``train_path``. Without a validation set, rows are shuffled through a buffer of ``buffer_size`` rows
+    and ``shuffled_idx`` is their order. Interleaved, packed and shuffled rows are staged below ``work_dir``, which also
     keeps the streams' checkpoints: run again with new files, the job goes on.
     """
     if not options.streaming:
@@ -100,19 +101,20 @@ def prepare_stream(
         schema = spark.read.parquet(path).schema
         return spark.readStream.schema(schema).parquet(path).drop("batch")
 
+    order = None  # unique integers by which rows of a micro-batch are ordered
     if len(streams) > 1 and options.mix_strategy.startswith("interleave"):
-        rows = staged(
+        rows, order = staged(
             "mixture",
             lambda path, marks: jobs.interleave_streams(
                 streams, None, path, marks, options.mix_strategy, options.probabilities(), options.seed
             ),
-        ).drop("row_idx")
+        ), "row_idx"
     elif len(streams) == 1 or options.mix_strategy == "concat":
         rows = jobs.concat_streams(streams)
     else:
-        raise ValueError("Unknown mixing strategy.")
+        mixing.check_strategy(options.mix_strategy)
 
-    mode, cutoff, keep = options.mode(), options.cutoff_len, ("dataset",)
+    mode, cutoff, keep = options.mode(), options.cutoff_len, ("dataset", *([order] if order else []))
     if mode == "predict":
         encoded = encode.predict(rows, template, tokenizer, cutoff, keep=keep)
     elif mode == "pairwise":
@@ -122,12 +124,19 @@ def prepare_stream(
     else:
         valid = encode.valid_for_sft(rows)
         turns = encode.example_turns(valid, template, F.col("response"))
-        pieces = encode.training_pieces(valid, template, tokenizer, turns, options.train_on_prompt, keep=())
+        pieces = encode.training_pieces(valid, template, tokenizer, turns, options.train_on_prompt, keep=keep[1:])
         eos = tokenizer.special.eos_id if template.efficient_eos else None
-        encoded = staged("blocks", lambda path, marks: jobs.pack_stream(pieces, None, cutoff, path, marks, eos))
+        blocks = staged("blocks", lambda path, marks: jobs.pack_stream(pieces, order, cutoff, path, marks, eos))
+        place = F.shiftleft("pack_group", 32) + F.col("block")
+        encoded, order = blocks.withColumn("row_idx", place).drop("pack_group", "block"), "row_idx"
+    if options.val_size <= 0:  # with a validation set, training rows keep their order
+        encoded, order = staged(
+            "shuffled",
+            lambda path, marks: jobs.moving_shuffle_stream(encoded, order, path, marks, options.buffer_size, options.seed),
+        ), "shuffled_idx"
     shares = [(int(options.val_size), eval_path)] if options.val_size > 0 else []
     shares.append((options.max_steps * options.batch_size, train_path))
-    jobs.deal_rows(encoded, shares, None, None, f"{work_dir}/marks-out").awaitTermination()
+    jobs.deal_rows(encoded, shares, None, order, f"{work_dir}/marks-out").awaitTermination()
 
 
 def batches(encoded: DataFrame, options: JobOptions, tokenizer: Tokenizer) -> DataFrame:

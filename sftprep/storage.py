@@ -67,3 +67,20 @@ def whole_file(spark: SparkSession, path: str) -> str:
         return bytes(stream.readAllBytes()).decode("utf-8")
     finally:
         stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced if it is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+def date_files(spark: SparkSession, path: str, first: int, step: int = 1000) -> None:
+    """Give the files of a folder rising times (ms) in the order of their names, in which a stream then takes them."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, file in enumerate(list_files(spark, path)):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(file), first + i * step, -1)

@@ -1,13 +1,19 @@
+import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from sftprep.functions.templates import TEMPLATES
-from sftprep.operators import encode
+from sftprep.operators import encode, mixing, split
+from sftprep.operators.ordering import row_index
+from sftprep.operators.packing import pack_blocks
 from sftprep.plans import prepare
 from sftprep.sources import files, manifest
-from sftprep.streaming import jobs
+from sftprep.storage import list_files, whole_file
+from sftprep.streaming import jobs, state
+from sftprep.streaming.state import Carried
 
 from . import plain
 
@@ -169,6 +175,152 @@ def test_mixing_streams(spark, stream, tmp_path):
     assert spark.read.parquet(str(tmp_path / "u")).count() == 100
 
 
+def keyed(stream, n_sources):
+    return [stream().select(F.col("row_idx").alias("key")).filter(F.col("row_idx") % n_sources == i) for i in range(n_sources)]
+
+
+def lagging(stream):
+    """Two sources of which one comes much later than the other."""
+    rows = stream().select(F.col("row_idx").alias("key"))
+    return [rows.filter("key < 20 OR key >= 45"), rows.filter("key BETWEEN 15 AND 44")]
+
+
+@pytest.mark.parametrize("strategy", ["interleave_under", "interleave_over"])
+@pytest.mark.parametrize("shares", [None, [0.7, 0.3]])
+@pytest.mark.parametrize("sources", [lambda s: keyed(s, 2), lagging])
+def test_streams_interleave_like_tables(spark, stream, tmp_path, strategy, shares, sources):
+    out = str(tmp_path / "o")
+    run(jobs.interleave_streams(sources(stream), "key", out, str(tmp_path / "c"), strategy, shares, 5, "md5"))
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() > 1
+    parts = sources(lambda: stream.batch())
+    stacked = mixing.stack([row_index(p, "key") for p in parts])
+    want = mixing.mix(stacked, 2, strategy, shares, 5, "md5")
+    assert sorted((r.row_idx, r.key) for r in got.collect()) == sorted((r.row_idx, r.key) for r in want.collect())
+
+
+def test_an_interleaved_stream_goes_on(spark, stream, tmp_path):
+    """Two runs, the second with new files, give what one run over all of them gives."""
+    base = tmp_path / "some"
+    files_ = sorted((tmp_path / "in").glob("*.json"), key=lambda f: f.stat().st_mtime)
+
+    def streams():
+        rows = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(str(base))
+        rows = rows.select(F.col("row_idx").alias("key"))
+        return [rows.filter("key < 25"), rows.filter("key >= 25")]
+
+    base.mkdir()
+    for part in (range(3), range(3, 5)):
+        for i in part:
+            copy = base / files_[i].name
+            copy.write_text(files_[i].read_text())
+            os.utime(copy, (10**9 + i, 10**9 + i))
+        run(jobs.interleave_streams(streams(), "key", str(tmp_path / "o"), str(tmp_path / "c")))
+    got = sorted((r.row_idx, r.key) for r in spark.read.parquet(str(tmp_path / "o")).collect())
+    assert got == sorted([(2 * i, i) for i in range(25)] + [(2 * i + 1, 25 + i) for i in range(25)])
+    # a mixture that starts sources again is closed by the end of its input
+    over = (str(tmp_path / "o2"), str(tmp_path / "c2"), "interleave_over")
+    run(jobs.interleave_streams(streams(), "key", *over))
+    extra = spark.createDataFrame([(99, "p", "", "r", [])], SCHEMA)
+    extra.coalesce(1).write.mode("append").json(str(base))
+    with pytest.raises(Exception, match="closed"):
+        run(jobs.interleave_streams(streams(), "key", *over))
+    with pytest.raises(ValueError, match="no way of mixing"):
+        jobs.interleave_streams(streams(), "key", "p", "c", "stirred")
+
+
+@pytest.mark.parametrize("pack_rows", [1, 7, 10, 23, 100])
+def test_streams_pack_like_tables(spark, stream, tokenizer, tmp_path, pack_rows):
+    def pieces(df):
+        df = df.withColumnRenamed("row_idx", "key")
+        turns = encode.example_turns(df, TEMPLATES["chatglm3"], F.col("response"))
+        return encode.training_pieces(df, TEMPLATES["chatglm3"], tokenizer, turns, keep=("key",))
+
+    out, eos = str(tmp_path / "o"), tokenizer.special.eos_id
+    run(jobs.pack_stream(pieces(stream()), "key", 8, out, str(tmp_path / "c"), eos, pack_rows))
+    got = spark.read.parquet(out).drop("batch")
+    want = pack_blocks(row_index(pieces(stream.batch()), "key"), 8, eos, pack_rows)
+    assert want.count() > 0
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    before = sorted(map(str, got.collect()))
+    run(jobs.pack_stream(pieces(stream()), "key", 8, out, str(tmp_path / "c"), eos, pack_rows))  # nothing new
+    assert sorted(map(str, spark.read.parquet(out).drop("batch").collect())) == before
+
+
+def plain_buffer(n, size, seed):
+    """Rows 0 to n-1 one by one through a buffer of ``size``: their order."""
+    draw = lambda x: hashlib.md5(f"{seed}:{x}".encode()).hexdigest()
+    buffer, out = list(range(min(n, size))), []
+    for row in range(size, n):
+        at = int(draw(row - size)[:8], 16) % size
+        out.append(buffer[at])
+        buffer[at] = row
+    return out + sorted(buffer, key=draw)
+
+
+@pytest.mark.parametrize("size", [1, 4, 13, 49, 50, 1000])
+def test_moving_buffer(spark, stream, tmp_path, size):
+    rows = spark.range(50).withColumnRenamed("id", "row_idx")
+    got = split.moving_shuffle(rows, size, 3).orderBy("shuffled_idx").collect()
+    assert [r.shuffled_idx for r in got] == list(range(50)) and [r.row_idx for r in got] == plain_buffer(50, size, 3)
+    run(jobs.moving_shuffle_stream(stream().select(F.col("row_idx").alias("key")), "key", str(tmp_path / "o"), str(tmp_path / "c"), size, 3))
+    got = spark.read.parquet(str(tmp_path / "o")).orderBy("shuffled_idx").collect()
+    assert [r.shuffled_idx for r in got] == list(range(50)) and [r.key for r in got] == plain_buffer(50, size, 3)
+
+
+def test_moving_buffer_of_few_rows(spark):
+    assert split.moving_shuffle(spark.range(0).withColumnRenamed("id", "row_idx"), 4).collect() == []
+    with pytest.raises(ValueError):
+        split.moving_shuffle(spark.range(3).withColumnRenamed("id", "row_idx"), 0)
+
+
+def test_a_batch_that_runs_again_replaces_its_rows(spark, stream, tmp_path, monkeypatch):
+    """The last batch fails after it has written its rows and counters; a restart runs it again."""
+    out, marks = str(tmp_path / "o"), str(tmp_path / "c")
+    put, broken = Carried.put, [True]
+
+    def failing(self, batch_id, counters):
+        put(self, batch_id, counters)
+        if batch_id == 3 and broken:
+            broken.clear()
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(Carried, "put", failing)
+    def start(kind):
+        if kind == "deal":
+            return jobs.deal_rows(stream(), [(37, out)], str(tmp_path / "r"), "row_idx", marks)
+        if kind == "mix":
+            return jobs.interleave_streams(keyed(stream, 2), "key", out, marks)
+        return jobs.moving_shuffle_stream(stream().select(F.col("row_idx").alias("key")), "key", out, marks, 13, 3)
+
+    for kind in ("deal", "mix", "shuffle"):
+        out, marks = str(tmp_path / f"o-{kind}"), str(tmp_path / f"c-{kind}")
+        broken[:] = [True]
+        with pytest.raises(Exception, match="lost"):
+            run(start(kind))
+        run(start(kind))
+        rows = spark.read.parquet(out).collect()
+        if kind == "deal":
+            assert sorted(r.row_idx for r in rows) == list(range(37))
+            assert sorted(r.row_idx for r in spark.read.parquet(str(tmp_path / "r")).collect()) == list(range(37, 50))
+        elif kind == "mix":
+            assert sorted((r.row_idx, r.key) for r in rows) == [(i, i) for i in range(50)]
+        else:
+            assert [r.key for r in sorted(rows, key=lambda r: r.shuffled_idx)] == plain_buffer(50, 13, 3)
+
+
+def test_ledger_reads_stay_constant(spark, tmp_path, monkeypatch):
+    """Each batch asks for one earlier entry, however many there are."""
+    carried, read = Carried(spark, str(tmp_path / "x")), []
+    monkeypatch.setattr(state, "whole_file", lambda s, p: read.append(p) or whole_file(s, p))
+    monkeypatch.setattr(state, "list_files", lambda s, p: read.append(p) or list_files(s, p))
+    for batch_id in range(100):
+        if batch_id:
+            assert carried.last(batch_id) == (batch_id - 1, {"left": [batch_id - 1]})
+        carried.put(batch_id, {"left": [batch_id]})
+    assert len(read) == 99 and carried.last() == (99, {"left": [99]})
+
+
 def test_rows_dealt_without_a_key(spark, stream, tmp_path):
     shares = [(13, str(tmp_path / "a")), (20, str(tmp_path / "b"))]
     run(jobs.deal_rows(stream(), shares, str(tmp_path / "r"), None, str(tmp_path / "c")))
@@ -224,7 +376,6 @@ def test_reading_a_folder_as_a_stream(spark, data, tmp_path):
 
 def test_registered_queries_match_their_sql(spark):
     import glob
-    import os
 
     import duckdb
 
