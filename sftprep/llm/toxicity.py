@@ -12,13 +12,14 @@ map over all texts, without a shuffle.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import bigru
 from .common import whole_row
@@ -27,20 +28,21 @@ from .shingles import hashed_words
 
 STEPS, STRIDE = 32, 24  # words in a window, words between the starts of two
 OVERLAP = STEPS - STRIDE
-SAMPLE_PER_CLASS = 1200  # labelled documents of each class at most
-SAMPLE_BYTES = 8_192  # longer documents are scored like all others, but not learned from
+SAMPLE_PER_CLASS = 1500  # labelled documents of each class at most; what one class lacks, the other may have more
+SAMPLE_BYTES = 65_536  # longer documents are scored like all others, but not learned from
 CANDIDATES = 2  # labelled ids looked up for each text that is learned from
+CLEAN_SHARE = 0.985  # of clean calibration texts that stay below the threshold if the classes overlap
 THRESHOLD = 0.3
 NGRAMS = (3, 4, 5)  # bytes, with the spaces around the word
 PREFIXES = tuple(range(6, 15))  # longer n-grams only where they begin a word: stems that take endings
 WORD_ROWS = CHAR_ROWS = 1 << 17
 LEARNED = 3  # learned dimensions of words and of n-grams
 HIDDEN, ATTENTION = 8, 8
-ROUNDS, BATCH, RATE = 4, 256, 0.01
+ROUNDS, BATCH, RATE = 2, 256, 0.01
 UPDATES = 60  # per round
-CALIBRATION = 5  # every fifth labelled text sets the threshold instead of being learned from
-MIN_TEXTS = 5  # sampled texts that a learned vector needs; rarer words and n-grams have none
-SHRINK = 4.0  # documents that a log-odds value needs before half of it counts
+CALIBRATION = 8  # every eighth labelled text sets the threshold instead of being learned from
+MIN_TEXTS = 7  # sampled texts that a learned vector needs; rarer words and n-grams have none
+SHRINK = 8.0  # documents that a log-odds value needs before half of it counts
 GROUP_BYTES = 1 << 19  # of text read together
 WINDOWS_AT_ONCE = 4096
 
@@ -166,10 +168,11 @@ def fit(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     if apart.any():
         scores = score_texts(model, [t for t, a in zip(texts, apart, strict=True) if a])
         logit = np.log(np.clip(scores, 1e-9, 1 - 1e-7) / (1 - np.clip(scores, 1e-9, 1 - 1e-7)))
-        high, low = logit[y[apart] == 0].max(), np.quantile(logit[y[apart] == 1], 0.02)
+        clean, low = logit[y[apart] == 0], np.quantile(logit[y[apart] == 1], 0.02)
         # the threshold lies where the classes part, nearer to the positive texts, for most texts are
-        # clean; if they overlap, above the clean ones
-        apart_at = 0.4 * high + 0.6 * low if low > high else high
+        # clean; if they overlap, above most clean ones, so that no single text decides
+        high = clean.max()
+        apart_at = 0.4 * high + 0.6 * low if low > high else np.quantile(clean, CLEAN_SHARE)
         model.parameters["oc"] -= np.float32(apart_at - np.log(THRESHOLD / (1 - THRESHOLD)))
     return model
 
@@ -253,24 +256,26 @@ def _train(texts: list[str], y: np.ndarray, seed: int) -> Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[list[str], list[int]]:
-    """At most ``per_class`` labelled texts of each class, of at most SAMPLE_BYTES, by the hash of their id.
+    """At most ``2 * per_class`` labelled texts of at most SAMPLE_BYTES, half of them of each class, by the hash of their id.
 
-    Ids are chosen from the narrow label table, CANDIDATES times as many as are wanted
-    because some texts are missing, empty or too long; only their texts are fetched.
+    A class that has fewer leaves the rest to the other. Ids are chosen from the narrow label table, CANDIDATES
+    times as many as are wanted because some texts are missing, empty or too long; only their
+    texts are looked at, and only those wanted come to the driver.
     """
     place = F.xxhash64("id")
     chosen = [
-        labels.filter(F.col("label") == label).select("id", "label").distinct().orderBy(place, "id").limit(CANDIDATES * per_class)
+        labels.filter(F.col("label") == label).select("id", "label").distinct().orderBy(place, "id").limit(2 * CANDIDATES * per_class)
         for label in (0, 1)
     ]
-    wanted = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * CANDIDATES * per_class rows
+    wanted = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 4 * CANDIDATES * per_class rows
     found = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).join(wanted, "id")
-    texts, classes = [], []
-    for row in found.orderBy(place, "id", "text").select("text", "label").collect():
-        if classes.count(row["label"]) < per_class:
-            texts.append(row["text"])
-            classes.append(row["label"])
-    return texts, classes
+    order = Window.partitionBy("label").orderBy(place, "id", "text")
+    first = found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= 2 * per_class)
+    counts = {r["label"]: r["n"] for r in first.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    quota = {k: max(per_class, 2 * per_class - counts.get(1 - k, 0)) for k in (0, 1)}
+    rows = first.filter(F.col("nth") <= F.when(F.col("label") == 1, quota[1]).otherwise(quota[0])).collect()
+    rows.sort(key=lambda r: hashlib.blake2b(r["text"].encode("utf-8", "surrogatepass")).digest())
+    return [r["text"] for r in rows], [r["label"] for r in rows]
 
 
 def score(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:

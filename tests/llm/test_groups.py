@@ -244,7 +244,7 @@ def test_windows_cover_every_word():
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
-    model = toxicity.fit_on(docs, labels, per_class=400)
+    model = toxicity.fit_on(docs, labels)
     known = docs.join(labels.select("doc_id", "toxic"), "doc_id").filter(toxicity.held_out(docs["doc_id"]))
     rows = toxicity.score(model, known, whole=True).select("score", "doc.toxic").collect()
     y, s = np.array([x["toxic"] for x in rows]), np.array([x["score"] for x in rows])

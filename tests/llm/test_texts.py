@@ -347,10 +347,11 @@ def test_cuts_match_enumeration():
 def test_field_learns_and_adds(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     texts = pii.sample_texts(docs, limit=1200)
-    weights = pii.train(texts[:900])
+    learned = len(texts) * 3 // 4
+    weights = pii.train(texts[:learned])
     assert not pii.train(["no data here"]).any()
     found = missed = 0
-    for text in texts[900:]:
+    for text in texts[learned:]:
         known = set(pii._apart(pii.pattern_spans(text)))
         got = set()
         for begin, end in pii.stretches(text):
@@ -359,7 +360,7 @@ def test_field_learns_and_adds(spark):
                 cut = semi_crf.best_cut(weights, seq)
                 got |= {(pii.KINDS[k], *(places[t] for t in seq.spans[c])) for c, k, odds in cut if odds >= pii.SURE}
         found, missed = found + len(known & got), missed + len(known - got)
-    assert found / (found + missed) > 0.95
+    assert found > 100 and found / (found + missed) > 0.95
     # the pattern takes both numbers for one of too many digits and drops it
     text = "den +1 (269) 555-3296 4111111111111111 ist"
     base, spans = pii.all_spans(text, weights)
@@ -373,7 +374,7 @@ def test_personal_data_of_odd_documents(spark):
     rows = pii.find_personal_data(table(spark, texts), None).collect()
     assert len(rows) == len(texts)
     one = next(r for r in rows if r["id"] == 30)
-    assert [tuple(s) for s in one["base"]] == [("email", 7, 23), ("ip", 25, 35)] == [tuple(s) for s in one["spans"]]
+    assert [tuple(s) for s in one["base"]] == [("email", 7, 22), ("ip", 24, 34)] == [tuple(s) for s in one["spans"]]
     assert pii.find_personal_data(table(spark, []), None).collect() == []
 
 
