@@ -2,7 +2,7 @@
 
 1. One pass over the texts: the set of word shingles of each, its minima under 128
    permutations, of which the low bits are kept, packed into longs, and the keys of 24 bands
-   of five minima each. Texts with equal sets are one class, named by its smallest id.
+   of five minima each. Texts with equal sets are one class, a node with a number of its own.
 2. Classes that share a band key are candidates. Each class of a bucket is compared with the
    bucket's first class: the similarity estimated from the bit counts, corrected for chance
    collisions of the low bits, decides whether the full sets are fetched and compared. So a
@@ -92,6 +92,10 @@ def estimate_cut(percent: int) -> float:
     return j - DEVIATIONS * (p * (1 - p) / PERMUTATIONS) ** 0.5 / (1 - chance)
 
 
+def _set_name(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _mark(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
@@ -110,7 +114,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
             for text in batch.column(1):
                 shingles = shingle_set(text.as_py(), words)
                 counts.append(len(shingles))
-                names.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
+                names.append(_set_name(shingles) if len(shingles) else None)
                 bests.append(minima(shingles))
             best = np.array(bests, dtype=np.uint32).reshape(-1, PERMUTATIONS)
             missing = np.array(counts) == 0
@@ -127,22 +131,30 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataF
     return rows.mapInArrow(sign, f"id {id_type}, mark bigint, n bigint, set_id binary, sig array<bigint>, bands array<bigint>")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """(id, shingles) of the wanted documents, from a second pass over the texts."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(node, shingles) of the classes in ``wanted`` (node), from another look at one text of each."""
+    chosen = classes.join(if_small(wanted), "node", "left_semi").select("node", "set_id", "rep.id", "rep.mark")
+    rows = docs.select(F.col(id_col).alias("own"), F.col(text_col).alias("text"), _mark(text_col).alias("own_mark"))
+    same = F.col("own").eqNullSafe(F.col("id")) & (F.col("own_mark") == F.col("mark"))
+    found = rows.filter(F.col("text").isNotNull()).join(if_small(chosen), same).select("node", "set_id", "text")
 
     def gather(batches):
         for batch in batches:
-            sets = [shingle_set(t.as_py(), words) for t in batch.column(1)]
+            nodes, sets = [], []
+            for node, name, text in zip(*batch.columns, strict=True):
+                shingles = shingle_set(text.as_py(), words)
+                if _set_name(shingles) == name.as_py():
+                    nodes.append(node.as_py())
+                    sets.append(shingles)
             offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "shingles"]
+                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "shingles"]
             )
 
-    found = rows.join(if_small(wanted), "id", "left_semi").mapInArrow(gather, f"id {id_type}, shingles array<bigint>")
-    return write_through(found.filter(F.size("shingles") > 0), "near-sets")
+    stored = write_through(found.mapInArrow(gather, "node bigint, shingles array<bigint>"), "near-sets")
+    once = stored.groupBy("node").agg(F.count("*").alias("c")).filter("c > 1").isEmpty()
+    return stored if once else write_through(stored.dropDuplicates(["node"]), "near-sets")  # rows that repeat id and text
 
 
 def joining_links(sets: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -180,14 +192,14 @@ def joining_links(sets: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray,
 
 
 def _across_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components inside buckets; ``members``: key, id, n, component.
+    """Links (a, b) between components inside buckets; ``members``: key, node, n, component.
 
     Big components of a bucket have blocks of their own, which are not compared with each other.
     """
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("c"))
     blocked = members.join(sizes, ["key", "component"]).select(
         "key",
-        "id",
+        "node",
         "n",
         "component",
         F.when(F.col("c") >= BLOCK, F.col("component")).alias("pure"),
@@ -196,7 +208,7 @@ def _across_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     rest = blocked.filter("pure IS NULL").groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("rest"))
     placed = write_through(
         blocked.join(rest, "key", "left").select(
-            "key", "id", "n", "component", "pure", F.pmod(F.xxhash64("id"), F.coalesce("parts", "rest")).alias("sub")
+            "key", "node", "n", "component", "pure", F.pmod(F.xxhash64("node"), F.coalesce("parts", "rest")).alias("sub")
         ),
         "near-members",
     )
@@ -209,120 +221,122 @@ def _across_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     rows = (
         placed.withColumn("block", F.xxhash64("key", "pure", "sub"))
         .join(shares, "block")
-        .select("task", "id", "n", "component")
-        .join(sets, "id")
+        .select("task", "node", "n", "component")
+        .join(sets, "node")
     )
-    id_type = members.schema["id"].dataType.simpleString()
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("id").reset_index(drop=True)
+        group = group.drop_duplicates("node").reset_index(drop=True)
         labels = pd.factorize(group["component"])[0]
         arrays = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
         sizes = np.array([len(s) for s in arrays], dtype=np.int64)
-        ids = group["id"]
+        nodes = group["node"]
         links = joining_links(arrays, sizes, labels, percent)
-        return pd.DataFrame({"a": [ids[i] for i, _ in links], "b": [ids[j] for _, j in links]})
+        return pd.DataFrame({"a": [nodes[i] for i, _ in links], "b": [nodes[j] for _, j in links]})
 
-    return rows.groupBy("task").applyInPandas(compare, f"a {id_type}, b {id_type}")
+    return rows.groupBy("task").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id``.
+    """One row per row of ``docs``: ``id``, ``n_shingles``, ``component_id``; also ``mark``, a hash of the text, and
+    ``stays``: whether it is the row of its group that stays.
 
     Texts are linked if 100 * shared shingles >= percent * shingles of either; the component is
-    the smallest id that links reach. A row counts by its text, so rows that repeat an id
-    have the components of their texts. A text without
-    words is linked with nothing; a row without id takes part through its text, and has a null
-    component if only such rows are in it. An empty table gives no rows; other columns are
-    not read. ``mark`` is a hash of the text.
+    the smallest id that links reach. A row counts by its text, so rows that repeat an id each
+    have the component of their text, and a row without id takes part through its text; the
+    component is null if only such rows are in it. A text without words is linked with
+    nothing; its component is its own id, and it stays. Of a group the row with the smallest id (and, among
+    texts under that id, one) stays, with the rows that repeat both. An empty table gives no rows;
+    other columns are not read.
     """
     signed = write_through(signatures(docs, id_col, text_col, words), "near-signatures")
-    classes = write_through(
+    # rows without id come last
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "mark")).alias("rep")
+    gathered = (
         signed.filter(F.col("set_id").isNotNull())
         .groupBy("set_id")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")),
-        "near-classes",
+        .agg(first, F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
     )
-    named = classes.filter(F.col("id").isNotNull())
-    keyed = named.select("id", "n", F.explode("bands").alias("key"))
+    classes = write_through(gathered.withColumn("node", F.monotonically_increasing_id()), "near-classes")
+    keyed = classes.select("node", "n", F.explode("bands").alias("key"))
     buckets = write_through(
-        keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("m")).filter("m > 1").select("key", "pivot"),
+        keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("m")).filter("m > 1").select("key", "pivot"),
         "near-buckets",
     )
-    members = write_through(keyed.join(if_small(buckets), "key").filter("id <> pivot"), "near-candidates")
+    members = write_through(keyed.join(if_small(buckets), "key").filter("node <> pivot"), "near-candidates")
 
-    left = named.select(F.col("id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sig").alias("pivot_sig"))
+    left = classes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sig").alias("pivot_sig"))
     pairs = (
-        members.select("pivot", "id")
+        members.select("pivot", "node")
         .distinct()
-        .join(named.select("id", "n", "sig"), "id")
+        .join(classes.select("node", "n", "sig"), "node")
         .join(left, "pivot")
         .filter(F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent)
         .filter(estimated(F.col("sig"), F.col("pivot_sig")) >= estimate_cut(percent))
-        .select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     )
     pairs = write_through(pairs, "near-pairs")
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = _sets(docs, needed, id_col, text_col, words)
-    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").join(
-        sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a"
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(docs, classes, needed, id_col, text_col, words)
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b").join(
+        sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a"
     )
     common = F.size(F.array_intersect("sa", "sb"))
     links = both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
     component = write_through(connected_components(links), "near-components")
 
     # buckets whose classes, without the pivot, are still in several components
-    located = members.join(component.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
-    )
+    located = members.join(component, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     mixed = (
         located.groupBy("key")
         .agg(
             F.min("component").alias("lo"),
             F.max("component").alias("hi"),
             F.count("*").alias("m"),
-            F.sum(F.xxhash64("id") % (1 << 40)).alias("who"),
+            F.sum(F.shiftright(F.xxhash64("node"), 24)).alias("who"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("also"),
         )
         .filter("lo <> hi")
-        .groupBy("lo", "hi", "m", "who")  # the same classes in several bands: once
+        .groupBy("lo", "hi", "m", "who", "also")  # the same classes in several bands: once
         .agg(F.min("key").alias("key"))
         .select("key")
     )
     open_members = write_through(located.join(if_small(mixed), "key"), "near-open")
-    more = write_through(_open_links(docs, open_members, id_col, text_col, words, percent), "near-more")
+    open_sets = _sets(docs, classes, open_members.select("node").distinct(), id_col, text_col, words)
+    more = write_through(_across_blocks(open_members, open_sets, percent), "near-more")
     steps = more.join(component.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
         component.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
     )
     merged = connected_components(steps.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
 
-    own = classes.select("set_id", F.col("id").alias("node"))
-    last = own.join(component, "node", "left").select("set_id", F.coalesce("component", "node").alias("node"))
-    final = last.join(merged.withColumnRenamed("component", "wider"), "node", "left").select(
-        "set_id", F.coalesce("wider", "node").alias("component_id")
-    )
+    own = classes.select("set_id", "node", "rep").join(component, "node", "left")
+    last = own.select("set_id", "rep", F.coalesce("component", "node").alias("node"))
+    last = last.join(merged.withColumnRenamed("component", "wider"), "node", "left")
+    named = write_through(last.select("set_id", "rep", F.coalesce("wider", "node").alias("node")), "near-named")
+    kept = write_through(named.groupBy("node").agg(F.min("rep").alias("kept")), "near-kept")
+    final = write_through(named.select("set_id", "node").join(kept, "node").select("set_id", "kept"), "near-final")
+
     rows = signed.select("id", "mark", F.col("n").alias("n_shingles"), "set_id")
-    lone = rows.filter(F.col("set_id").isNull()).withColumn("component_id", F.col("id")).drop("set_id")
-    grouped = rows.filter(F.col("set_id").isNotNull()).join(final, "set_id").drop("set_id")
+    lone = rows.filter(F.col("set_id").isNull()).drop("set_id")
+    lone = lone.withColumns({"component_id": F.col("id"), "stays": F.lit(True)})
+    same = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("mark") == F.col("kept.mark"))
+    grouped = rows.filter(F.col("set_id").isNotNull()).join(final, "set_id")
+    grouped = grouped.withColumns({"component_id": F.col("kept.id"), "stays": same}).drop("set_id", "kept")
     return lone.unionByName(grouped)
 
 
-def _open_links(docs, members, id_col, text_col, words, percent) -> DataFrame:
-    sets = _sets(docs, members.select("id").distinct(), id_col, text_col, words)
-    return _across_blocks(members, sets, percent)
-
-
 def deduplicate(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: that with the smallest id.
 
     Rows that repeat an id and a text share their fate. A row without an id goes if its group
-    has one with an id.
+    has one with an id, or another text of no id that stays.
     """
     groups = near_groups(docs, id_col, text_col, words, percent)
-    gone = groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("gone"), "mark").distinct()
+    gone = groups.filter(~F.col("stays")).select(F.col("id").alias("gone"), "mark").distinct()
     rows = docs.select(F.col(id_col).alias("id"), _mark(text_col).alias("mark"), whole_row(docs).alias("doc"))
     gone = if_small(write_through(gone, "near-gone").withColumnRenamed("mark", "gone_mark"))
     same = (F.col("mark") == F.col("gone_mark")) & F.col("id").eqNullSafe(F.col("gone"))

@@ -174,6 +174,21 @@ def test_near_dedup_keeps_one(spark):
     assert near_dedup.near_groups(table(spark, [])).collect() == []
 
 
+def test_near_groups_of_repeated_and_missing_ids(spark):
+    """Texts under one id are nodes of their own: nothing that is not a near copy goes."""
+    a, b, c, d = (prose(i, 150).split(" ") for i in range(1, 5))
+    near = lambda words, at=70: " ".join([*words[:at], "altered", *words[at + 1 :]])
+    texts = [(3, near(b)), (5, " ".join(a)), (5, " ".join(b)), (6, near(a))]
+    texts += [(None, " ".join(c)), (None, near(c)), (8, " ".join(d)), (None, near(d)), (9, near(near(d).split(" "), 30))]
+    texts += [(20, " ".join(a[::-1])), (20, near(a[::-1])), (20, near(a[::-1]))]
+    rows = near_dedup.near_groups(table(spark, texts), words=3, percent=85).collect()
+    want = sorted(zip([str(i) for i, _ in texts], plain_components(texts, 3, 85)), key=str)
+    assert sorted(((str(x["id"]), (x["n_shingles"], x["component_id"])) for x in rows), key=str) == want
+    left = [(r["doc_id"], r["text"]) for r in near_dedup.deduplicate(table(spark, texts), words=3, percent=85).collect()]
+    assert sorted((i for i, _ in left if i != 20), key=str) == [3, 5, 8, None]
+    assert (3, near(b)) in left and (5, " ".join(a)) in left and len({t for i, t in left if i == 20}) == 1
+
+
 def test_estimate_follows_similarity(spark):
     r = np.random.default_rng(2)
     rows, truth = [], []
