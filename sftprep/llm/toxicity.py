@@ -44,6 +44,7 @@ CALIBRATION = 8  # every eighth labelled text sets the threshold instead of bein
 MIN_TEXTS = 7  # sampled texts that a learned vector needs; rarer words and n-grams have none
 SHRINK = 8.0  # documents that a log-odds value needs before half of it counts
 GROUP_BYTES = 1 << 19  # of text read together
+READ_BYTES = 1 << 19  # of text hashed at a time
 WINDOWS_AT_ONCE = 4096
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -60,15 +61,30 @@ class Words:
     bounds: np.ndarray  # where the n-grams of each distinct word begin
 
 
+def _hashed_in_stretches(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of all words, a stretch of bounded size (or one word) at a time."""
+    parts, start = [], 0
+    while start < len(data):
+        end = start + READ_BYTES
+        if end < len(data):
+            blank = data.rfind(b" ", start + 1, end)
+            end = blank if blank > 0 else data.find(b" ", end)
+            end = len(data) if end < 0 else end
+        hashes, starts, ends = hashed_words(data[start:end])
+        parts.append((hashes, starts + start, ends + start))
+        start = end
+    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
+
+
 def read_words(texts: list[str]) -> Words:
     pieces = [word_bytes(t) for t in texts]
     data = b" " + b" ".join(pieces) + b" "
-    hashes, starts, ends = hashed_words(data)
+    hashes, starts, ends = _hashed_in_stretches(data)
     text_ends = np.cumsum([len(p) + 1 for p in pieces])
     counts = np.bincount(np.searchsorted(text_ends, starts, side="left"), minlength=len(texts))[: len(texts)]
     distinct, first, order = np.unique(hashes, return_index=True, return_inverse=True)
     starts, ends = starts[first], ends[first]
-    chars = np.frombuffer(data + bytes(8), dtype=np.uint8).astype(np.uint64)
+    chars = np.frombuffer(data + bytes(8), dtype=np.uint8)
     lengths = ends - starts
     per_size = [np.maximum(lengths + 3 - n, 0) for n in NGRAMS] + [(lengths + 1 >= n).astype(np.int64) for n in PREFIXES]
     totals = np.sum(per_size, axis=0)
@@ -80,7 +96,7 @@ def read_words(texts: list[str]) -> Words:
         at = np.repeat(starts - 1, number) + step
         code = np.full(len(at), np.uint64(n), dtype=np.uint64)
         for i in range(n):
-            code = code * np.uint64(257) + chars[at + i]
+            code = code * np.uint64(257) + chars[at + i].astype(np.uint64)
         grams[np.repeat(into, number) + step] = ((code * _SPREAD) >> np.uint64(32)).astype(np.int64) % CHAR_ROWS
         into += number
     return Words(order, counts, (distinct % np.uint64(WORD_ROWS)).astype(np.int64), grams, bounds)

@@ -256,6 +256,15 @@ def test_windows_cover_every_word():
         assert seen == set(range(n)) and (length > 0).all() and (np.diff(length) <= 0).all()
 
 
+def test_words_do_not_depend_on_stretches(monkeypatch):
+    texts = [prose(8, 300), "", "x" * 300 + " end", prose(9, 50)]
+    whole = toxicity.read_words(texts)
+    monkeypatch.setattr(toxicity, "READ_BYTES", 64)
+    cut = toxicity.read_words(texts)
+    for name in ("order", "counts", "rows", "grams", "bounds"):
+        assert (getattr(whole, name) == getattr(cut, name)).all(), name
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
