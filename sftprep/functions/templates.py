@@ -110,7 +110,7 @@ def get_template(name: str | None) -> ChatTemplate | None:
     if name is None:
         return None
     if name not in TEMPLATES:
-        raise AssertionError(f"Template {name} does not exist.")
+        raise AssertionError(f"a template called {name!r} does not exist; known: {', '.join(TEMPLATES)}")
     return TEMPLATES[name]
 
 
@@ -238,7 +238,7 @@ def _bos_name(special: SpecialTokens) -> str | None:
 
 def _eos_name(template: ChatTemplate, special: SpecialTokens) -> str | None:
     if special.eos_token is None:
-        raise ValueError("EOS token is required.")
+        raise ValueError("the tokenizer names no EOS token, and a template ends its turns with it")
     return None if template.efficient_eos else special.eos_token
 
 

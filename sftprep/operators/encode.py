@@ -23,7 +23,7 @@ MODES = ("sft", "packed", "predict", "pairwise")
 
 def check_request(template: ChatTemplate, train_on_prompt: bool = False) -> None:
     if train_on_prompt and template.efficient_eos:
-        raise ValueError("Current template does not support `train_on_prompt`.")
+        raise ValueError("train_on_prompt needs a template that ends every turn with eos")
 
 
 def check_shortened(template: ChatTemplate, tokenizer: Tokenizer, cutoff_len: int, width: int = CHUNK_PAIRS) -> None:

@@ -110,7 +110,7 @@ def _meet(
 
 def check_strategy(strategy: str) -> None:
     if not strategy.startswith("interleave"):
-        raise ValueError(f"no way of mixing is called {strategy!r}; there are {', '.join(STRATEGIES)}")
+        raise ValueError(f"Unknown way of mixing {strategy!r}; there are {', '.join(STRATEGIES)}")
 
 
 def check_probabilities(probabilities: Sequence[float], sizes: Sequence[int], over: bool) -> None:

@@ -43,5 +43,5 @@ def preview(encoded: DataFrame, tokenizer: Tokenizer, n: int = 1, order: str = "
     """A few examples to look at; none at all is an error."""
     rows = preview_table(encoded, tokenizer, n, order).collect()
     if not rows:
-        raise RuntimeError("Empty dataset!")
+        raise RuntimeError("there is no example to show: the encoded data has no rows")
     return rows

@@ -140,7 +140,7 @@ def split_stream(
     """The first rows are for evaluation and the rest, in order, for training; without a
     validation set the training rows are shuffled within the buffer."""
     if 1e-6 < val_size < 1:
-        raise ValueError("Streaming mode should have an integer val size.")
+        raise ValueError("a stream has no total: give val_size as a number of rows")
     if int(val_size) > 0:
         return take_and_skip(stream, int(val_size), key, eval_path, train_path, checkpoint)
     return shuffle_stream(stream, key, train_path, checkpoint, buffer_size, seed)
