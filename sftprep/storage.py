@@ -29,6 +29,13 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and host of the file system that Spark takes it to be on."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(hadoop_path).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
