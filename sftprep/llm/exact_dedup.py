@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import if_small, whole_row, write_through
 
 PREFIX = 256  # characters in the prefix hash
+SALTS = 256  # parts that the rows of one full hash are dealt to
 
 # runs of blanks other than a single space, which stays as it is
 _BLANK_RUNS = r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]"
@@ -60,6 +61,7 @@ def exact_groups(
             "id",
             F.monotonically_increasing_id().alias("row"),
             F.when(F.col("shared"), F.sha2("norm", 256)).alias("full"),
+            F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int").alias("salt"),
             *([F.sha2("norm", 256).alias("sha256")] if digest else []),
             *(["doc"] if whole else []),
         ),
@@ -70,9 +72,15 @@ def exact_groups(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), *extra
     )
     shared = stored.filter(F.col("full").isNotNull())
+    # A group is counted per salt and then as a whole, and goes back to the salts that its rows
+    # have: never more rows than the group, and no task meets a large group in one piece.
     first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row")).alias("first")
-    groups = shared.groupBy("full").agg(first, F.count("*").alias("group_size"))
-    joined = shared.join(groups, "full").select(
+    parts = shared.groupBy("full", "salt").agg(first, F.count("*").alias("n"))
+    groups = parts.groupBy("full").agg(
+        F.min("first").alias("first"), F.sum("n").alias("group_size"), F.collect_list("salt").alias("salts")
+    )
+    dealt = groups.select("full", "first", "group_size", F.explode("salts").alias("salt"))
+    joined = shared.join(dealt, ["full", "salt"]).select(
         "id",
         F.col("first.id").alias("keep_id"),
         "group_size",
