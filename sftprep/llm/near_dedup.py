@@ -8,8 +8,9 @@
    collisions of the low bits, decides whether the full sets are fetched and compared. So a
    bucket of any size gives one pair per class.
 3. Links join classes into components. Buckets whose other classes still lie in different
-   components are compared in full, block by block, on the sets themselves; a block task
-   returns only the links that join components. Classes of one component are not compared
+   components are compared in full, block by block: first the signatures, then, of classes with
+   an estimate above the cut for one of another component, the sets; a block task returns
+   only the links that join components. Classes of one component are not compared
    again, so a large group of copies that has come together costs nothing here.
 
 A pair exactly at the threshold shares no band with a probability of 7e-5 at 0.8 and 8e-7 at
@@ -86,6 +87,22 @@ def estimated(a: Column, b: Column) -> Column:
     return ((1 - apart / F.lit(float(PERMUTATIONS))) - chance) / (1 - chance)
 
 
+def promising(sigs: np.ndarray, sizes: np.ndarray, labels: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have another of a different label that their sizes and signatures let be linked."""
+    chance, cut = 2.0**-BITS, estimate_cut(percent)
+    most = int((1 - (cut * (1 - chance) + chance)) * PERMUTATIONS + 1e-9)  # differing lanes at the cut
+    sigs, found = sigs.view(np.uint64), np.zeros(len(sigs), dtype=bool)
+    for i in range(len(sigs)):
+        fit = np.minimum(sizes, sizes[i]) * 100 >= np.maximum(sizes, sizes[i]) * percent
+        others = np.flatnonzero(fit & (labels != labels[i]))
+        z = sigs[others] ^ sigs[i]
+        folded = z.copy()
+        for b in range(1, BITS):
+            folded |= z >> np.uint64(b)
+        found[i] = (np.bitwise_count(folded & np.uint64(_LOW)).sum(axis=1) <= most).any()
+    return found
+
+
 def estimate_cut(percent: int) -> float:
     chance, j = 2.0**-BITS, percent / 100
     p = chance + (1 - chance) * j
@@ -191,8 +208,9 @@ def joining_links(sets: list[np.ndarray], sizes: np.ndarray, labels: np.ndarray,
     return links
 
 
-def _across_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components inside buckets; ``members``: key, node, n, component.
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Pairs of blocks that together hold all pairs of components inside buckets, as rows ``task``, ``node``, ``n``,
+    ``component``; ``members``: key, node, n, component.
 
     Big components of a bucket have blocks of their own, which are not compared with each other.
     """
@@ -218,15 +236,21 @@ def _across_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     shares = tasks.select(
         F.xxhash64("x", "block").alias("task"), F.explode(F.array_distinct(F.array("x", "block"))).alias("block")
     )
-    rows = (
-        placed.withColumn("block", F.xxhash64("key", "pure", "sub"))
-        .join(shares, "block")
-        .select("task", "node", "n", "component")
-        .join(sets, "node")
-    )
+    rows = placed.withColumn("block", F.xxhash64("key", "pure", "sub")).join(shares, "block")
+    return rows.select("task", "node", "n", "component")
+
+
+def _across_blocks(docs: DataFrame, classes: DataFrame, members: DataFrame, percent: int, *texts) -> DataFrame:
+    """Links (a, b) between components inside buckets."""
+
+    def sift(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("node")
+        labels = pd.factorize(group["component"])[0]
+        sigs = np.array(group["sig"].tolist(), dtype=np.int64)
+        return group[promising(sigs, group["n"].to_numpy(), labels, percent)][["task", "node", "component"]]
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node").reset_index(drop=True)
+        group = group.reset_index(drop=True)
         labels = pd.factorize(group["component"])[0]
         arrays = [np.asarray(s, dtype=np.int64) for s in group["shingles"]]
         sizes = np.array([len(s) for s in arrays], dtype=np.int64)
@@ -234,7 +258,11 @@ def _across_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
         links = joining_links(arrays, sizes, labels, percent)
         return pd.DataFrame({"a": [nodes[i] for i, _ in links], "b": [nodes[j] for _, j in links]})
 
-    return rows.groupBy("task").applyInPandas(compare, "a bigint, b bigint")
+    signed = _in_blocks(members).join(classes.select("node", "sig"), "node")
+    left = signed.groupBy("task").applyInPandas(sift, "task bigint, node bigint, component bigint")
+    left = write_through(left, "near-sifted")
+    sets = _sets(docs, classes, left.select("node").distinct(), *texts)
+    return left.join(sets, "node").groupBy("task").applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_groups(
@@ -304,8 +332,8 @@ def near_groups(
         .select("key")
     )
     open_members = write_through(located.join(if_small(mixed), "key"), "near-open")
-    open_sets = _sets(docs, classes, open_members.select("node").distinct(), id_col, text_col, words)
-    more = write_through(_across_blocks(open_members, open_sets, percent), "near-more")
+    across = _across_blocks(docs, classes, open_members, percent, id_col, text_col, words)
+    more = write_through(across, "near-more")
     steps = more.join(component.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
         component.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
     )
