@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import semi_crf
+from .common import write_through
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 2_000  # texts with digits or an at sign that the field is trained on, at most
@@ -25,6 +27,7 @@ SAMPLE_BYTES = 32_768  # longer texts are searched like all others, but not lear
 STRETCHES = 1_500  # stretches used in training, at most
 REACH = 48  # characters to each side of a digit or at sign that a stretch may take in
 LONGEST_CHARS = 64
+WINDOW = 2_048  # characters of a stretch that are cut into spans at a time
 ROWS = 1 << 14  # hashed features
 SURE = 1.0  # log-odds against leaving the span outside
 
@@ -107,6 +110,20 @@ def stretches(text: str) -> Iterator[tuple[int, int]]:
         yield begin, end
 
 
+def windows(begin: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+    """A stretch in windows of bounded length: (from, to, first start, start after the last).
+
+    A window answers for the spans that begin in the last two places. These end inside it,
+    and neighbours overlap by the longest span on both sides of where the answers change.
+    """
+    first = begin
+    while end - begin > WINDOW:
+        change = begin + WINDOW - LONGEST_CHARS
+        yield begin, begin + WINDOW, first, change
+        first, begin = change, change - LONGEST_CHARS
+    yield begin, end, first, end
+
+
 def _kind_of(c: str) -> str:
     return "" if not c else "9" if c.isdigit() else "a" if c.isalpha() else "_" if c.isspace() else c if c in ".-+@()/:=" else "."
 
@@ -179,10 +196,10 @@ def train(texts: list[str]) -> np.ndarray:
     made, held = [], 0
     for text in texts:
         spans = _apart(pattern_spans(text))
-        for begin, end in stretches(text):
-            inside = [s for s in spans if begin <= s[1] and s[2] <= end]
+        for begin, end in (w[:2] for s in stretches(text) for w in windows(*s)):
+            inside = [s for s in spans if s[1] < end and begin < s[2]]
             seq, _ = sequence(text, begin, end, inside)
-            if seq.spans and len(seq.truth) == len(inside):
+            if seq.spans and len(seq.truth) == len(inside):  # not where a border cuts a span
                 made.append(seq)
                 held += len(inside)
     if not held:
@@ -191,32 +208,40 @@ def train(texts: list[str]) -> np.ndarray:
     return semi_crf.fit([made[i] for i in order], ROWS, len(KINDS))
 
 
+def _covered(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what the spans cover, overlapping ones as one."""
+    starts, ends = [], []
+    for _, a, b in sorted(spans, key=lambda s: s[1]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def all_spans(text: str, weights: np.ndarray | None) -> tuple[list[Span], list[Span]]:
     """(spans of the patterns, these and the ones that the field adds)."""
     base = pattern_spans(text)
     if weights is None or not weights.any():
         return base, base
-    more, next_base = [], 0
-    by_start = sorted(base, key=lambda s: s[1])
+    more = []
+    starts, ends = _covered(base)
     for begin, end in stretches(text):
-        if end - begin < 7:
-            continue
-        while next_base < len(by_start) and by_start[next_base][2] <= begin:
-            next_base += 1
-        near = []
-        for s in by_start[next_base:]:
-            if s[1] >= end:
-                break
-            near.append(s)
-        if any(s[1] <= begin and end <= s[2] for s in near):
-            continue  # a pattern holds the whole stretch
-        seq, places = sequence(text, begin, end)
-        if not seq.spans:
-            continue
-        for c, kind, odds in semi_crf.best_cut(weights, seq):
-            a, b = (places[t] for t in seq.spans[c])
-            if odds >= SURE and not any(s[1] < b and a < s[2] for s in near):
-                more.append((KINDS[kind], a, b))
+        at = bisect_right(ends, begin)
+        if end - begin < 7 or (at < len(ends) and starts[at] <= begin and end <= ends[at]):
+            continue  # too short, or patterns hold the whole stretch
+        free = begin  # where the span before has ended
+        for low, high, first, change in windows(begin, end):
+            seq, places = sequence(text, low, high)
+            for c, kind, odds in semi_crf.best_cut(weights, seq) if seq.spans else ():
+                a, b = (places[t] for t in seq.spans[c])
+                if odds < SURE or not max(first, free) <= a < change:
+                    continue
+                free = b
+                at = bisect_right(ends, a)
+                if at == len(ends) or b <= starts[at]:
+                    more.append((KINDS[kind], a, b))
     return base, in_order(base + more) if more else base
 
 
@@ -225,10 +250,23 @@ _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 
 
 def sample_texts(docs: DataFrame, text_col: str = "text", limit: int = SAMPLE_DOCS) -> list[str]:
-    """At most ``limit`` texts with digits or an at sign, of at most SAMPLE_BYTES, by hash."""
+    """At most ``limit`` different texts with digits or an at sign, of at most SAMPLE_BYTES, by hash.
+
+    Hashes are stored and counted, a cut is put where about twice as many as wanted lie below
+    it, and the last one wanted is found among these. Only then are texts fetched, so what
+    the driver gets does not grow with the table, nor with the number of tasks.
+    """
     text = F.col(text_col)
     some = docs.select(text.alias("text")).filter((F.octet_length(text) <= SAMPLE_BYTES) & text.rlike("[0-9@]"))
-    return [r["text"] for r in some.orderBy(F.xxhash64("text"), "text").limit(limit).collect()]
+    hashed = some.select(F.xxhash64("text").alias("hash"), "text")
+    stored = write_through(hashed.select("hash"), "pii-hashes")
+    share = 2 * limit / max(1, stored.agg(F.approx_count_distinct("hash", 0.02)).first()[0])
+    few = stored if share >= 1 else stored.filter(F.col("hash") < int(2**64 * share) - 2**63)
+    last = few.distinct().orderBy("hash").limit(limit).agg(F.max("hash")).first()[0]
+    if last is None:
+        return []
+    chosen = hashed.filter(F.col("hash") <= last).groupBy("hash").agg(F.min("text").alias("text")).collect()
+    return [r["text"] for r in sorted(chosen)]
 
 
 def find_personal_data(
