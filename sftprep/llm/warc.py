@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from ..storage import new_folder
+from ..storage import new_folder, qualified
 from .common import if_small, write_through
 
 ARCHIVE_BYTES = 256 << 20  # an archive is closed once it is larger
@@ -41,7 +41,8 @@ def sha1_base32(data: bytes) -> str:
 
 
 def _open_folder(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+    """The file system of a qualified path and the path on it."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", re.sub(r"^s3[an]:", "s3:", uri)))
 
 
 def _printable(text: str) -> str:
@@ -149,14 +150,16 @@ def write_archives(
 ) -> DataFrame:
     """Write a record per row of ``pages`` and return the archives: ``archive`` (path), ``records``, ``bytes``.
 
-    ``folder`` is any place that all executors reach and pyarrow can open; by default a new
-    one below the shared folder. Payloads of at least ``min_bytes`` that occur more than
+    ``folder`` is any place that all executors reach and pyarrow can open, as Spark reads
+    the path (without a scheme it is on the default file system); by default a new one below
+    the shared folder. A task that runs again replaces its archives. Payloads of at least ``min_bytes`` that occur more than
     once are stored with the largest id (rows that repeat it are all responses); a null id
     is smaller than all others. A null body is an empty payload, a null address gives no
     address line. An empty table gives no archives; other columns are not read.
     """
     spark = pages.sparkSession
-    folder = folder or new_folder(spark, "warc")
+    folder = qualified(spark, folder or new_folder(spark, "warc"))  # tasks must not take it for their own disk
+    bare = _open_folder(folder)[1]  # raises here if pyarrow has no such file system
     rows = pages.select(
         F.col(id_col).alias("id"),
         F.col(uri_col).cast("string").alias("uri"),
@@ -186,6 +189,8 @@ def write_archives(
             nonlocal out, number
             out.close()
             final = f"{path}/part-{context.partitionId():05d}-{number:04d}.warc.gz"
+            if store.get_file_info(final).type != fs.FileType.NotFound:  # of a run that was lost afterwards
+                store.delete_file(final)
             store.move(temporary, final)
             done.append((final, records, size))
             out, number = None, number + 1
@@ -206,11 +211,9 @@ def write_archives(
             columns = [pa.array(c) for c in zip(*done, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=["archive", "records", "bytes"])
 
-    root = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", folder)
     written = write_through(marked.mapInArrow(write, "archive string, records bigint, bytes bigint"), "warc-archives")
-    # pyarrow names files without the scheme; put it back
-    prefix, bare = folder, _open_folder(folder)[1]
-    return written.withColumn("archive", F.concat(F.lit(prefix), F.substring("archive", len(bare) + 1, 1 << 20))) if root else written
+    # pyarrow names files without scheme and host; put them back
+    return written.withColumn("archive", F.concat(F.lit(folder), F.substring("archive", len(bare) + 1, 1 << 20)))
 
 
 def read_archives(archives: DataFrame, id_type: str = "bigint") -> DataFrame:
