@@ -1,4 +1,11 @@
-"""The corpus pipeline: STAGES in their order, each over all that the one before kept."""
+"""The corpus pipeline: STAGES in their order, each over all that the one before kept.
+
+All stages take any table with the columns ``doc_id`` and ``text``. A null text is kept as it is by the
+filters (it scores 0, equals the empty text, has no shingles and no words) and packed as one
+closing id. Rows without an id take part through their text. Rows that repeat an id are
+judged by their own texts, and of those that repeat id and text one stays. Further columns, whatever their
+names, come out unchanged of all stages but the last. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -19,6 +26,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The row with the smallest id of each group of texts that are equal but for blanks."""
     return exact_dedup.deduplicate(docs)
 
 
@@ -28,10 +36,12 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of ten words of a benchmark item."""
     return decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of what is left, as pieces of sequences."""
     return packing.pack(docs, VOCABULARY)
 
 

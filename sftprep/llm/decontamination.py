@@ -73,14 +73,20 @@ def hits(words: list[bytes], matcher: ahocorasick.Automaton) -> tuple[np.ndarray
     return np.cumsum(hit[:-1]) > 0, names
 
 
-def spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of hit words as (start, end) in characters of the original text."""
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where every word starts and ends, in characters of the text."""
     data = text.encode("utf-8", "surrogatepass")
     inside = np.frombuffer(data.translate(_WORDS), dtype=np.uint8) != 32
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     chars = np.concatenate(([0], np.cumsum((np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80)))
+    return chars[edges[::2]], chars[edges[1::2]]
+
+
+def spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of hit words as (start, end) in characters of the original text."""
+    starts, ends = word_places(text)
     runs = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False])).astype(np.int8)))
-    return [(int(chars[edges[2 * a]]), int(chars[edges[2 * b - 1]])) for a, b in zip(runs[::2], runs[1::2], strict=True)]
+    return [(int(starts[a]), int(ends[b - 1])) for a, b in zip(runs[::2], runs[1::2], strict=True)]
 
 
 _SPANS = "spans array<struct<start:bigint,end:bigint>>"

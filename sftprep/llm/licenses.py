@@ -6,7 +6,8 @@ The share of template words that are matched is the coverage.
 
 Where to align: of a template with n words, coverage c leaves at most (1 - c) n words
 unmatched, so one more than that many words (the longest, for they are rarest) must include
-a matched one. Only stretches around such words are looked at, and all of them are.
+a matched one. Only stretches around such words are looked at, and all of them are. A stretch
+takes in as many foreign words as ``room`` allows; more of them make it two pieces of a notice.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import product
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .decontamination import spans, word_bytes
+from .decontamination import word_bytes, word_places
 
 COVERAGE = 0.8
-ROOM = 10  # words that a notice may be longer than its template, besides half of it
+ROOM = 2.0  # foreign words on either side of a matched word, for each word of the template ...
+LEAST_ROOM = 10  # ... and for the shortest templates
 
 
 def rising(values: list[int]) -> list[int]:
@@ -89,13 +90,14 @@ class Template:
         return cls(name, words, places)
 
 
-def _notices(words: list[bytes], template: Template, coverage: float) -> Iterator[tuple[int, int, int]]:
+def _notices(words: list[bytes], template: Template, coverage: float, room: float = ROOM) -> Iterator[tuple[int, int, int]]:
     """(first word, word after the last, matched words) around every word that may be matched.
 
     A stretch is tried as long as the template would make it, so that a second notice nearby
     leaves its words unique, and with room for added words.
     """
     n, done = len(template.words), 0
+    foreign = max(LEAST_ROOM, int(room * n))
     known = set(template.words)
     for at, word in enumerate(words):
         if word not in template.places or at < done:
@@ -103,8 +105,8 @@ def _notices(words: list[bytes], template: Template, coverage: float) -> Iterato
         best = None
         for place, wide in product(template.places[word], (False, True)):
             left, right = place, n - place - 1
-            begin = max(done, at - left - wide * (left // 2 + ROOM))
-            end = min(len(words), at + 1 + right + wide * (right // 2 + ROOM))
+            begin = max(done, at - left - wide * foreign)
+            end = min(len(words), at + 1 + right + wide * foreign)
             if len(known.intersection(words[begin:end])) < coverage * len(known) - (1 - coverage) * n:
                 continue
             # this word is one of the matched ones; what stands before and after is aligned
@@ -120,7 +122,7 @@ def _notices(words: list[bytes], template: Template, coverage: float) -> Iterato
             yield best
 
 
-def notices(text: str, templates: list[Template], coverage: float = COVERAGE) -> list[dict]:
+def notices(text: str, templates: list[Template], coverage: float = COVERAGE, room: float = ROOM) -> list[dict]:
     """Notices of all templates, by place; where some overlap, the one with most matched words
     (then the tightest, then the first template) stays."""
     words = word_bytes(text).split()
@@ -128,19 +130,25 @@ def notices(text: str, templates: list[Template], coverage: float = COVERAGE) ->
     found = []
     for order, t in enumerate(templates):
         if not present.isdisjoint(t.places):
-            found += [(-m, b - a - m, order, a, b) for a, b, m in _notices(words, t, coverage)]
-    kept: list[tuple] = []
+            found += [(-m, b - a - m, order, a, b) for a, b, m in _notices(words, t, coverage, room)]
+    if not found:
+        return []
+    starts, kept = [], []  # by place
     for f in sorted(found):
-        if all(f[4] <= k[3] or k[4] <= f[3] for k in kept):
-            kept.append(f)
-    out = []
-    for matched, _, order, a, b in sorted(kept, key=lambda f: f[3]):
-        hit = np.zeros(len(words), dtype=bool)
-        hit[a:b] = True
-        start, end = spans(text, hit)[0]
-        share = -matched / len(templates[order].words)
-        out.append({"license": templates[order].name, "coverage": share, "start": start, "end": end})
-    return out
+        at = bisect_left(starts, f[3])
+        if (at == 0 or kept[at - 1][4] <= f[3]) and (at == len(kept) or f[4] <= kept[at][3]):
+            starts.insert(at, f[3])
+            kept.insert(at, f)
+    places = word_places(text)
+    return [
+        {
+            "license": templates[order].name,
+            "coverage": -matched / len(templates[order].words),
+            "start": int(places[0][a]),
+            "end": int(places[1][b - 1]),
+        }
+        for matched, _, order, a, b in kept
+    ]
 
 
 def scan_licenses(
@@ -149,10 +157,12 @@ def scan_licenses(
     coverage: float = COVERAGE,
     id_col: str = "doc_id",
     text_col: str = "text",
+    room: float = ROOM,
 ) -> DataFrame:
     """One row per notice: ``id``, ``license``, ``coverage``, ``start`` and ``end`` (characters of the text).
 
-    Whole texts are searched; notices of one text never overlap. Null and empty texts have
+    Whole texts are searched; notices of one text never overlap. On either side of a matched
+    word a notice may hold ``room`` foreign words for each word of its template, or ten if that is more. Null and empty texts have
     none. Rows that repeat an id are searched each. An empty table gives no rows; other
     columns are not read.
     """
@@ -164,7 +174,7 @@ def scan_licenses(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([notices(t.as_py(), templates, coverage) for t in batch.column(1)], kind)
+            found = pa.array([notices(t.as_py(), templates, coverage, room) for t in batch.column(1)], kind)
             yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["id", "found"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -356,3 +356,32 @@ def test_stages_take_effect(spark):
     assert sorted(i for i, _ in kept[3]) == sorted(i for i, t in kept[2] if not plain_hits(t, items)[1])
     packed = corpus_pipeline.run(spark, SMALL).collect()
     assert {r["doc_id"] for r in packed} == {i for i, _ in kept[3]} <= set(first)
+
+
+def test_stages_of_odd_documents(spark):
+    now = table(spark, odd_texts())
+    schema, empty = now.schema, table(spark, [])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = spark.createDataFrame(stage(spark, now, SMALL).collect(), schema)
+        assert stage(spark, empty, SMALL).collect() == [] and stage(spark, empty, SMALL).columns == empty.columns
+    left = sorted(((r["doc_id"], r["text"]) for r in now.collect()), key=str)
+    one = {i: t for i, t in odd_texts() if i not in (7, 12)}
+    same = [(12, "same id, other text"), (7, "one"), (None, "nameless")]
+    want = [(i, one[i]) for i in (1, 4, 6, 8, 9, 10, 11)] + same  # 2, 12: copies of 1; 3: near; 5: empty like 4
+    assert left == sorted(want, key=str)
+    pack = corpus_pipeline.STAGES[-1][1]
+    assert {r["doc_id"] for r in pack(spark, now, SMALL).collect()} == {i for i, _ in want}
+    assert pack(spark, empty, SMALL).collect() == []
+
+
+def test_promising_rows_follow_the_estimate(spark):
+    r = np.random.default_rng(4)
+    base = r.integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2)
+    sets = [np.concatenate([base[: 400 - cut], r.integers(0, 1 << 63, cut, dtype=np.uint64) * np.uint64(2)]) for cut in range(0, 400, 20)]
+    sigs = np.array([near_dedup.packed(near_dedup.minima(np.sort(s))) for s in sets])
+    sizes, labels = np.array([len(s) for s in sets]), np.arange(len(sets)) // 2
+    pairs = spark.createDataFrame([(i, j, a.tolist(), b.tolist()) for i, a in enumerate(sigs) for j, b in enumerate(sigs)], "i int, j int, a array<bigint>, b array<bigint>")
+    near = pairs.filter(near_dedup.estimated(pairs["a"], pairs["b"]) >= near_dedup.estimate_cut(85)).collect()
+    want = {x["i"] for x in near if labels[x["i"]] != labels[x["j"]]}
+    got = near_dedup.promising(sigs, sizes, labels, 85)
+    assert set(np.flatnonzero(got).tolist()) == want and 0 < len(want) < len(sets)

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -191,6 +192,19 @@ def test_archives_roll_over(spark, monkeypatch):
     assert sorted(r["page_id"] for r in warc.read_archives(archives).collect()) == list(range(12))
 
 
+def test_archives_written_again(spark, tmp_path):
+    """Names without a scheme are read as Spark reads them, and a second run replaces archives."""
+    rows = [(i, f"http://a/{i}", f"page {i}", "", "") for i in range(8)]
+    for folder in (f"{tmp_path}/w", f"file:{tmp_path}/w", f"file://{tmp_path}/w"):
+        archives = warc.write_archives(pages(spark, rows).coalesce(1), folder)
+        (path,) = [r["archive"] for r in archives.collect()]
+        assert path.startswith("file:/")
+        assert len(warc.read_archives(archives).collect()) == 8
+    assert len([p for p in (tmp_path / "w").iterdir() if not p.name.startswith(".")]) == 1
+    with pytest.raises(Exception):
+        warc.write_archives(pages(spark, rows), "nowhere://x/y")
+
+
 def test_reader_finds_damage():
     good = warc.record("1", "http://a", b"payload", None)
     parse = lambda data: [warc.read_record(m) for m in warc.members(io.BytesIO(data))]
@@ -268,6 +282,18 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(table(spark, []), LICENSES).collect() == []
 
 
+def test_notices_stretched_by_foreign_words():
+    words = LICENSES["MIT"].split()
+    half = len(words) // 2
+    known = [licenses.Template.of("MIT", LICENSES["MIT"], licenses.COVERAGE)]
+    for foreign in (0, 60, 120):
+        text = " ".join(["intro", *words[:half], *(f"w{i}" for i in range(foreign)), *words[half:], "end"])
+        assert [(f["coverage"], f["start"], f["end"]) for f in licenses.notices(text, known)] == [(1.0, 6, len(text) - 5)]
+        assert bool(licenses.notices(text, known, room=0.2)) == (foreign == 0)
+    many = licenses.notices("\n\n".join([LICENSES["MIT"]] * 50), known)
+    assert len(many) == 50 and all(a["end"] <= b["start"] for a, b in zip(many, many[1:]))
+
+
 def test_license_query(spark):
     rows = QUERIES["op4_licenses"](spark, SMALL).collect()
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
@@ -369,6 +395,47 @@ def test_field_learns_and_adds(spark):
     assert pii.all_spans(clean, weights) == ([], [])
 
 
+def test_windows_of_a_stretch_meet():
+    rng = random.Random(3)
+    text = " ".join(f"{rng.randrange(10**rng.randint(1, 16))}" for _ in range(5_000)) + " end " * 10 + "1" * 9_000
+    answered = []
+    for begin, end in pii.stretches(text):
+        last = begin
+        for low, high, first, change in pii.windows(begin, end):
+            assert first == last and low <= first < change <= high <= low + pii.WINDOW and high <= end
+            assert change == end or change + pii.LONGEST_CHARS <= high
+            last = change
+            answered.append(high - low)
+        assert last == end
+    assert max(answered) == pii.WINDOW
+
+
+def test_long_stretches_lose_no_span(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    weights = pii.train(pii.sample_texts(docs, limit=300))
+    one = "den +1 (269) 555-3296 4111111111111111 ist "
+    text = ("12 " * 40 + one) * 60
+    whole = pii.all_spans(text, weights)
+    monkeypatch.setattr(pii, "WINDOW", 300)
+    cut = pii.all_spans(text, weights)
+    assert cut[0] == whole[0] and set(cut[0]) <= set(cut[1])
+    ordered = sorted(cut[1], key=lambda s: s[1])
+    added = [s for s in ordered if s not in cut[0]]
+    assert all(a[2] <= b[1] for a, b in zip(added, added[1:]))
+    same = len(set(cut[1]) & set(whole[1]))
+    assert same >= 0.95 * len(set(whole[1]) | set(cut[1]))
+
+
+def test_sample_takes_texts_once(spark):
+    rows = [(i, f"call {i} now") for i in range(500)] + [(1000 + i, "call 7 now") for i in range(500)]
+    docs = table(spark, rows + [(1, None), (2, ""), (3, "no signal")])
+    every = pii.sample_texts(docs, limit=2000)
+    assert len(every) == 500 and len(set(every)) == 500
+    some = pii.sample_texts(docs, limit=20)
+    assert some == every[:20] == pii.sample_texts(docs.repartition(7), limit=20)
+    assert pii.sample_texts(table(spark, [])) == []
+
+
 def test_personal_data_of_odd_documents(spark):
     texts = odd_texts() + [(30, "é mail bob.1@a-b.co.uk, 10.0.0.255 and 256.1.1.1")]
     rows = pii.find_personal_data(table(spark, texts), None).collect()
