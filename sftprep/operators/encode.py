@@ -16,7 +16,8 @@ from ..functions.templates import (
 )
 from ..functions.tokenizers import IGNORE_INDEX, Tokenizer
 from .normalize import full_query
-from .turns import CHUNK_PAIRS
+from .ordering import running_total
+from .turns import CHUNK_PAIRS, examples_from_turns
 
 MODES = ("sft", "packed", "predict", "pairwise")
 
@@ -135,6 +136,31 @@ def _joined(pieces: str, tail: list[int]) -> Column:
     return F.flatten(F.concat(lists, F.array(id_array(tail))) if tail else lists)
 
 
+def _cut_turns(
+    enc: DataFrame,
+    keep: Sequence[str],
+    template: ChatTemplate,
+    eos: int,
+    cutoff_len: int,
+    train_on_prompt: bool,
+    strict_align: bool,
+    first_idx: Column | int = 0,
+) -> DataFrame:
+    """Ids and labels of each turn, cut in proportion to its two sides, as ``_pieces``."""
+
+    def measured(t: Column) -> Column:
+        return F.struct(t["src"].alias("src"), t["tgt"].alias("tgt"), _length(t["src"]).alias("s"), _length(t["tgt"]).alias("r"))
+
+    def piece(t: Column, i: Column) -> Column:
+        total = t["s"] + t["r"]
+        most_s, most_r = _share(cutoff_len, t["s"], total), _share(cutoff_len, t["r"], total)
+        src, tgt = _first(t["src"], t["s"], most_s), _first(t["tgt"], t["r"], most_r)
+        mask = _mask(src, F.least(t["s"], most_s), i + first_idx, template, eos, train_on_prompt, strict_align)
+        return F.struct(F.concat(src, tgt).alias("ids"), F.concat(mask, tgt).alias("labels"))
+
+    return enc.select(*keep, F.transform(F.transform("enc", measured), piece).alias("_pieces"))
+
+
 def supervised(
     df: DataFrame,
     template: ChatTemplate,
@@ -154,23 +180,16 @@ def supervised(
     rows = valid_for_sft(df)
     enc = _encoded_turns(rows, template, tokenizer, example_turns(rows, template, F.col("response")), keep)
 
-    def measured(t: Column) -> Column:
-        return F.struct(t["src"].alias("src"), t["tgt"].alias("tgt"), _length(t["src"]).alias("s"), _length(t["tgt"]).alias("r"))
-
-    def piece(t: Column, i: Column) -> Column:
-        total = t["s"] + t["r"]
-        most_s, most_r = _share(cutoff_len, t["s"], total), _share(cutoff_len, t["r"], total)
-        src, tgt = _first(t["src"], t["s"], most_s), _first(t["tgt"], t["r"], most_r)
-        mask = _mask(src, F.least(t["s"], most_s), i, template, eos, train_on_prompt, strict_align)
-        return F.struct(F.concat(src, tgt).alias("ids"), F.concat(mask, tgt).alias("labels"))
-
-    pieces = enc.select(*keep, F.transform(F.transform("enc", measured), piece).alias("_pieces"))
+    pieces = _cut_turns(enc, keep, template, eos, cutoff_len, train_on_prompt, strict_align)
     tail = [eos] if template.efficient_eos else []
     joined = pieces.select(
         *keep, _joined("_pieces.ids", tail).alias("_ids"), _joined("_pieces.labels", tail).alias("_labels")
     )
-    # both are cut if the ids are too long, and neither if not
-    long = F.size("_ids") > cutoff_len
+    return _cut_ids(joined, F.size("_ids") > cutoff_len, cutoff_len, keep)
+
+
+def _cut_ids(joined: DataFrame, long: Column, cutoff_len: int, keep: Sequence[str]) -> DataFrame:
+    """Both lists are cut if the ids are too long, and neither if not."""
     return joined.select(
         *keep,
         F.when(long, F.slice("_ids", 1, cutoff_len)).otherwise(F.col("_ids")).alias("input_ids"),
@@ -214,6 +233,107 @@ def one_turn_prompt(enc: Column) -> Column:
     return F.flatten(F.concat(lists, F.element_at(enc, -1)["src"]))
 
 
+# -- conversations of any length --------------------------------------------------
+
+
+def _reaching(long: DataFrame, template: ChatTemplate, tokenizer: Tokenizer, cutoff_len: int, other: Column) -> DataFrame:
+    """Chunks that may lie below the cutoff: each pair before yields a token, if the template always does."""
+    if not template.always_emits(tokenizer.special):
+        return long
+    return long.filter((F.col("first_idx") < cutoff_len) | other)
+
+
+def _within_budget(pieces: DataFrame, conv: str, cutoff_len: int, lists: Sequence[str], *others: Column) -> DataFrame:
+    """One row per conversation: its chunks' ``lists`` joined in order, from chunks that begin
+    below the cutoff; ``_total``, the ids of all chunks, and ``others``.
+
+    ``pieces`` holds ``chunk``, its number of ids ``n`` and lists of at most ``cutoff_len`` ids.
+    Totals run over narrow block sums, and what is gathered is bounded by the cutoff.
+    """
+    block = F.floor(F.col("chunk") / CHUNK_PAIRS)
+    placed = running_total(pieces, F.col("n"), block, ["chunk"], "_start", [conv])
+    part = F.when(F.col("_start") < cutoff_len, F.struct("chunk", *lists))
+    gathered = placed.groupBy(conv).agg(
+        F.sort_array(F.collect_list(part)).alias("_parts"), F.max(F.col("_start") + F.col("n")).alias("_total"), *others
+    )
+    return gathered.select("*", *[F.flatten(f"_parts.{x}").alias(f"_{x}") for x in lists]).drop("_parts")
+
+
+def supervised_conversations(
+    parts: tuple[DataFrame, DataFrame],
+    template: ChatTemplate,
+    tokenizer: Tokenizer,
+    cutoff_len: int = 1024,
+    train_on_prompt: bool = False,
+    strict_align: bool = False,
+    conv: str = "conv_id",
+) -> DataFrame:
+    """:func:`supervised` for ``conversation_parts``, with any number of messages and any cutoff.
+
+    A long conversation is encoded chunk by chunk; its chunks count against the cutoff from
+    its start, and only those that begin below it meet in one row.
+    """
+    short, long = parts
+    options = (template, tokenizer, cutoff_len, train_on_prompt, strict_align)
+    brief = supervised(examples_from_turns(short, conv), *options, keep=(conv,))
+    eos = tokenizer.special.eos_id
+    valid = long.filter((F.col("last.q") != "") & (F.col("last.r") != ""))
+    rows = _reaching(valid, template, tokenizer, cutoff_len, F.lit(False))
+    keep = (conv, "chunk", "n_pairs", "_end")
+    rows = rows.withColumn("_end", F.col("first_idx") + F.size("pairs"))
+    enc = _encoded_turns(rows, template, tokenizer, F.col("pairs"), keep, F.col("first_idx"))
+    cut = _cut_turns(enc, keep, template, eos, cutoff_len, train_on_prompt, strict_align, F.col("_first"))
+    pieces = cut.select(*keep, _joined("_pieces.ids", []).alias("ids"), _joined("_pieces.labels", []).alias("labels"))
+    over = F.size("ids") > cutoff_len
+    pieces = pieces.select(
+        *keep,
+        F.size("ids").alias("n"),
+        *[F.when(over, F.slice(x, 1, cutoff_len)).otherwise(F.col(x)).alias(x) for x in ("ids", "labels")],
+    )
+    left_out = (F.max("n_pairs") - F.max("_end")).alias("_left_out")  # pairs, of a token or more each
+    whole = _within_budget(pieces, conv, cutoff_len, ("ids", "labels"), left_out)
+    tail = [eos] if template.efficient_eos else []
+    too_long = F.col("_total") + F.col("_left_out") + len(tail) > cutoff_len
+    if tail:
+        whole = whole.withColumns({x: F.concat(x, id_array(tail)) for x in ("_ids", "_labels")})
+    return brief.unionByName(_cut_ids(whole, too_long, cutoff_len, (conv,)))
+
+
+def predict_conversations(
+    parts: tuple[DataFrame, DataFrame],
+    template: ChatTemplate,
+    tokenizer: Tokenizer,
+    cutoff_len: int = 1024,
+    null_response: str = "raise",
+    conv: str = "conv_id",
+) -> DataFrame:
+    """:func:`predict` for ``conversation_parts``, with any number of messages and any cutoff."""
+    short, long = parts
+    brief = predict(examples_from_turns(short, conv), template, tokenizer, cutoff_len, null_response, keep=(conv,))
+    rows = long.filter(F.col("last.q") != "").withColumn(
+        "_last", (F.size("pairs") > 0) & (F.col("first_idx") + F.size("pairs") == F.col("n_pairs"))
+    )
+    rows = _reaching(rows, template, tokenizer, cutoff_len, F.col("_last"))
+    turns = F.col("pairs")
+    if null_response == "empty":
+        answered = F.struct(F.col("last.q").alias("q"), F.coalesce("last.r", F.lit("")).alias("r"))
+        turns = F.when(F.col("_last"), F.concat(F.slice("pairs", F.lit(1), F.size("pairs") - 1), F.array(answered))).otherwise(turns)
+    keep = (conv, "chunk", "_last")
+    enc = _encoded_turns(rows, template, tokenizer, turns, keep, F.col("first_idx"))
+    tail = F.array(id_array([tokenizer.special.eos_id] if template.efficient_eos else []))
+    ids = F.when(F.col("_last"), one_turn_prompt(F.col("enc"))).otherwise(
+        F.flatten(F.flatten(F.transform("enc", lambda t: F.concat(t["src"], t["tgt"]))))
+    )
+    answer = F.when(F.col("_last"), F.slice(F.flatten(F.concat(F.element_at("enc", -1)["tgt"], tail)), 1, cutoff_len))
+    pieces = enc.select(*keep, ids.alias("ids"), answer.alias("labels")).select(
+        conv, "chunk", F.size("ids").alias("n"), F.slice("ids", 1, cutoff_len).alias("ids"), "labels"
+    )
+    whole = _within_budget(pieces, conv, cutoff_len, ("ids",), F.first("labels", ignorenulls=True).alias("labels"))
+    whole = whole.select(conv, F.slice("_ids", 1, cutoff_len).alias("input_ids"), "labels")
+    ones = F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask")
+    return brief.unionByName(whole.select(conv, "input_ids", ones, "labels"))
+
+
 def pairwise(
     df: DataFrame,
     template: ChatTemplate,

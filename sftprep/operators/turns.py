@@ -17,7 +17,7 @@ CHUNK_PAIRS = 4096
 CHUNKS_PER_KEY = 16  # chunks of one conversation that share a join key
 
 
-def conversation_chunks(
+def conversation_parts(
     df: DataFrame,
     conv: str = "conv_id",
     turn: str = "turn",
@@ -25,8 +25,8 @@ def conversation_chunks(
     content: str = "text",
     width: int = CHUNK_PAIRS,
     on_bad_order: str = "raise",
-) -> DataFrame:
-    """One row per conversation and chunk.
+) -> tuple[DataFrame, DataFrame]:
+    """One row per conversation and chunk: conversations of one chunk, and longer ones.
 
     Columns: ``conv``, ``chunk``, ``first_idx`` (number of the chunk's first pair),
     ``pairs array<struct<q,r>>``, ``n_pairs`` and ``last struct<q,r>`` of the whole
@@ -92,7 +92,14 @@ def conversation_chunks(
         .join(totals, [conv, "_share"])
         .select(conv, "chunk", "first_idx", "pairs", "n_pairs", "last", "order_ok")
     )
-    return apply_order_policy(closed.unionByName(long_ones).unionByName(guard), "order_ok", on_bad_order)
+    parts = closed, long_ones.unionByName(guard)
+    return tuple(apply_order_policy(part, "order_ok", on_bad_order) for part in parts)
+
+
+def conversation_chunks(df: DataFrame, *names: str, **options) -> DataFrame:
+    """All rows of :func:`conversation_parts`, which takes the same arguments."""
+    short, long = conversation_parts(df, *names, **options)
+    return short.unionByName(long)
 
 
 def pair_rows(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:
@@ -112,17 +119,17 @@ def _is_head() -> Column:
 
 
 def examples_from_turns(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """One example per conversation, for encoders that cut to ``cutoff_len`` tokens.
+    """One example per conversation, with ``n_pairs``, the pairs of the whole conversation.
 
-    The history of a conversation longer than the chunk width stops at that width.
-    Each pair yields at least one token, so with ``cutoff_len <= width`` the encoded
-    result is the same as with the whole history; the encoders check that bound. Packing
-    does not cut and works on :func:`conversation_chunks` instead.
+    The history of a conversation longer than the chunk width stops at that width. Encoders
+    of whole conversations (``supervised_conversations`` and others) take the parts instead,
+    and packing takes :func:`conversation_chunks`.
     """
     flag = ["order_ok"] if "order_ok" in chunks.columns else []
     return chunks.filter(_is_head()).selectExpr(
         conv,
         *flag,
+        "n_pairs",
         "last.q as prompt",
         "'' as query",
         "last.r as response",

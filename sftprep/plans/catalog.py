@@ -68,24 +68,22 @@ def _ids(column: str) -> Column:
     return F.array_join(column, ",").alias(column)
 
 
-def _chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return turns.conversation_chunks(_table(spark, sf, "conversations"), on_bad_order="drop")
+def _parts_of_chats(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return turns.conversation_parts(_table(spark, sf, "conversations"), on_bad_order="drop")
 
 
-def _examples(spark: SparkSession, sf: str) -> DataFrame:
-    return turns.examples_from_turns(_chunks(spark, sf))
+def _chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return turns.conversation_chunks(_table(spark, sf, "conversations"), on_bad_order="drop")
 
 
 def _encoded(spark: SparkSession, sf: str, name: str = "chatglm3", cutoff: int = 1024, **options) -> DataFrame:
     template, tokenizer = template_for(name, TOKENIZER)
-    encode.check_shortened(template, tokenizer, cutoff)
-    return encode.supervised(_examples(spark, sf), template, tokenizer, cutoff, keep=("conv_id",), **options)
+    return encode.supervised_conversations(_parts_of_chats(spark, sf), template, tokenizer, cutoff, **options)
 
 
 def _predict_encoded(spark: SparkSession, sf: str, cutoff: int = 1024) -> DataFrame:
     template, tokenizer = template_for("chatglm3", TOKENIZER)
-    encode.check_shortened(template, tokenizer, cutoff)
-    return encode.predict(_examples(spark, sf), template, tokenizer, cutoff, keep=("conv_id",))
+    return encode.predict_conversations(_parts_of_chats(spark, sf), template, tokenizer, cutoff)
 
 
 def _as_text(encoded: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -128,12 +126,13 @@ def query_assembly(spark, sf):
 def system_prompt(spark, sf):
     template = TEMPLATES["default"]
     given = F.when(F.col("conv_id") % 3 == 1, F.lit("")).when(F.col("conv_id") % 3 == 2, F.lit("Be brief."))
-    examples = _examples(spark, sf).withColumn("system", given)
+    examples = turns.examples_from_turns(_chunks(spark, sf)).withColumn("system", given)
     pairs = conversation_turns(template, normalize.full_query(examples), F.col("response"), F.col("history"))
     return examples.select(
         "conv_id",
         system_or_default(template, F.col("system")).alias("system"),
-        F.size(pairs).cast("bigint").alias("n_turns"),
+        # with what a long history leaves out
+        (F.size(pairs) + F.col("n_pairs") - F.size("history") - 1).cast("bigint").alias("n_turns"),
     )
 
 
@@ -161,9 +160,8 @@ def valid_predict(spark, sf):
 
 
 def _ranked_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Two neighbouring documents as chosen and rejected answer; some pairs lack one."""
-    kept = _table(spark, sf, "documents").filter(F.col("n_chars") % 7 != 0)
-    return kept.groupBy(F.expr("doc_id div 2").alias("pair_id")).agg(
+    """Two neighbouring documents of one language as chosen and rejected answer; others have just one."""
+    return _table(spark, sf, "documents").groupBy(F.expr("doc_id div 2").alias("pair_id"), "lang").agg(
         F.concat(F.lit("Write in "), F.min("lang")).alias("prompt"),
         F.transform(F.sort_array(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"]).alias("responses"),
     )
@@ -581,10 +579,9 @@ def read_sharegpt(spark, sf):
 
 
 def _messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Message arrays, one row per chat: a conversation, or 8,192 turns of a longer one."""
+    """Message arrays, one row per conversation: the form in which such data sets come."""
     message = F.struct("turn", F.col("role").alias("from"), F.col("text").alias("value"))
-    part = F.expr("turn div 8192")
-    chats = _table(spark, sf, "conversations").groupBy((F.col("conv_id") + part * 2**40).alias("chat_id"))
+    chats = _table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("chat_id"))
     gathered = chats.agg(F.sort_array(F.collect_list(message)).alias("m"))
     plain = F.transform("m", lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value")))
     return gathered.select("chat_id", plain.alias("conversations"))

@@ -78,7 +78,7 @@ ORACLES["valid_predict"] = f"with {MARKED} select doc_id from marked where promp
 RANKED = """
 ranked as (
   select doc_id // 2 as pair_id, 'Write in ' || min(lang) as prompt, list(text order by doc_id) as answers
-  from documents where n_chars % 7 <> 0 group by doc_id // 2)
+  from documents group by doc_id // 2, lang)
 """
 ORACLES["valid_pairwise"] = f"with {RANKED} select pair_id, prompt from ranked where len(answers) > 1"
 

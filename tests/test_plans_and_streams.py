@@ -2,6 +2,7 @@ import hashlib
 import json
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from sftprep.operators import encode, mixing, split
 from sftprep.operators.ordering import row_index
 from sftprep.operators.packing import pack_blocks
 from sftprep.plans import prepare
+from sftprep.plans.catalog import QUERIES
+from sftprep.plans.oracle import ORACLES
 from sftprep.sources import files, manifest
 from sftprep.storage import list_files, whole_file
 from sftprep.streaming import jobs, state
@@ -395,3 +398,19 @@ def test_registered_queries_match_their_sql(spark):
         df = queries[name](spark, folder)
         want = duck.sql(oracles[name])
         assert table(df.collect(), df.columns) == table(want.fetchall(), want.columns), name
+
+
+def test_one_conversation_of_ten_thousand_messages(spark, tmp_path):
+    duck = duckdb.connect()
+    talk = [(7, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(10_000)]
+    few = [(c, t, "user" if t % 2 == 0 else "assistant", f"text {c} {t}") for c in range(6) for t in range(c + 1)]
+    table = spark.createDataFrame(talk + few, "conv_id bigint, turn bigint, role string, text string")
+    table.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    duck.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    for name in ("system_prompt", "sharegpt_arrays", "encode_sft", "encode_predict", "truncate_proportional"):
+        got = QUERIES[name](spark, str(tmp_path))
+        want = duck.execute(ORACLES[name])
+        columns = sorted(c[0] for c in want.description)
+        place = [[c[0] for c in want.description].index(c) for c in columns]
+        expected = sorted(tuple(r[i] for i in place) for r in want.fetchall())
+        assert sorted(map(tuple, got.select(*columns).collect())) == expected and len(expected) > 3, name

@@ -92,6 +92,42 @@ def test_shortened_history_has_limits(tokenizer):
         encode.check_shortened(silent, unopened, 100)
 
 
+@pytest.mark.parametrize("name", ["chatglm3", "default"])
+@pytest.mark.parametrize("cutoff", [9, 5000])
+def test_long_conversations_encode_like_short_ones(turn_table, tokenizer, name, cutoff):
+    """Chunks of two pairs give what one chunk gives, whatever the cutoff."""
+    talks = {c: TALKS[c] for c in (0, 1, 3, 7)}
+    talks[11] = TALKS[3][:12] + [("human", "last"), ("gpt", "")]  # no answer to train on
+    views = []
+    for width in (2, 4096):
+        parts = turns.conversation_parts(turn_table(talks), width=width)
+        views.append(
+            [
+                sorted(map(tuple, rows.collect()))
+                for rows in (
+                    encode.supervised_conversations(parts, TEMPLATES[name], tokenizer, cutoff),
+                    encode.predict_conversations(parts, TEMPLATES[name], tokenizer, cutoff),
+                )
+            ]
+        )
+    assert views[0] == views[1] and [len(v) for v in views[0]] == [4, 5]
+
+
+def test_templates_that_emit_nothing(turn_table, tokenizer):
+    from dataclasses import replace
+
+    silent = ChatTemplate("s", (), ("{{query}}",), "", efficient_eos=True)
+    unopened = replace(tokenizer, special=replace(tokenizer.special, bos_token=None))
+    for f, until in ((encode.supervised_conversations, 0), (encode.predict_conversations, 9)):
+        talk = [("u" if i % 2 == 0 else "a", "" if i < until else f"t{i}") for i in range(14)]
+        for cutoff in (3, 8):
+            got = [
+                sorted(map(tuple, f(turns.conversation_parts(turn_table({1: talk}), width=w), silent, unopened, cutoff).collect()))
+                for w in (2, 4096)
+            ]
+            assert got[0] == got[1] and len(got[0]) == 1
+
+
 def test_message_arrays(spark):
     rows = [(c, [{"from": r, "value": t} for r, t in ms]) for c, ms in TALKS.items()] + [(9, []), (10, None)]
     df = spark.createDataFrame(rows, "id bigint, conversations array<struct<`from`:string,value:string>>")
