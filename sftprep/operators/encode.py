@@ -260,7 +260,7 @@ def _within_budget(pieces: DataFrame, conv: str, cutoff_len: int, lists: Sequenc
 
 
 def supervised_conversations(
-    parts: tuple[DataFrame, DataFrame],
+    parts: tuple[DataFrame, DataFrame | None],
     template: ChatTemplate,
     tokenizer: Tokenizer,
     cutoff_len: int = 1024,
@@ -276,6 +276,8 @@ def supervised_conversations(
     short, long = parts
     options = (template, tokenizer, cutoff_len, train_on_prompt, strict_align)
     brief = supervised(examples_from_turns(short, conv), *options, keep=(conv,))
+    if long is None:
+        return brief
     eos = tokenizer.special.eos_id
     valid = long.filter((F.col("last.q") != "") & (F.col("last.r") != ""))
     rows = _reaching(valid, template, tokenizer, cutoff_len, F.lit(False))
@@ -300,7 +302,7 @@ def supervised_conversations(
 
 
 def predict_conversations(
-    parts: tuple[DataFrame, DataFrame],
+    parts: tuple[DataFrame, DataFrame | None],
     template: ChatTemplate,
     tokenizer: Tokenizer,
     cutoff_len: int = 1024,
@@ -310,6 +312,8 @@ def predict_conversations(
     """:func:`predict` for ``conversation_parts``, with any number of messages and any cutoff."""
     short, long = parts
     brief = predict(examples_from_turns(short, conv), template, tokenizer, cutoff_len, null_response, keep=(conv,))
+    if long is None:
+        return brief
     rows = long.filter(F.col("last.q") != "").withColumn(
         "_last", (F.size("pairs") > 0) & (F.col("first_idx") + F.size("pairs") == F.col("n_pairs"))
     )

@@ -25,9 +25,13 @@ def conversation_parts(
     content: str = "text",
     width: int = CHUNK_PAIRS,
     on_bad_order: str = "raise",
-) -> tuple[DataFrame, DataFrame]:
+    longest: int | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
     """One row per conversation and chunk: conversations of one chunk, and longer ones.
 
+    ``longest``, the largest turn if it is known (:func:`longest_turn`), keeps a plan small: if it
+    shows that there is no longer conversation, the second part is None.
+
     Columns: ``conv``, ``chunk``, ``first_idx`` (number of the chunk's first pair),
     ``pairs array<struct<q,r>>``, ``n_pairs`` and ``last struct<q,r>`` of the whole
     conversation, and ``order_ok`` under ``quarantine``.
@@ -65,6 +69,8 @@ def conversation_parts(
     closed = chunks.filter(f"{whole} and here > 0").selectExpr(
         conv, "chunk", "first_idx", "pairs", "here as n_pairs", "last", "ok as order_ok"
     )
+    if longest is not None and longest < messages - 1:
+        return apply_order_policy(closed, "order_ok", on_bad_order), None
     parts = chunks.filter(f"not ({whole})")
     totals = parts.groupBy(conv).agg(
         F.expr("min(chunk) = 0 and count(*) = max(chunk) + 1").alias("unbroken"),
@@ -99,7 +105,13 @@ def conversation_parts(
 def conversation_chunks(df: DataFrame, *names: str, **options) -> DataFrame:
     """All rows of :func:`conversation_parts`, which takes the same arguments."""
     short, long = conversation_parts(df, *names, **options)
-    return short.unionByName(long)
+    return short if long is None else short.unionByName(long)
+
+
+def longest_turn(df: DataFrame, turn: str = "turn") -> int | None:
+    """The largest turn, from one column of the table; None if some row has none."""
+    seen = df.agg(F.max(turn).alias("top"), F.count_if(F.col(turn).isNull()).alias("missing")).first()
+    return None if seen["missing"] else seen["top"]
 
 
 def pair_rows(chunks: DataFrame, conv: str = "conv_id") -> DataFrame:

@@ -68,12 +68,14 @@ def _ids(column: str) -> Column:
     return F.array_join(column, ",").alias(column)
 
 
-def _parts_of_chats(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return turns.conversation_parts(_table(spark, sf, "conversations"), on_bad_order="drop")
+def _parts_of_chats(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame | None]:
+    table = _table(spark, sf, "conversations")
+    return turns.conversation_parts(table, on_bad_order="drop", longest=turns.longest_turn(table))
 
 
 def _chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return turns.conversation_chunks(_table(spark, sf, "conversations"), on_bad_order="drop")
+    table = _table(spark, sf, "conversations")
+    return turns.conversation_chunks(table, on_bad_order="drop", longest=turns.longest_turn(table))
 
 
 def _encoded(spark: SparkSession, sf: str, name: str = "chatglm3", cutoff: int = 1024, **options) -> DataFrame:
@@ -333,8 +335,8 @@ def encode_pairwise(spark, sf):
 def pack_blocks(spark, sf):
     template, tokenizer = template_for("chatglm3", TOKENIZER)
     conversations = _table(spark, sf, "conversations")
-    longest = conversations.agg(F.max("turn")).first()[0] or 0
-    chunks = turns.index_conversations(turns.conversation_chunks(conversations, on_bad_order="drop"))
+    longest = turns.longest_turn(conversations)
+    chunks = turns.index_conversations(turns.conversation_chunks(conversations, on_bad_order="drop", longest=longest))
     rows = chunks.filter((F.col("last.q") != "") & (F.col("last.r") != ""))
     pieces = encode.training_pieces(
         rows, template, tokenizer, F.col("pairs"), keep=("row_idx", "chunk"), first_idx=F.col("first_idx")
@@ -345,7 +347,7 @@ def pack_blocks(spark, sf):
         tokenizer.special.eos_id,
         PACK_ROWS,
         order=("row_idx", "chunk"),
-        bounded=longest < 2 * turns.CHUNK_PAIRS,
+        bounded=longest is not None and longest < 2 * turns.CHUNK_PAIRS - 1,
     )
     return blocks.select("pack_group", "block", _ids("input_ids"), _ids("labels"))
 

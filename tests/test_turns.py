@@ -36,6 +36,20 @@ def test_pairs_do_not_depend_on_the_chunk_width(turn_table, width):
     assert got == expected_pairs()
 
 
+def test_known_length_keeps_the_plan_small(spark, turn_table):
+    table = turn_table(TALKS)
+    longest = turns.longest_turn(table)
+    assert longest == 13
+    plain = {width: turns.conversation_parts(table, width=width, on_bad_order="drop", longest=longest) for width in (7, 8)}
+    assert plain[7][1] is not None and plain[8][1] is None
+    every = turns.conversation_chunks(table, on_bad_order="drop")
+    assert sorted(plain[8][0].collect()) == sorted(every.collect())
+    gaps = spark.createDataFrame([(0, 0, "u", "x"), (0, None, "u", "x")], "conv_id int, turn int, role string, text string")
+    assert turns.longest_turn(gaps) is None and turns.longest_turn(gaps.limit(0)) is None
+    with pytest.raises(Exception, match="gaps or repeats"):
+        turns.conversation_chunks(gaps.na.fill({"turn": 0}), longest=0).collect()
+
+
 @pytest.mark.parametrize("width", [1, 3, 4096])
 def test_order_policies(turn_table, width):
     table = turn_table(TALKS)
