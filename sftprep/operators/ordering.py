@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..storage import write_through
 
-BLOCK_BITS = 16  # 65,536 keys per block
+BLOCK_BITS = 16  # 65,536 keys per block, and 65,536 blocks per node of the tree above them
+KEY_BITS = 64
 
 
 def running_total(
@@ -25,19 +26,19 @@ def running_total(
     order: Sequence[str],
     out: str,
     within: Sequence[str] = (),
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows of the same ``within`` group.
 
-    ``block`` must rise with ``order`` and hold a bounded number of rows.
+    ``block`` must rise with ``order`` and hold a bounded number of rows. ``block_bits`` says how many bits its
+    numbers take; above 16 the blocks are summed up in a tree, so that no task holds more than one of its nodes
+    even if every row has a block of its own.
     """
     value = F.lit(value) if isinstance(value, int) else value
     within = list(within)
     blocked = df.withColumn("_block", block).withColumn("_value", value)
     totals = blocked.groupBy(*within, "_block").agg(F.sum("_value").alias("_total"))
-    before = Window.partitionBy(*within).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *within, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).cast("bigint").alias("_offset")
-    )
+    offsets = _block_offsets(totals, within, block_bits)
     local = Window.partitionBy(*within, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
         blocked.join(offsets, [*within, "_block"])
@@ -46,13 +47,36 @@ def running_total(
     )
 
 
-def row_index(df: DataFrame, key: str, within: Sequence[str] = (), out: str = "row_idx") -> DataFrame:
+def _block_offsets(totals: DataFrame, within: list[str], bits: int) -> DataFrame:
+    """``_block, _offset``: the sum of ``_total`` over all earlier blocks, from that over earlier nodes and a window in
+    the own one. The root, at most 65,536 rows, is one window."""
+    node = [] if bits <= BLOCK_BITS else ["_node"]
+    nodes = totals.withColumn("_node", F.shiftright("_block", BLOCK_BITS)) if node else totals
+    before = Window.partitionBy(*within, *node).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_total").over(before), F.lit(0)).cast("bigint")
+    if not node:
+        return nodes.select(*within, "_block", offset.alias("_offset"))
+    above = nodes.groupBy(*within, F.col("_node").alias("_block")).agg(F.sum("_total").alias("_total"))
+    above = _block_offsets(above, within, bits - BLOCK_BITS).withColumnRenamed("_block", "_node")
+    inside = nodes.select(*within, "_node", "_block", offset.alias("_inside"))
+    joined = inside.join(above.withColumnRenamed("_offset", "_above"), [*within, "_node"])
+    return joined.select(*within, "_block", (F.col("_above") + F.col("_inside")).alias("_offset"))
+
+
+def row_index(
+    df: DataFrame, key: str, within: Sequence[str] = (), out: str = "row_idx", key_bits: int = KEY_BITS
+) -> DataFrame:
     """Dense 0-based index by a unique integer key (unique per ``within`` group).
 
-    A block is a range of 65,536 key values, so with unique keys it holds at most
-    that many rows.
+    A block is a range of 65,536 key values, so with unique keys it holds at most that many rows. Keys may lie
+    any distance apart; who knows that they take fewer bits can say so in ``key_bits`` and saves levels of the tree.
     """
-    return running_total(df, 1, F.shiftright(F.col(key).cast("bigint"), BLOCK_BITS), [key], out, within)
+    bits = min(key_bits, INTEGER_BITS.get(df.schema[key].dataType.simpleString(), KEY_BITS))
+    block = F.shiftright(F.col(key).cast("bigint"), BLOCK_BITS)
+    return running_total(df, 1, block, [key], out, within, max(bits - BLOCK_BITS, 1))
+
+
+INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32}
 
 
 def range_index(df: DataFrame, *order: Column, out: str = "row_idx") -> DataFrame:
@@ -101,14 +125,18 @@ def file_index(df: DataFrame, out: str = "row_idx") -> DataFrame:
     return joined.withColumn(out, F.col("_offset") + F.col("_pos")).drop("_file", "_pos", "_offset")
 
 
+PLACES = ("_file", "_start", "_place")  # file, block in it, and a number that rises in the block
+
+
 def scan_index(*scans: DataFrame, out: str = "row_idx") -> DataFrame:
     """Dense 0-based index of text, CSV or JSON scans, by file, block and line.
 
     Such files carry no row numbers. Each row is stored once with its block and a
-    number that rises inside the block, and is counted from the stored copy.
+    number that rises inside the block, and is counted from the stored copy. Scans that bring
+    ``PLACES`` of their own keep them.
     """
     tagged = [
-        df.select(
+        df if set(PLACES) <= set(df.columns) else df.select(
             "*",
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_start"),
@@ -132,18 +160,21 @@ def scan_index(*scans: DataFrame, out: str = "row_idx") -> DataFrame:
 def key_cut(df: DataFrame, key: str, n: int) -> int | None:
     """The n-th smallest value (n ≥ 1) of a unique integer key, None if there are fewer rows.
 
-    Found by counting per block of keys and ordering the keys of one block.
+    Found by going down a tree of counts, 65,536 ranges of keys at a time, over counts per block that are
+    stored once; then the keys of one block are ordered.
     """
-    block = F.shiftright(F.col(key).cast("bigint"), BLOCK_BITS).alias("_block")
-    counts = df.groupBy(block).agg(F.count("*").alias("_n"))
-    upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
-    crossing = (
-        counts.withColumn("_upto", F.sum("_n").over(upto)).filter(F.col("_upto") >= n).orderBy("_block").limit(1).first()
-    )
-    if crossing is None:
-        return None
-    left = n - (crossing["_upto"] - crossing["_n"])
-    low = crossing["_block"] << BLOCK_BITS
+    counted = df.groupBy(F.shiftright(F.col(key).cast("bigint"), BLOCK_BITS).alias("_block")).agg(F.count("*").alias("_n"))
+    counts, left = write_through(counted, "key-counts"), n
+    upto = Window.orderBy("_node").rowsBetween(Window.unboundedPreceding, 0)  # over 65,536 rows at most
+    for shift in range(KEY_BITS - 2 * BLOCK_BITS, -1, -BLOCK_BITS):
+        nodes = counts.groupBy(F.shiftright("_block", shift).alias("_node")).agg(F.sum("_n").alias("_n"))
+        crossing = nodes.withColumn("_upto", F.sum("_n").over(upto)).filter(F.col("_upto") >= left)
+        found = crossing.orderBy("_node").limit(1).first()
+        if found is None:
+            return None
+        left -= found["_upto"] - found["_n"]
+        counts = counts.filter(F.shiftright("_block", shift) == found["_node"])
+    low = found["_node"] << BLOCK_BITS
     inside = df.select(F.col(key).alias("k")).filter(F.col("k").between(low, low + 2**BLOCK_BITS - 1))
     return inside.orderBy("k").limit(left).agg(F.max("k")).first()[0]
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .normalize import apply_order_policy, message_pairs, roles_alternate
-from .ordering import row_index
+from .ordering import KEY_BITS, row_index
 
 CHUNK_PAIRS = 4096
 CHUNKS_PER_KEY = 16  # chunks of one conversation that share a join key
@@ -159,9 +159,11 @@ def role_order_report(
     return chunks.filter(_is_head()).select(conv, "n_pairs", "order_ok")
 
 
-def index_conversations(chunks: DataFrame, conv: str = "conv_id", width: int = CHUNK_PAIRS) -> DataFrame:
+def index_conversations(
+    chunks: DataFrame, conv: str = "conv_id", width: int = CHUNK_PAIRS, key_bits: int = KEY_BITS
+) -> DataFrame:
     """Add ``row_idx``: the dense number of the conversation in ``conv`` order."""
-    heads = row_index(chunks.filter(_is_head()).select(conv, "n_pairs"), conv)
+    heads = row_index(chunks.filter(_is_head()).select(conv, "n_pairs"), conv, key_bits=key_bits)
     last_chunk = F.expr(f"(n_pairs - 1) div {width}")
     shares = heads.select(
         conv,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.templates import (
@@ -41,12 +42,14 @@ TOKENIZER = CodepointTokenizer(SpecialTokens(SPECIAL_IDS, "<bos>", "<eos>", "<pa
 LANGUAGES = ("en", "de", "fr", "es")  # the datasets of the mixing queries
 SHARES = (0.4, 0.3, 0.2, 0.1)
 SEED = 42
+ID_BITS = 32  # of most ids; more take more room in one task of the numbering, with the same result
 MAX_SAMPLES = 300
 PREVIEWED = 3
 VAL_FRACTION, VAL_COUNT = 0.1, 50
 BLOCK, PACK_ROWS = 256, 20
 BATCH = 16
 BUFFER = 128
+PIECE_BYTES = 1 << 16  # of files that are read in pieces
 STREAM_BATCHES = 6  # micro-batches, at least, of queries that carry state from one to the next
 STREAM_SHARES = (0.5, 0.3, 0.2)
 MODELS = tuple(MODEL_FAMILY)
@@ -181,7 +184,8 @@ def _sources(spark: SparkSession, sf: str) -> tuple[DataFrame, list[int]]:
     """Documents as one dataset per language, stacked."""
     number = F.array_position(F.array(*[F.lit(x) for x in LANGUAGES]), F.col("lang")) - 1
     stacked = ordering.row_index(
-        _table(spark, sf, "documents").select(number.cast("int").alias("source_no"), "doc_id"), "doc_id", ["source_no"]
+        _table(spark, sf, "documents").select(number.cast("int").alias("source_no"), "doc_id"), "doc_id", ["source_no"],
+        key_bits=ID_BITS,
     )
     return stacked, mixing.source_sizes(stacked, len(LANGUAGES))
 
@@ -336,7 +340,9 @@ def pack_blocks(spark, sf):
     template, tokenizer = template_for("chatglm3", TOKENIZER)
     conversations = _table(spark, sf, "conversations")
     longest = turns.longest_turn(conversations)
-    chunks = turns.index_conversations(turns.conversation_chunks(conversations, on_bad_order="drop", longest=longest))
+    chunks = turns.index_conversations(
+        turns.conversation_chunks(conversations, on_bad_order="drop", longest=longest), key_bits=ID_BITS
+    )
     rows = chunks.filter((F.col("last.q") != "") & (F.col("last.r") != ""))
     pieces = encode.training_pieces(
         rows, template, tokenizer, F.col("pairs"), keep=("row_idx", "chunk"), first_idx=F.col("first_idx")
@@ -386,7 +392,7 @@ def buffer_shuffle_moving(spark, sf):
 
 
 def _padded(encoded: DataFrame, side: str) -> DataFrame:
-    indexed = ordering.row_index(encoded, "conv_id")
+    indexed = ordering.row_index(encoded, "conv_id", key_bits=ID_BITS)
     rows = pad_batches(assign_batches(indexed, BATCH), TOKENIZER.special.pad_id, side)
     return rows.select("conv_id", "batch", _ids("input_ids"), _ids("attention_mask"), _ids("labels"))
 
@@ -549,6 +555,37 @@ def read_csv(spark, sf):
     return files.read_dataset(spark, _spec("docs", "docs"), base).select("row_idx", "prompt", "query", "response")
 
 
+@query
+def read_csv_pieces(spark, sf):
+    base = new_folder(spark, "csv")
+    _as_alpaca(spark, sf).write.option("escape", '"').option("header", True).csv(f"{base}/docs")
+    out = files.read_dataset(spark, _spec("docs", "docs"), base, chunk=PIECE_BYTES)
+    return out.select("row_idx", "prompt", "query", "response")
+
+
+def _as_array(batches):
+    """The rows of a partition as lines of one JSON array."""
+    mark = "["
+    for batch in batches:
+        for value in batch["value"]:
+            yield batch.iloc[:1].assign(value=mark + value)
+            mark = ","
+    yield pd.DataFrame({"value": ["]" if mark == "," else "[]"]})
+
+
+def _write_array(rows: DataFrame, path: str) -> None:
+    rows.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(_as_array, "value string").write.mode("append").text(path)
+
+
+@query
+def read_json_pieces(spark, sf):
+    base = new_folder(spark, "json-array")
+    _write_array(_as_alpaca(spark, sf), base)
+    spec = manifest.parse_entry("docs", {"hf_hub_url": "a/b"})
+    out = files.read_dataset(spark, spec, ".", bindings={"a/b": f"json:{base}"}, chunk=PIECE_BYTES)
+    return out.select("row_idx", "prompt", "query", "response")
+
+
 @query
 def read_text(spark, sf):
     base = new_folder(spark, "text")
@@ -631,6 +668,22 @@ def _finished(q) -> None:
     q.awaitTermination()
 
 
+@query
+def stream_read(spark, sf):
+    """Arrays and JSON lines in one folder, some files per micro-batch."""
+    base = new_folder(spark, "stream-files")
+    documents = _as_alpaca(spark, sf).withColumn("_array", F.crc32(F.col("instruction").cast("binary")) % 2 == 0)
+    _write_array(documents.filter("_array").drop("_array"), f"{base}/docs")
+    documents.filter("not _array").drop("_array").write.mode("append").json(f"{base}/docs")
+    n_files = -(-len(list_files(spark, f"{base}/docs")) // STREAM_BATCHES)
+    stream = files.read_stream(
+        spark, _spec("docs", "docs"), base, files_per_trigger=n_files, kind="json", chunk=PIECE_BYTES
+    ).select("prompt", "query", "response")
+    out = new_folder(spark, "stream-out")
+    _finished(jobs.write_rows(stream, out, new_folder(spark, "stream-marks")))
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 @query
 def stream_encode(spark, sf):
     template, tokenizer = template_for("chatglm3", TOKENIZER)

@@ -550,7 +550,8 @@ ORACLES["read_jsonl"] = """
 select row_number() over (order by doc_id) - 1 as row_idx, 'Document ' || doc_id as prompt, source as query,
        text as response
 from documents"""
-ORACLES["read_csv"] = ORACLES["read_jsonl"]
+ORACLES["read_csv"] = ORACLES["read_csv_pieces"] = ORACLES["read_json_pieces"] = ORACLES["read_jsonl"]
+ORACLES["stream_read"] = "select 'Document ' || doc_id as prompt, source as query, text as response from documents"
 ORACLES["read_text"] = """
 select prompt, count(*) as n from (select unnest(string_split(text, chr(10))) as prompt from documents) group by prompt"""
 ORACLES["read_parquet_split"] = "select source as prompt, text as response from documents where n_chars % 4 = 0"

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping
+from dataclasses import asdict
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,8 +18,8 @@ from ..operators.batching import assign_batches, pad_batches
 from ..operators.ordering import row_index
 from ..operators.packing import pack_blocks
 from ..operators.split import split_train_eval
-from ..sources.cache import encoded_cache
-from ..sources.files import read_dataset, read_stream
+from ..sources.cache import encoded_cache, reused
+from ..sources.files import input_states, read_dataset, read_stream
 from ..sources.manifest import JobOptions, load_manifest, resolve_datasets
 from ..streaming import jobs
 
@@ -62,19 +66,46 @@ def encode_examples(
     return blocks.withColumn("row_idx", F.shiftleft("pack_group", 32) + F.col("block")).drop("pack_group", "block")
 
 
+# Options that change nothing in the encoded examples.
+WITHOUT_EFFECT = ("overwrite_cache", "cache_path", "val_size", "do_train", "do_predict", "batch_size", "max_steps",
+                  "ignore_pad_token_for_loss", "buffer_size", "files_per_trigger", "reuse_results")
+
+
+def recipe(
+    spark: SparkSession,
+    options: JobOptions,
+    template: ChatTemplate,
+    tokenizer: Tokenizer,
+    bindings: Mapping[str, str] | None = None,
+) -> str:
+    """All that encoded examples depend on: options, manifest entries, template, tokenizer, and of each input file
+    its path, length and time. Code that a tokenizer imports counts by its name alone: if it changes, set
+    ``overwrite_cache``."""
+    chosen = {k: v for k, v in asdict(options).items() if k not in WITHOUT_EFFECT}
+    specs = resolve_datasets(options.dataset, load_manifest(spark, options.dataset_dir), options.system_prompt)
+    inputs = [(asdict(s), input_states(spark, s, options.dataset_dir, bindings)) for s in specs]
+    code = hashlib.sha1(cloudpickle.dumps((template, tokenizer))).hexdigest()
+    return json.dumps([chosen, inputs, sorted((bindings or {}).items()), code], sort_keys=True)
+
+
 def prepare(
     spark: SparkSession,
     options: JobOptions,
     tokenizer: Tokenizer,
     bindings: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Read, mix, encode (or load ``cache_path``) and split: ``{"train": …, "eval": …}``."""
+    """Read, mix, encode (or load ``cache_path``, or with ``reuse_results`` what an earlier job stored) and split:
+    ``{"train": …, "eval": …}``."""
     template, tokenizer = chosen_template(options, tokenizer)
-    encoded = encoded_cache(
-        spark,
-        options.cache_path,
-        lambda: encode_examples(read_mixture(spark, options, bindings), options, template, tokenizer),
-    )
+
+    def build() -> DataFrame:
+        return encode_examples(read_mixture(spark, options, bindings), options, template, tokenizer)
+
+    if options.reuse_results and options.cache_path is None:
+        made_from = recipe(spark, options, template, tokenizer, bindings)
+        encoded = reused(spark, "encoded", made_from, build, options.overwrite_cache)
+    else:
+        encoded = encoded_cache(spark, options.cache_path, build)
     return split_train_eval(encoded, options.val_size, options.seed, "row_idx", options.do_train)
 
 
@@ -92,7 +123,9 @@ def prepare_stream(
         raise ValueError("the options are not for streaming")
     template, tokenizer = chosen_template(options, tokenizer)
     specs = resolve_datasets(options.dataset, load_manifest(spark, options.dataset_dir), options.system_prompt)
-    streams = [read_stream(spark, s, options.dataset_dir, options.on_bad_order) for s in specs]
+    streams = [
+        read_stream(spark, s, options.dataset_dir, options.on_bad_order, options.files_per_trigger) for s in specs
+    ]
 
     def staged(name: str, run: Callable[[str, str], StreamingQuery]) -> DataFrame:
         """Run one stage and go on with what it stored, batch by batch."""

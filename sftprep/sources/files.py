@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.normalize import CANONICAL, examples_from_messages, pairs_from_lists, rename_columns, with_system
-from ..operators.ordering import file_index, first_rows, row_index, scan_index
-from ..storage import head_of_file, list_files, path_exists, write_through
+from ..operators.ordering import PLACES, file_index, first_rows, row_index, scan_index
+from ..storage import file_states, head_of_file, list_files, path_exists, uri_of, write_through
+from .chunks import CHUNK_BYTES, longest_file, record_texts, streamed_json
 from .manifest import DatasetSpec
 
 # File extension -> reader.
@@ -17,6 +19,7 @@ EXTENSION_FORMAT = {"csv": "csv", "json": "json", "jsonl": "json", "txt": "text"
 TABLE_FORMATS = ("parquet", "orc")
 SNIFFED_LINES = 1000
 LOOKED_AT_BY_DRIVER = 100  # files
+FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 CSV_OPTIONS = dict(header=True, multiLine=True, escape='"')
 
 
@@ -92,7 +95,8 @@ def json_layouts(spark: SparkSession, files: list[str]) -> dict[bool, list[str]]
                         found.append(stream.read(64).decode("utf-8", "ignore").lstrip("\ufeff \t\r\n").startswith("["))
                 yield batch.assign(array=found)
 
-        listed = spark.createDataFrame(list(enumerate(files)), "n int, path string").repartition("n")
+        paths = [uri_of(spark, f) for f in files]
+        listed = spark.createDataFrame(list(enumerate(paths)), "n int, path string").repartition("n")
         rows = listed.mapInPandas(look, "n int, path string, array boolean").select("n", "array").collect()
         arrays = [r["array"] for r in sorted(rows)]
     layouts: dict[bool, list[str]] = {}
@@ -102,12 +106,12 @@ def json_layouts(spark: SparkSession, files: list[str]) -> dict[bool, list[str]]
 
 
 def scan_files(
-    spark: SparkSession, files: list[str], kind: str, schema: str | None
+    spark: SparkSession, files: list[str], kind: str, schema: str | None, chunk: int = CHUNK_BYTES
 ) -> tuple[list[DataFrame], set[str]]:
     """Lazy scans over all files (one per layout), and the field names they hold (empty if unknown).
 
-    A JSON array and a CSV with quoted line breaks are read as whole files, one task
-    each; JSON lines, text and Parquet are split.
+    JSON lines, text and Parquet are split by Spark. JSON arrays and CSV with quoted line breaks are
+    read as whole files, one task each, if none is longer than ``chunk`` bytes; else in pieces of that size.
     """
     if kind == "text":
         return [spark.read.text(files).withColumnRenamed("value", "text")], {"text"}
@@ -115,19 +119,32 @@ def scan_files(
         names = spark.read.csv(files[0], **CSV_OPTIONS).columns
         # the header of every file is held against the first one's
         schema = ", ".join(f"`{n}` string" for n in names)
+        if longest_file(spark, files) > chunk:
+            parsed = F.from_csv("value", schema, {"escape": CSV_OPTIONS["escape"]})
+            return [_parsed(record_texts(spark, files, names, chunk), parsed)], set(names)
         return [spark.read.schema(schema).csv(files, enforceSchema=False, **CSV_OPTIONS)], set(names)
-    scans = [
-        spark.read.option("multiLine", array).option("mode", "FAILFAST").schema(schema).json(part)
-        for array, part in json_layouts(spark, files).items()
-    ]
+    scans = []
+    for array, part in json_layouts(spark, files).items():
+        if array and longest_file(spark, part) > chunk:
+            parsed = F.from_json("value", schema, {"mode": "FAILFAST"})
+            scans.append(_parsed(record_texts(spark, part, None, chunk), parsed))
+        else:
+            scans.append(spark.read.option("multiLine", array).option("mode", "FAILFAST").schema(schema).json(part))
     return scans, sniff_json(spark, files[0])[1]
 
 
-def leading_files(spark: SparkSession, files: list[str], kind: str, schema: str | None, n: int) -> list[str]:
+def _parsed(texts: DataFrame, record: Column) -> DataFrame:
+    """The fields of records, with the places of those."""
+    return texts.withColumn("_record", record).select("_record.*", *PLACES)
+
+
+def leading_files(
+    spark: SparkSession, files: list[str], kind: str, schema: str | None, n: int, chunk: int = CHUNK_BYTES
+) -> list[str]:
     """The first files that together hold at least ``n`` rows, found by doubling."""
     some = 1
     while some < len(files):
-        scans, _ = scan_files(spark, files[:some], kind, schema)
+        scans, _ = scan_files(spark, files[:some], kind, schema, chunk)
         if sum(scan.count() for scan in scans) >= n:
             break
         some *= 2
@@ -165,7 +182,8 @@ def select_split(df: DataFrame, split: str, subset: str | None) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, spec: DatasetSpec, bindings: Mapping[str, str], split: str = "train"
+    spark: SparkSession, spec: DatasetSpec, bindings: Mapping[str, str], split: str = "train",
+    chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
     """A hub or script entry, bound by name to a table or to a path already in storage, with ``row_idx``.
 
@@ -185,7 +203,7 @@ def read_table(
     if path_exists(spark, f"{under}/{split}"):
         under, left = f"{under}/{split}", "train"
     if head in ("json", "csv"):  # read like the files of a manifest
-        scans, names = scan_files(spark, list_files(spark, under), head, raw_schema(spec))
+        scans, names = scan_files(spark, list_files(spark, under), head, raw_schema(spec), chunk)
         check_columns(spec, names, scans if head == "json" else [])
         return scan_index(*[select_split(scan, left, subset) for scan in scans])
     raw = spark.read.format(head).load(under)
@@ -197,6 +215,19 @@ def read_table(
     return scan_index(chosen)
 
 
+def input_states(
+    spark: SparkSession, spec: DatasetSpec, dataset_dir: str, bindings: Mapping[str, str] | None = None
+) -> list[tuple[str, int, int]]:
+    """The files behind a dataset with their lengths and times: they differ once its data do."""
+    if spec.location == "file":
+        return file_states(spark, f"{dataset_dir.rstrip('/')}/{spec.address}")
+    bound = (bindings or {}).get(spec.name) or (bindings or {}).get(spec.address) or ""
+    head, _, path = bound.partition(":")
+    if head in (*TABLE_FORMATS, "json", "csv", "text"):
+        return file_states(spark, path)
+    return sorted(state for file in spark.table(bound).inputFiles() for state in file_states(spark, unquote(file)))
+
+
 def to_examples(
     raw: DataFrame, spec: DatasetSpec, on_bad_order: str = "raise", keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -219,8 +250,9 @@ def read_dataset(
     max_samples: int | None = None,
     bindings: Mapping[str, str] | None = None,
     on_bad_order: str = "raise",
+    chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """One dataset as examples with a dense ``row_idx``.
+    """One dataset as examples with a dense ``row_idx``. Of JSON arrays and CSV files, a task reads ``chunk`` bytes.
 
     ``max_samples`` counts raw rows; the returned index is taken after conversion, which
     may drop rows.
@@ -234,12 +266,12 @@ def read_dataset(
         if kind == "json":
             schema = raw_schema(spec)
         if max_samples is not None:
-            files = leading_files(spark, files, kind, schema, max_samples)
-        scans, names = scan_files(spark, files, kind, schema)
+            files = leading_files(spark, files, kind, schema, max_samples, chunk)
+        scans, names = scan_files(spark, files, kind, schema, chunk)
         check_columns(spec, names, scans if kind == "json" else [])
         indexed = scan_index(*scans)
     else:
-        indexed = read_table(spark, spec, bindings or {}, split)
+        indexed = read_table(spark, spec, bindings or {}, split, chunk)
         check_columns(spec, set(indexed.columns))
     if max_samples is not None:
         indexed = first_rows(indexed, max_samples)
@@ -249,25 +281,42 @@ def read_dataset(
     return examples.withColumn("dataset", F.lit(spec.name))
 
 
-def read_stream(spark: SparkSession, spec: DatasetSpec, dataset_dir: str, on_bad_order: str = "raise") -> DataFrame:
-    """The same files as a stream, with the same conversion. ``address`` names a folder,
-    as a stream watches folders; its JSON files must all have one layout."""
+def read_stream(
+    spark: SparkSession,
+    spec: DatasetSpec,
+    dataset_dir: str,
+    on_bad_order: str = "raise",
+    files_per_trigger: int | None = None,
+    kind: str | None = None,
+    chunk: int = CHUNK_BYTES,
+) -> DataFrame:
+    """The same files as a stream, with the same conversion. ``address`` names a folder, as a stream watches
+    folders; files that come later are read too.
+
+    A micro-batch takes at most ``files_per_trigger`` files. ``kind`` names the reader where extensions do not. Of
+    JSON files the stream is one of paths, whose layout is found in the micro-batch that reads them, so arrays
+    and lines may come in any order.
+    """
     path = f"{dataset_dir.rstrip('/')}/{spec.address}"
     files = list_files(spark, path)
-    kind = format_of(files)
+    kind = kind or format_of(files)
     if files == [path]:
         raise ValueError("a stream watches a folder; put the file in one")
+    reader = spark.readStream
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if kind == "text":
-        raw = spark.readStream.text(path).withColumnRenamed("value", "text")
+        raw = reader.text(path).withColumnRenamed("value", "text")
     elif kind == "csv":
         schema = spark.read.csv(files[0], **CSV_OPTIONS).schema
-        raw = spark.readStream.schema(schema).csv(path, enforceSchema=False, **CSV_OPTIONS)
+        raw = reader.schema(schema).csv(path, enforceSchema=False, **CSV_OPTIONS)
     else:
-        layouts, schema = json_layouts(spark, files), raw_schema(spec)
-        if len(layouts) > 1:
-            raise ValueError(f"{path} holds JSON arrays and JSON lines: put them in folders of their own")
-        scans, names = scan_files(spark, files, kind, schema)
+        schema = raw_schema(spec)
+        scans, names = scan_files(spark, files, kind, schema, chunk)
         check_columns(spec, names, scans)
-        reader = spark.readStream.schema(schema).option("mode", "FAILFAST").option("multiLine", *layouts)
-        raw = reader.json(path)
+        listed = reader.format("binaryFile").schema(FILE_LISTING).load(path)  # contents are not read
+        texts = streamed_json(
+            listed.select(F.col("_metadata.file_path").alias("file"), "length"), chunk, spark.sparkContext.defaultParallelism
+        )
+        raw = texts.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_record")).select("_record.*")
     return to_examples(raw, spec, on_bad_order).withColumn("dataset", F.lit(spec.name))

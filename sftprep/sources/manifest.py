@@ -170,6 +170,8 @@ class JobOptions:
     template: str | None = None
     pairwise: bool = False
     on_bad_order: str = "raise"
+    files_per_trigger: int | None = None  # of a stream; all at once if not given
+    reuse_results: bool = False  # take an earlier job's examples if options and files are the same
 
     def __post_init__(self):
         broken = [advice for breaks, advice in OPTION_RULES if breaks(self)]

@@ -36,6 +36,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop_path).toString()
 
 
+def uri_of(spark: SparkSession, path: str) -> str:
+    """The qualified path as a URI, with blanks and the like escaped."""
+    return spark._jvm.org.apache.hadoop.fs.Path(qualified(spark, path)).toUri().toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -56,6 +61,20 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return [f"{path.rstrip('/')}/{name}" for _, name in names if not name.startswith((".", "_"))]
 
 
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, time of change in ms) of a file, or of all visible files in a folder and below, in order."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    status = fs.getFileStatus(hadoop_path)
+    if status.isFile():
+        return [(status.getPath().toString(), status.getLen(), status.getModificationTime())]
+    found = []
+    for below in fs.listStatus(hadoop_path):
+        if not below.getPath().getName().startswith((".", "_")):
+            found += file_states(spark, below.getPath().toString())
+    return sorted(found)
+
+
 def head_of_file(spark: SparkSession, path: str, size: int = 1 << 20) -> str:
     """The first ``size`` bytes of a file as text, however long its lines are."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -44,6 +44,26 @@ def test_row_index_needs_no_single_task(spark):
     assert len(single) <= 1  # the block table only
 
 
+def test_keys_far_apart(spark, monkeypatch):
+    keys = [i << 40 for i in range(-700, 700)] + [5, 2**62, -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(k, k % 2) for k in keys], "k bigint, g bigint").repartition(5)
+    want = {k: i for i, k in enumerate(sorted(keys))}
+    for bits in (64, 16):  # fewer bits than keys take cost room only
+        assert {r.k: r.row_idx for r in ordering.row_index(df, "k", key_bits=bits).collect()} == want
+    odd = sorted(k for k in keys if k % 2)
+    got = ordering.row_index(df, "k", ["g"]).filter("g = 1").orderBy("k").collect()
+    assert [(r.k, r.row_idx) for r in got] == [(k, i) for i, k in enumerate(odd)]
+    assert [ordering.key_cut(df, "k", n) for n in (1, 3, 701, 1404, 1405)] == [*[sorted(keys)[n - 1] for n in (1, 3, 701, 1404)], None]
+    plan = ordering.row_index(df, "k")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 4 and sum(w.count("], [") == 2 for w in windows) == 3  # the root alone has no partition
+    seen = []
+    monkeypatch.setattr(ordering, "_block_offsets", lambda t, w, bits, real=ordering._block_offsets: (
+        seen.append((bits, t.groupBy(F.shiftright("_block", 16)).count().agg(F.max("count")).first()[0])), real(t, w, bits))[1])
+    ordering.row_index(df, "k").count()
+    assert [bits for bits, _ in seen] == [48, 32, 16] and max(n for _, n in seen) <= 65_536
+
+
 def test_range_index_with_many_ties(spark):
     df = spark.createDataFrame([(i % 3, f"t{i:03d}") for i in range(300)], "n int, t string").repartition(7)
     got = {r.t: r.row_idx for r in ordering.range_index(df, F.col("n").desc(), F.col("t")).collect()}

@@ -331,6 +331,27 @@ def test_rows_dealt_without_a_key(spark, stream, tmp_path):
     assert [len(p) for p in parts] == [13, 20, 17] and set.union(*parts) == set(range(50))
 
 
+def test_job_takes_an_earlier_result(spark, data, tokenizer, monkeypatch):
+    made = []
+    encoded = prepare.encode_examples
+    monkeypatch.setattr(prepare, "encode_examples", lambda *a: made.append(1) or encoded(*a))
+
+    def job(**more):
+        rows = prepare.prepare(spark, options(data, reuse_results=True, **more), tokenizer)["train"].collect()
+        return len(made), sorted(tuple(r.input_ids) for r in rows)
+
+    first = job()
+    assert first == job() == job(batch_size=3) and first[0] == 1
+    assert job(cutoff_len=8)[0] == 2 and job(on_bad_order="drop")[0] == 3
+    n, rows = job(overwrite_cache=True)
+    assert n == 4 and rows == first[1]
+    with open(os.path.join(data, "a", "0.jsonl"), "a") as f:
+        f.write("\n" + json.dumps({"instruction": "new", "input": "", "output": "row"}))
+    n, rows = job()
+    assert n == 5 and len(rows) == len(first[1]) + 1
+    assert job()[0] == 5
+
+
 @pytest.fixture
 def folders(tmp_path):
     info = {"a": {"file_name": "a"}, "b": {"file_name": "b"}}

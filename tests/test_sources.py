@@ -1,12 +1,16 @@
+import csv
 import hashlib
+import io
 import json
+import random
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import SparkSession, functions as F
 
 from sftprep import storage
-from sftprep.sources import cache, files, integrity, manifest, sinks
+from sftprep.sources import cache, chunks, files, integrity, manifest, sinks
 
 MANIFEST = {
     "plain": {"file_name": "plain.json", "file_sha1": "0" * 40},
@@ -273,8 +277,18 @@ def test_columns_that_come_late(spark, tmp_path):
         assert len(rows) == n and rows[0].system is None
         assert rows[-1].system == "s" and [tuple(h) for h in rows[-1].history] == [("q", "r")]
     spec = specs(f"file:{tmp_path}", "parts")[0]
-    with pytest.raises(ValueError, match="arrays and JSON lines"):
-        files.read_stream(spark, spec, str(tmp_path))
+    got = str(tmp_path / "out")
+    stream = files.read_stream(spark, spec, str(tmp_path), files_per_trigger=1)
+
+    def run():
+        query = stream.writeStream.format("parquet").option("path", got).option("checkpointLocation", str(tmp_path / "marks"))
+        query.trigger(availableNow=True).start().awaitTermination()
+        return sorted((r.prompt, r.system or "") for r in spark.read.parquet(got).collect())
+
+    assert run() == [("a", ""), ("a", "s")]  # an array and lines in one folder
+    (tmp_path / "parts/0 0.json").write_text("\n".join(json.dumps({**line, "instruction": f"l{n}"}) for n in range(7)))
+    (tmp_path / "parts/3.json").write_text(json.dumps([{**late, "instruction": "z"}], indent=1))
+    assert run() == [("a", ""), ("a", "s")] + [(f"l{n}", "") for n in range(7)] + [("z", "s")]
     hub = manifest.parse_entry("hub", MANIFEST["hub"])
     (tmp_path / "s1").mkdir()
     (tmp_path / "s1/1.json").write_text(json.dumps([line, late]))
@@ -282,3 +296,67 @@ def test_columns_that_come_late(spark, tmp_path):
     assert [r.system for r in got] == [None, "s"]
     with pytest.raises(ValueError, match="no subset"):
         files.select_split(spark.range(3).withColumn("subset", F.lit("x")), "train", "y")
+
+
+class Bytes:
+    def __init__(self, data):
+        self.data = data
+
+    def read_at(self, n, at):
+        return self.data[at : at + n]
+
+
+def test_scanners_cut_pieces_exactly(monkeypatch):
+    def in_pieces(scanner, data, size):
+        out, state, depth = [], 0, 0
+        for start in range(0, len(data), size):
+            end = min(start + size, len(data))
+            out += chunks.records(Bytes(data), scanner, start, end, len(data), state, depth)
+            states, depths = chunks.effect(scanner, np.frombuffer(data[start:end], np.uint8))
+            state, depth = states[state], depth + depths[state]
+        return [r.decode() for r in out if r.strip()]
+
+    draw = random.Random(7)
+    for _ in range(400):
+        monkeypatch.setattr(chunks, "READ_ON", draw.choice([1, 3, 7, 1000]))
+        rows = [["".join(draw.choices('a",\n\\[]{} é', k=draw.randint(0, 6))) for _ in range(3)] for _ in range(draw.randint(0, 6))]
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n").writerows(rows)
+        cut = in_pieces(chunks.CSV, out.getvalue().encode(), draw.randint(1, 20))
+        assert [next(csv.reader(io.StringIO(r, newline=""))) for r in cut] == rows
+        objects = [{"k" + a: b, "n": [1, {"z": [c]}]} for a, b, c in rows]
+        data = json.dumps(objects, indent=draw.choice([None, 1]), ensure_ascii=draw.choice([True, False])).encode()
+        assert [json.loads(r) for r in in_pieces(chunks.JSON, data, draw.randint(1, 20))] == objects
+        text, size = "\n".join(a.replace("\n", "") for a, _, _ in rows).encode(), draw.randint(1, 9)
+        got = [x for s in range(0, len(text), size) for x in chunks.lines(Bytes(text), s, min(s + size, len(text)), len(text))]
+        assert b"\n".join(got).rstrip(b"\n") == text.rstrip(b"\n")
+    # quotes inside a bare field are text; behind a closing quote a bare field goes on
+    assert in_pieces(chunks.CSV, b'5" x,b\n"a\n""b"c,d\n\n"e', 4) == ['5" x,b', '"a\n""b"c,d', '"e']
+    with pytest.raises(ValueError, match="no end"):
+        in_pieces(chunks.JSON, b'[{"a": 1}, {"b": ', 5)
+
+
+def test_files_in_pieces(spark, data, tmp_path):
+    """The same rows in the same order as by Spark's own readers, whatever the size of pieces."""
+    folder = tmp_path / "large dir"
+    folder.mkdir()
+    text = ['plain', 'say "x"', 'a,b', 'two\nlines', '', 'back\\slash "', 'é [ { ]']
+    rows = [(text[n % 7], text[n // 7 % 7], f"{n}") for n in range(120)]
+    for name, part in (("a b.csv", rows[:70]), ("c.csv", rows[70:])):
+        with open(folder / name, "w", newline="", encoding="utf-8") as f:
+            csv.writer(f, lineterminator="\n" if "c" in name else "\r\n").writerows([("instruction", "input", "output"), *part])
+    spec = manifest.parse_entry("d", {"file_name": "large dir"})
+    want = [tuple(r) for r in files.read_dataset(spark, spec, str(tmp_path)).orderBy("row_idx").collect()]
+    assert [w[1] for w in want if w[1]] == [a for a, _, _ in rows if a] and len(want) == 120
+    for size in (50, 1000):
+        got = files.read_dataset(spark, spec, str(tmp_path), chunk=size)
+        assert sorted(tuple(r) for r in got.collect()) == want
+    (folder / "d.csv").write_text("instruction,output,input\n")
+    with pytest.raises(Exception, match="the header of"):
+        files.read_dataset(spark, spec, str(tmp_path), chunk=50).collect()
+    for n in (None, 3):
+        want = read(spark, data, "plain", max_samples=n).collect()
+        assert read(spark, data, "plain", max_samples=n, chunk=40).collect() == want
+    # arrays in pieces, lines by Spark, in the order of the files
+    assert [r.row_idx for r in read(spark, data, "layouts", chunk=20).collect()] == list(range(9))
+    assert [r.prompt for r in read(spark, data, "chat", chunk=30).collect()] == ["c", "f"]
