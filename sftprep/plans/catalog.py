@@ -50,6 +50,7 @@ BLOCK, PACK_ROWS = 256, 20
 BATCH = 16
 BUFFER = 128
 PIECE_BYTES = 1 << 16  # of files that are read in pieces
+WRITTEN_ROWS = 256  # of an array that is written, at a time
 STREAM_BATCHES = 6  # micro-batches, at least, of queries that carry state from one to the next
 STREAM_SHARES = (0.5, 0.3, 0.2)
 MODELS = tuple(MODEL_FAMILY)
@@ -567,8 +568,9 @@ def _as_array(batches):
     """The rows of a partition as lines of one JSON array."""
     mark = "["
     for batch in batches:
-        for value in batch["value"]:
-            yield batch.iloc[:1].assign(value=mark + value)
+        for i in range(0, len(batch), WRITTEN_ROWS):
+            some = batch.iloc[i : i + WRITTEN_ROWS]
+            yield some.assign(value=[(mark if n == 0 else ",") + value for n, value in enumerate(some["value"])])
             mark = ","
     yield pd.DataFrame({"value": ["]" if mark == "," else "[]"]})
 

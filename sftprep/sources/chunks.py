@@ -19,10 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHUNK_BYTES = 32 << 20
-READ_ON = 1 << 20  # bytes read at a time behind the end of a piece
+READ_ON = 1 << 20  # bytes read at a time
+READ_FIRST = 1 << 14  # bytes read first behind the end of a piece; twice as many each time, up to READ_ON
+TASK_BYTES = 8 << 20  # of pieces that lie side by side and are read by one task
 TEXT_BYTES = 4 << 20  # of records in one batch
 MAX_TASKS = 20_000
-PIECE = "file string, start bigint, length bigint"
+RUN = "file string, start bigint, length bigint"
 
 
 @dataclass(frozen=True)
@@ -146,15 +148,20 @@ def begins_array(stream) -> bool:
 
 
 def records(stream, scanner: Scanner, start: int, end: int, length: int, state: int, depth: int) -> Iterator[bytes]:
-    """The records that begin in bytes ``start`` to ``end``, each whole, ``READ_ON`` bytes more at a time.
+    """The records that begin in bytes ``start`` to ``end``, each whole; the open one is read on in growing steps, so
+    that a small piece does not cost much more than its own bytes.
 
     A record of a CSV begins behind a line break, so one whose line break is the last byte of a piece belongs to
     that piece; an element of an array begins behind its bracket or comma.
     """
     held: list[bytes] | None = [] if scanner == CSV and start == 0 else None  # the open record
-    at = start
+    at, more = start, READ_FIRST
     while at < length and (at < end or held is not None):
-        data = stream.read_at(min(READ_ON, (end if at < end else length) - at), at)
+        if at < end:
+            step = min(READ_ON, end - at)
+        else:
+            step, more = min(READ_ON, more, length - at), more * 2
+        data = stream.read_at(step, at)
         if not data:
             raise OSError(f"a file ended at byte {at} of {length}: it was changed while it was read")
         found, state, depth_after = borders(scanner, np.frombuffer(data, np.uint8), state, depth)
@@ -215,9 +222,9 @@ def longest_file(spark: SparkSession, files: list[str]) -> int:
     return spark.read.format("binaryFile").load(files).agg(F.max("length")).first()[0] or 0
 
 
-def pieces_of(listed: DataFrame, chunk: int) -> DataFrame:
-    """Files (with ``file, length``) in pieces of ``chunk`` bytes."""
-    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(chunk).cast("bigint"))
+def runs_of(listed: DataFrame, run: int) -> DataFrame:
+    """Files (with ``file, length``) in runs of ``run`` bytes."""
+    starts = F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(run).cast("bigint"))
     return listed.select("file", F.explode(starts).alias("start"), "length")
 
 
@@ -230,47 +237,64 @@ def check_header(file: str, text: str, names: list[str]) -> None:
 
 def record_texts(spark: SparkSession, files: list[str], names: list[str] | None, chunk: int = CHUNK_BYTES) -> DataFrame:
     """Records of CSV files with the header ``names``, or elements of JSON arrays if there are none, as ``value``, with
-    ``_file``, ``_start`` (of the piece) and ``_place`` in the piece. Empty records and elements are left out."""
+    ``_file``, ``_start`` (of the run of pieces) and ``_place`` in the run. Empty records and elements are left out.
+
+    Tasks are dealt out by bytes, not by pieces: small pieces that lie side by side make a run of ``TASK_BYTES``, which
+    one task reads piece by piece."""
     scanner = JSON if names is None else CSV
+    run = chunk * max(TASK_BYTES // chunk, 1)
     listed = spark.read.format("binaryFile").load(files).select(F.col("_metadata.file_path").alias("file"), "length")
-    pieces = pieces_of(listed, chunk)
-    n_tasks = min(max(pieces.count(), 1), MAX_TASKS)
+    runs = runs_of(listed, run)
+    n_tasks = min(max(runs.count(), 1), MAX_TASKS)
+
+    def pieces(start, length):
+        return [(s, min(s + chunk, length)) for s in range(start, min(start + run, length), chunk)]
 
     def effects(batches):
         for batch in batches:
             out = []
             for file, start, length in batch.itertuples(index=False):
                 with _open(file) as stream:
-                    data = np.frombuffer(stream.read_at(min(chunk, length - start), start), np.uint8)
-                out.append((file, start, length, *effect(scanner, data)))
+                    done = [
+                        effect(scanner, np.frombuffer(stream.read_at(end - at, at), np.uint8))
+                        for at, end in pieces(start, length)
+                    ]
+                out.append((file, start, length, [s for s, _ in done], [d for _, d in done]))
             yield pd.DataFrame(out, columns=["file", "start", "length", "states", "depths"])
 
-    def compose(pdf):  # one small row per piece of one file
+    def compose(pdf):  # a few numbers per piece of one file
         state = depth = 0
         out = []
         for row in pdf.sort_values("start").itertuples(index=False):
-            out.append((row.file, row.start, row.length, state, depth))
-            state, depth = int(row.states[state]), depth + int(row.depths[state])
-        return pd.DataFrame(out, columns=["file", "start", "length", "state", "depth"])
+            states, depths = [], []
+            for after, change in zip(row.states, row.depths):
+                states.append(state)
+                depths.append(depth)
+                state, depth = int(after[state]), depth + int(change[state])
+            out.append((row.file, row.start, row.length, states, depths))
+        return pd.DataFrame(out, columns=["file", "start", "length", "states", "depths"])
+
+    def texts_of(file, start, length, states, depths):
+        with _open(file) as stream:
+            for (at, end), state, depth in zip(pieces(start, length), states, depths):
+                found = records(stream, scanner, at, end, length, int(state), int(depth))
+                texts = (r.decode("utf-8", "replace").strip(" \t\r\n" if names is None else "\r") for r in found)
+                if names is not None and at == 0:
+                    check_header(file, next(texts, "").removeprefix("\ufeff"), names)
+                yield from (t for t in texts if t)
 
     def cut(batches):
         def rows():
             for batch in batches:
-                for file, start, length, state, depth in batch.itertuples(index=False):
-                    if not length:
-                        continue
-                    with _open(file) as stream:
-                        found = records(stream, scanner, start, min(start + chunk, length), length, state, depth)
-                        texts = (r.decode("utf-8", "replace").strip(" \t\r\n" if names is None else "\r") for r in found)
-                        if names is not None and start == 0:
-                            check_header(file, next(texts, "").removeprefix("\ufeff"), names)
-                        for place, text in enumerate(t for t in texts if t):
-                            yield file, start, place, text
+                for row in batch.itertuples(index=False):
+                    for place, text in enumerate(texts_of(*row)):
+                        yield row.file, row.start, place, text
 
         return _batched(rows())
 
-    known = pieces.repartition(n_tasks).mapInPandas(effects, f"{PIECE}, states array<int>, depths array<bigint>")
-    starts = known.groupBy("file").applyInPandas(compose, f"{PIECE}, state int, depth bigint")
+    each = "states array<array<int>>, depths array<array<bigint>>"  # per piece: by the state at its start
+    known = runs.repartition(n_tasks).mapInPandas(effects, f"{RUN}, {each}")
+    starts = known.groupBy("file").applyInPandas(compose, f"{RUN}, states array<int>, depths array<bigint>")
     return starts.repartition(n_tasks).mapInPandas(cut, RECORD)
 
 

@@ -6,6 +6,7 @@ import random
 from dataclasses import replace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession, functions as F
 
@@ -360,3 +361,49 @@ def test_files_in_pieces(spark, data, tmp_path):
     # arrays in pieces, lines by Spark, in the order of the files
     assert [r.row_idx for r in read(spark, data, "layouts", chunk=20).collect()] == list(range(9))
     assert [r.prompt for r in read(spark, data, "chat", chunk=30).collect()] == ["c", "f"]
+
+
+def test_small_pieces_cost_no_more_than_their_bytes(spark, tmp_path):
+    """A piece does not read far beyond its end, and pieces side by side share a task."""
+
+    class Counted(Bytes):
+        read = 0
+
+        def read_at(self, n, at):
+            self.read += n
+            return super().read_at(n, at)
+
+    text = b'"' + b"x" * 99 + b'"\n'
+    stream = Counted(text * 20_000)
+    found = list(chunks.records(stream, chunks.CSV, 1020, 2040, len(stream.data), 0, 0))
+    assert [len(r) for r in found] == [101] * 10 and stream.read <= 1020 + chunks.READ_FIRST
+    objects = [{"instruction": "i" * (n % 7), "n": [n]} for n in range(500)]
+    (tmp_path / "a.json").write_text(json.dumps(objects))
+    (tmp_path / "b.json").write_text(json.dumps(objects[:9]))
+    paths = [str(tmp_path / name) for name in ("a.json", "b.json")]
+    texts = chunks.record_texts(spark, paths, None, 40)
+    assert texts.rdd.getNumPartitions() == 2
+    got = sorted((r["_file"], r["_start"], r["_place"], json.loads(r["value"])["n"][0]) for r in texts.collect())
+    assert [g[3] for g in got] == [*range(500), *range(9)]
+
+
+def test_runs_of_pieces(spark, tmp_path, monkeypatch):
+    """Files of many runs, which begin in strings and at any depth."""
+    monkeypatch.setattr(chunks, "TASK_BYTES", 100)
+    objects = [{"instruction": '[,"{' * (n % 9), "n": [n, {"z": []}]} for n in range(200)]
+    (tmp_path / "a.json").write_text(json.dumps(objects))
+    (tmp_path / "none.json").write_text("")
+    texts = chunks.record_texts(spark, [str(tmp_path / "a.json"), str(tmp_path / "none.json")], None, 30)
+    assert texts.rdd.getNumPartitions() > 50
+    rows = sorted((r["_file"], r["_start"], r["_place"], r["value"]) for r in texts.collect())
+    assert [json.loads(r[3]) for r in rows] == objects
+
+
+def test_array_of_rows():
+    """The rows of each partition as one array, many at a time, whatever comes in a batch."""
+    from sftprep.plans.catalog import _as_array
+
+    batches = [pd.DataFrame({"value": [f"{n}" for n in v]}) for v in (range(600), [], [600])]
+    out = list(_as_array(batches))
+    assert len(out) < 10 and json.loads("".join(v for batch in out for v in batch["value"])) == list(range(601))
+    assert [v for batch in _as_array([]) for v in batch["value"]] == ["[]"]
