@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 IGNORE_INDEX = -100
@@ -139,11 +141,18 @@ class CodepointTokenizer(Tokenizer):
         return F.decode(F.unhex(F.array_join(F.transform(kept, spelled), "")), "UTF-32")
 
 
+def _lists(sizes: list[int | None], values: pa.Array) -> pa.ListArray:
+    """Consecutive values as lists of these sizes; None is a null."""
+    offsets = np.cumsum([0, *(n or 0 for n in sizes)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([n is None for n in sizes], pa.bool_()))
+
+
 class CallableTokenizer(Tokenizer):
     """Any ``str -> list[int]`` encoder, run on Arrow batches.
 
     ``make_encoder`` is called once per Python worker, so a heavy vocabulary is not
-    shipped with each task. One call carries all the text units of a row.
+    shipped with each task. One call carries all the text units of a row. Of a batch, ids are held in
+    four bytes each.
     """
 
     def __init__(
@@ -177,16 +186,21 @@ class CallableTokenizer(Tokenizer):
     def encode_units(self, units: Column) -> Column:
         make_encoder, held = self.make_encoder, []
 
-        @F.pandas_udf("array<array<int>>")
-        def encode_batch(rows: pd.Series) -> pd.Series:
+        @F.arrow_udf("array<array<int>>")
+        def encode_batch(rows: pa.Array) -> pa.Array:
             if not held:
                 held.append(make_encoder())
             encode = held[0]
-            return rows.map(
-                lambda texts: None
-                if texts is None
-                else [None if t is None else (list(encode(t)) if t else []) for t in texts]
-            )
+            ids, sizes, counts = [pa.array([], pa.int32())], [], []
+            for row in rows:  # Python objects of one text at a time
+                texts = row.as_py()
+                counts.append(None if texts is None else len(texts))
+                for text in texts or ():
+                    sizes.append(None if text is None else 0)
+                    if text:
+                        ids.append(pa.array(list(encode(text)), pa.int32()))
+                        sizes[-1] = len(ids[-1])
+            return _lists(counts, _lists(sizes, pa.concat_arrays(ids)))
 
         return encode_batch(units)
 

@@ -104,3 +104,53 @@ def test_vocabulary(spark, monkeypatch):
         assert {r.id: r.text for r in back.collect()} == {0: "b a b c", 1: "b a", 2: "", 3: ""}
     with pytest.raises(Exception, match="not in the vocabulary"):
         vocab.decode_with_vocabulary(ids, table, "id").collect()
+
+
+def test_a_batch_holds_ids_in_four_bytes(spark):
+    """Ids of the texts before are not Python objects any more when a text is encoded; nulls, empty texts and ids stay."""
+
+    def make_encoder():
+        import gc
+
+        class Id(int):
+            pass
+
+        def encode(text):
+            alive = sum(isinstance(x, Id) for kept in gc.get_objects() if type(kept) is list for x in kept)
+            return [Id(alive), *(Id(ord(c)) for c in text)]
+
+        return encode
+
+    units = [["ab", "", None], None, [], ["é"], [None], ["x", "yz"]]
+    rows = spark.createDataFrame([(n, u) for n, u in enumerate(units)], "n int, u array<string>").coalesce(1)
+    got = [r[1] for r in rows.select("n", CallableTokenizer(make_encoder, SpecialTokens()).encode_units(F.col("u"))).orderBy("n").collect()]
+    assert got == [[[0, 97, 98], [], None], None, [], [[0, 233]], [None], [[0, 120], [0, 121, 122]]]
+    none = rows.filter("n = 1").select(CallableTokenizer(make_encoder, SpecialTokens()).encode_units(F.col("u")))
+    assert none.first()[0] is None
+
+
+def test_settled_tokens_of_dealt_rows_are_not_shuffled(spark, monkeypatch):
+    """Decoding a table that is dealt out by its key shuffles rare ids alone, and encoding gathers plain numbers."""
+    monkeypatch.setattr(vocab, "HOT_TOKENS", 2)
+    text = [(1, "a b a c"), (2, ""), (3, None), (None, "b zz a"), (4, "c c d"), (1, "d a")]
+    docs = spark.createDataFrame(text, "id long, text string")
+    table = vocab.build_vocabulary(docs)
+    ids = vocab.encode_with_vocabulary(docs, table, "id", unknown_id=-7)
+    names = {r["token_id"]: r["token"] for r in table.collect()}
+    number = {t: i for i, t in names.items()}
+    got = {r["id"]: r["input_ids"] for r in ids.collect()}
+    twice = sorted((p, number[t]) for s in ("a b a c", "d a") for p, t in enumerate(s.split()))
+    assert got == {1: [i for _, i in twice], 2: [], 3: [], 4: [number[t] for t in "ccd"], None: [number[t] for t in ("b", "zz", "a")]}
+    few = vocab.encode_with_vocabulary(docs, table.filter("token != 'zz'"), "id", unknown_id=-7)
+    assert {r["id"]: r["input_ids"] for r in few.collect()}[None] == [number["b"], -7, number["a"]]
+    back = vocab.decode_with_vocabulary(ids, table, "id")
+    assert {r["id"]: r["text"] for r in back.collect()}[None] == "b zz a"
+
+    def plan(df):  # of a frame that has not run
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()
+
+    assert "collect_list(struct" not in plan(ids) and "collect_list(CASE" not in plan(ids)
+    assert "Exchange" not in plan(ids).split("Union")[0] and "Exchange" not in plan(back).split("Union")[0]
+    # by the key: the two parts of the encoded rows, read by the near and the far branch; settled ids are not dealt again
+    dealt = [plan(df).count("Exchange hashpartitioning(id#") for df in (ids, back)]
+    assert dealt == [2, 4]  # the few rare words come by broadcast here
