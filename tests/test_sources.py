@@ -407,3 +407,16 @@ def test_array_of_rows():
     out = list(_as_array(batches))
     assert len(out) < 10 and json.loads("".join(v for batch in out for v in batch["value"])) == list(range(601))
     assert [v for batch in _as_array([]) for v in batch["value"]] == ["[]"]
+
+
+def test_csv_pieces_share_tasks(spark, tmp_path, monkeypatch):
+    """Tasks of a CSV grow with its bytes, not with its pieces; runs begin inside quotes too."""
+    rows = [(f"{n}", 'a,"\n' * (n % 5)) for n in range(300)]
+    with open(tmp_path / "a.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f, lineterminator="\n").writerows([("instruction", "output"), *rows])
+    for run, tasks in ((chunks.TASK_BYTES, range(1, 2)), (200, range(10, 60))):
+        monkeypatch.setattr(chunks, "TASK_BYTES", run)
+        texts = chunks.record_texts(spark, [str(tmp_path / "a.csv")], ["instruction", "output"], 20)
+        assert texts.rdd.getNumPartitions() in tasks
+        found = sorted((r["_start"], r["_place"], r["value"]) for r in texts.collect())
+        assert [tuple(next(csv.reader(io.StringIO(r[2], newline="")))) for r in found] == rows
